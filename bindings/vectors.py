@@ -142,7 +142,7 @@ _D = {
     "cosine": "1 - list_sum(" + _Z.format("z[1]::DOUBLE * z[2]::DOUBLE") + ") / (sqrt(list_sum(list_transform(qe, lambda x: x::DOUBLE * x)))"
     " * sqrt(list_sum(list_transform(ge, lambda x: x::DOUBLE * x))))",
     "minkowski": "pow(list_sum(" + _Z.format("pow(abs(z[1]::DOUBLE - z[2]::DOUBLE), 3)") + "), 1.0 / 3.0)",
-    "binary": "list_sum(" + _Z.format("CASE WHEN (z[1] > 0) <> (z[2] > 0) THEN 1.0 ELSE 0.0 END") + ")",
+    "binary": "list_sum(" + _Z.format("CASE WHEN (z[1] > 0) <> (z[2] > 0) THEN 1.0 ELSE 0.0 END::DOUBLE") + ")",
 }
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparquill.plans.scale import skew_join
+from sparquill.plans.scale import lookup_join, skew_join
 
 # Output column order and fill literal.
 COLUMN_ORDER = [
@@ -64,7 +64,7 @@ def group_mode(df: DataFrame, group: str, target: str) -> DataFrame:
 def impute_category(df: DataFrame, group: str = "merchant", target: str = "category") -> DataFrame:
     """Missing target from the mode of its group; what is left becomes the unknown literal."""
     spread = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
-    filled = skew_join(df, group_mode(df, group, target), [group], spread, "left")
+    filled = lookup_join(df, group_mode(df, group, target), [group], spread)
     return filled.select(
         [
             F.coalesce(F.col(target), F.col("_mode"), F.lit(UNKNOWN)).alias(target)

@@ -459,7 +459,7 @@ def knn(
         raise ValueError(f"unknown metric {metric!r}, choose from {', '.join(METRICS)}")
     if k < 1:
         raise ValueError("k must be positive")
-    if metric != "euclidean" and method in ("pq", "ivfpq", "lsh", "binary", "binary_ivf") and not refine:
+    if metric != "euclidean" and method in ("pq", "ivfpq", "lsh", "binary", "binary_ivf") and refine < 2:
         raise ValueError(f"{method} ranks by its own code distance; use refine for {metric}")
     wide = k * max(refine, 1)
     if method == "flat":

@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparquill.operators.profile import rate_by
 from sparquill.plans.scale import micros, prefix_sums, range_bounds, with_bucket
@@ -24,7 +25,7 @@ def chi2_tail(x: float, dof: int) -> float:
     return min(max(total, 0.0), 1.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi2_tail(float(a), int(d)) for a, d in zip(x, dof)])
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparquill.session import cut
+
 BUCKETS = 200
 
 
@@ -213,3 +215,15 @@ def skew_join(
     copies = F.when(key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.withColumn("_salt", F.explode(copies))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def lookup_join(df: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str], limit: int = 500_000) -> DataFrame:
+    """Left join with a table of unique keys that is usually small.
+
+    The table is stored once and counted: up to ``limit`` rows it is broadcast, beyond
+    that the join shuffles and frequent keys are salted.
+    """
+    stored = cut(table)
+    if stored.count() <= limit:
+        return df.join(F.broadcast(stored), list(on), "left")
+    return skew_join(df, stored, on, spread, "left")
