@@ -117,7 +117,7 @@ def assemble_context(spark, sf):
 
 def exact_match(spark, sf):
     t = table(spark, sf, "conversations")
-    said = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("The "), F.upper("text"), F.lit("!"))).otherwise(F.reverse("text"))
+    said = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("The "), F.col("text"), F.lit(" !"))).otherwise(F.reverse("text"))
     return t.select("conv_id", "turn", (ft.answer_form(said) == ft.answer_form("text")).alias("matched"))
 
 
@@ -274,7 +274,7 @@ SQL = {
     "assemble_context": _QA + _TF + ", b AS (" + _best("(SELECT query_id, cand_id, round(1 - cos, 12) AS score FROM p)", "score", 3) + """)
         SELECT query_id, 'Question: ' || any_value(q.text) || chr(10) || chr(10) || 'Context: ' || string_agg(c.text, ', ' ORDER BY rank) || chr(10) || chr(10) AS prompt
         FROM b JOIN c USING (cand_id) JOIN q USING (query_id) GROUP BY 1""",
-    "exact_match": r"""WITH t AS (SELECT conv_id, turn, text, CASE WHEN turn % 2 = 0 THEN 'The ' || upper(text) || '!' ELSE reverse(text) END AS said FROM conversations),
+    "exact_match": r"""WITH t AS (SELECT conv_id, turn, text, CASE WHEN turn % 2 = 0 THEN 'The ' || text || ' !' ELSE reverse(text) END AS said FROM conversations),
         n AS (SELECT *, list_filter(string_split_regex(regexp_replace(lower(said), '[!-/:-@\[-`{-~]', '', 'g'), '\s+'), lambda x: x NOT IN ('a', 'an', 'the', '')) AS a,
           list_filter(string_split_regex(regexp_replace(lower(text), '[!-/:-@\[-`{-~]', '', 'g'), '\s+'), lambda x: x NOT IN ('a', 'an', 'the', '')) AS b FROM t)
         SELECT conv_id, turn, array_to_string(a, ' ') = array_to_string(b, ' ') AS matched FROM n""",

@@ -199,6 +199,21 @@ def build_cells(gallery: DataFrame, nlist: int = 100, seed: int = 42, max_iter:
     return model.transform(vectors).drop("_v"), np.array(model.clusterCenters())
 
 
+def assign_cells(rows: DataFrame, centroids: np.ndarray) -> DataFrame:
+    """Nearest centroid of every vector, for rows that arrive after the clustering."""
+    share = rows.sparkSession.sparkContext.broadcast(np.asarray(centroids))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def run(batches):
+        words = share.value
+        for batch in batches:
+            g = matrix(batch.column("embedding"), words.shape[1]).astype(np.float64)
+            near = block_keys(g, words, "euclidean", 2.0).argmin(axis=1) if len(g) else np.empty(0)
+            yield batch.append_column("cell", pa.array(near.astype(np.int32)))
+
+    return rows.mapInArrow(run, f"{fields}, cell int")
+
+
 def _probed(q: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.ndarray:
     keys = block_keys(q, centroids, "euclidean", 2.0)
     return np.argsort(keys, axis=1, kind="stable")[:, :nprobe]

@@ -29,9 +29,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_label_map(spark: SparkSession, path: str, names: tuple[str, str] = ("trans_num", "is_fraud")) -> DataFrame:
-    """One JSON object {key: 0|1} to rows. For files of moderate size; see read_label_lines."""
-    text = spark.read.option("wholetext", True).text(path)
+def read_label_map(
+    spark: SparkSession, path: str, names: tuple[str, str] = ("trans_num", "is_fraud"), whole: bool = True
+) -> DataFrame:
+    """JSON objects {key: 0|1} to rows: one object per file, or per line if not ``whole``.
+    A file read whole must fit in a task; see read_label_lines for large ones."""
+    text = spark.read.text(path, wholetext=whole)
     pairs = text.select(F.explode(F.from_json("value", "map<string,int>")).alias("k", "v"))
     return pairs.toDF(*names)
 
@@ -60,7 +63,7 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Whole UTF-8 files of a folder: (path, text). An unreadable file fails the job."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
@@ -109,7 +112,7 @@ def read_box_labels(spark: SparkSession, path: str, strict: bool = True) -> Data
 
 def read_class_names(spark: SparkSession, path: str) -> DataFrame:
     """One name per line to (class_id, class_name), numbered from 0. The file is a short list."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     body = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
     rows = text.select(F.posexplode(body).alias("class_id", "class_name"))
     return rows.select("class_id", F.trim("class_name").alias("class_name"))
