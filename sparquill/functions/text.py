@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +41,12 @@ yet you your yours yourself yourselves
 """.split()
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row: an expression named inside a
+    lambda would be computed again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def trim_ws(text: Column | str) -> Column:
     """Runs of white space become one blank, none at the ends."""
     return F.trim(F.regexp_replace(text, SPACE, " "))
@@ -70,9 +78,13 @@ def answer_form(text: Column | str) -> Column:
 
 def overlap_f1(a: Column | str, b: Column | str) -> Column:
     """F1 of the distinct terms two texts share (stop words kept), 0 if both have none."""
+    def f1(sides: Column) -> Column:
+        x, y = sides["x"], sides["y"]
+        shared = F.size(F.array_intersect(x, y))
+        return F.coalesce(F.try_divide(2.0 * shared, F.size(x) + F.size(y)), F.lit(0.0))
+
     x, y = F.array_distinct(terms(a, [])), F.array_distinct(terms(b, []))
-    shared = F.size(F.array_intersect(x, y))
-    return F.coalesce(F.try_divide(2.0 * shared, F.size(x) + F.size(y)), F.lit(0.0))
+    return once(F.struct(x.alias("x"), y.alias("y")), f1)
 
 
 def prompt(question: Column | str, context: Column | str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparquill.functions.text import once
+
 
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
@@ -20,7 +22,7 @@ def norm(v: Column) -> Column:
 
 def normalize(v: Column) -> Column:
     """Vector of length 1; a zero vector stays as it is."""
-    return F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm(v)), x.cast("double")))
+    return once(norm(v), lambda n: F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), n), x.cast("double"))))
 
 
 def minkowski(a: Column, b: Column, p: float = 3.0) -> Column:

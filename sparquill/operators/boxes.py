@@ -485,11 +485,14 @@ def frame_results(boxes: DataFrame, frames: DataFrame, frame: str = "image_id",
 
 def run_metrics(results: DataFrame, seconds: float) -> DataFrame:
     """Frames, frames per second (0 if no time) and mean confidence over all boxes (0 if none)."""
-    per_frame = results.select(
-        F.size("scores").alias("n"), F.aggregate("scores", F.lit(0.0), lambda a, s: a + s.cast("double")).alias("s")
+    per_part = results.select(
+        "frame_index",
+        F.size("scores").alias("n"),
+        F.aggregate("scores", F.lit(0.0), lambda a, s: a + s.cast("double")).alias("s"),
     )
+    totals = per_part.groupBy("frame_index").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     fps = F.count("*") / F.lit(float(seconds)) if seconds > 0 else F.lit(0.0)
-    return per_frame.agg(
+    return totals.agg(
         F.count("*").alias("total_frames"),
         F.round(fps, 2).alias("fps"),
         F.round(F.coalesce(F.try_divide(F.sum("s"), F.sum("n")), F.lit(0.0)), 2).alias("average_confidence"),

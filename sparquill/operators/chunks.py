@@ -10,13 +10,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.functions.text import sentences, terms, words
+from sparquill.functions.text import once, sentences, terms, words
 from sparquill.sources.stores import append_gallery
 
 
 def _windows(pieces: Column, length: int, stride: int) -> Column:
-    starts = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces), F.lit(stride)))
-    return F.transform(starts, lambda i: F.array_join(F.slice(pieces, i, length), " "))
+    def cut(p: Column) -> Column:
+        starts = F.when(F.size(p) > 0, F.sequence(F.lit(1), F.size(p), F.lit(stride)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(p, i, length), " "))
+
+    return once(pieces, cut)
 
 
 def _exploded(df: DataFrame, chunks: Column, text: str) -> DataFrame:

@@ -126,11 +126,14 @@ class Vocabulary:
 
 
 def vocabulary(candidates: DataFrame, stop_words: list[str] | None = None, limit: int = VOCABULARY) -> Vocabulary:
-    """Document frequency of every term, computed once for all questions and kept in the shared folder."""
-    n = candidates.count()
-    found = candidates.select(F.explode(F.array_distinct(terms("text", stop_words))).alias("term"))
-    table = cut(found.groupBy("term").agg(F.count("*").alias("df")))
-    return Vocabulary(table, n, table.count() <= limit)
+    """Document frequency of every term, computed once for all questions and kept in the shared
+    folder. The empty term, added to every candidate, counts the candidates in the same pass."""
+    marked = F.array_append(F.array_distinct(terms("text", stop_words)), F.lit(""))
+    counts = candidates.select(F.explode(marked).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    every = cut(counts)
+    row = every.filter("term = ''").first()
+    table = every.filter("term <> ''")
+    return Vocabulary(table, row["df"] if row else 0, every.count() <= limit)
 
 
 def question_blocks(queries: DataFrame, size: int = QUESTIONS) -> Iterator[pa.Table]:
@@ -280,7 +283,11 @@ def rank_corpus(
     if need_tfidf and not vocab.small:
         rows = _norm_columns(rows, vocab, stop_words)
     extra = [c for c in rows.columns if c not in ("cand_id", "text")]
-    cols = [*extra, terms("text", stop_words).alias("terms"), terms("text", []).alias("words")]
+    cols = list(extra)
+    if need_tfidf:
+        cols.append(terms("text", stop_words).alias("terms"))
+    if need_pair and pair_factory is None:
+        cols.append(terms("text", []).alias("words"))
     if pair_factory is not None:
         cols.append(F.col("text"))
     rows = rows.select("cand_id", *cols)
