@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.functions.boxes import argmax, corner, intersection, iou, pixel_corner, ratio
-from sparquill.plans.scale import prefix_sums
+from sparquill.plans.scale import prefix_sums, top_k
 from sparquill.session import cut
 
 CROWD = 2000  # boxes per image above which the image is cut into a grid
+BLOCKS = 1024  # most blocks a crowd is cut into
 SMALL_TABLE = 100_000  # rows a table may have to be broadcast (a few MB here)
 
 
@@ -33,10 +34,10 @@ def postprocess(raw: DataFrame, score_threshold: float = 0.5) -> DataFrame:
 
 
 def _crowds(a: DataFrame, b: DataFrame, limit: int) -> DataFrame | None:
-    """Extent and grid size of the images with many boxes; None when there are none.
+    """Extent, grid and block count of the images with many boxes; None when there are none.
 
-    The grid grows with the square root of the box count, so the copies a box gets stay
-    far below the overlapping pairs it has.
+    A cell is at least twice as large as the mean box, so a box gets few copies. Where large
+    boxes leave too few cells, one side is cut into blocks and the other repeated per block.
     """
     def edges(df: DataFrame, p: str) -> DataFrame:
         x, y, w, h = (F.col(f"{p}_{c}").cast("double") for c in "xywh")
@@ -49,16 +50,25 @@ def _crowds(a: DataFrame, b: DataFrame, limit: int) -> DataFrame | None:
             F.count("*").alias("n"),
             F.min("x0").alias("x0"), F.min("y0").alias("y0"),
             F.max("x1").alias("x1"), F.max("y1").alias("y1"),
+            F.avg(F.col("x1") - F.col("x0")).alias("mw"), F.avg(F.col("y1") - F.col("y0")).alias("mh"),
         )
         .filter(F.col("n") > limit)
     )
-    found = big.select(
-        "image_id",
-        "x0",
-        "y0",
-        F.ceil(F.sqrt(F.col("n") / F.lit(limit))).cast("int").alias("grid"),
-        F.greatest(F.col("x1") - F.col("x0"), F.lit(1e-12)).alias("sx"),
-        F.greatest(F.col("y1") - F.col("y0"), F.lit(1e-12)).alias("sy"),
+    most = F.ceil(F.sqrt(F.col("n") / F.lit(limit)))
+
+    def cells(size: str, mean: str) -> Column:
+        return F.greatest(F.lit(1), F.least(most, F.floor(F.col(size) / (2 * F.col(mean) + F.lit(1e-12))))).cast("int")
+
+    sized = big.withColumns(
+        {
+            "sx": F.greatest(F.col("x1") - F.col("x0"), F.lit(1e-12)),
+            "sy": F.greatest(F.col("y1") - F.col("y0"), F.lit(1e-12)),
+        }
+    ).withColumns({"gx": cells("sx", "mw"), "gy": cells("sy", "mh")})
+    blocks = F.ceil(F.col("n") / (F.lit(limit) * F.col("gx") * F.col("gy")))
+    found = sized.select(
+        "image_id", "x0", "y0", "sx", "sy", "gx", "gy",
+        F.greatest(F.lit(1), F.least(blocks, F.lit(BLOCKS))).cast("int").alias("blocks"),
     )
     n = found.limit(SMALL_TABLE + 1).count()
     if n == 0:
@@ -66,21 +76,28 @@ def _crowds(a: DataFrame, b: DataFrame, limit: int) -> DataFrame | None:
     return F.broadcast(found) if n <= SMALL_TABLE else found
 
 
-def _slot(v: Column, start: str, size: str) -> Column:
-    at = F.floor((v - F.col(start)) / F.col(size) * F.col("grid")).cast("int")
-    return F.greatest(F.lit(0), F.least(at, F.col("grid") - 1))
+_GRID = ["x0", "y0", "sx", "sy", "gx", "gy", "blocks"]
+
+
+def _slot(v: Column, axis: str) -> Column:
+    grid = F.col(f"g{axis}")
+    at = F.floor((v - F.col(f"{axis}0")) / F.col(f"s{axis}") * grid).cast("int")
+    return F.greatest(F.lit(0), F.least(at, grid - 1))
 
 
 def _gridded(df: DataFrame, p: str, crowds: DataFrame) -> DataFrame:
+    """Boxes of crowds once per cell they touch; side b also once per block, side a in one block."""
     x, y, w, h = (F.col(f"{p}_{c}") for c in "xywh")
     placed = df.join(crowds, "image_id", "left")
-    xs = F.sequence(_slot(x, "x0", "sx"), _slot(x + w, "x0", "sx"))
-    ys = F.sequence(_slot(y, "y0", "sy"), _slot(y + h, "y0", "sy"))
-    cells = F.flatten(F.transform(xs, lambda i: F.transform(ys, lambda j: i * F.col("grid") + j)))
-    one = F.array(F.lit(0))
-    marked = placed.withColumn("_cell", F.explode(F.when(F.col("grid").isNull(), one).otherwise(cells)))
-    keep = "_cell" if p == "b" else "*"
-    return marked.select(*df.columns, "_cell", *(["x0", "y0", "sx", "sy", "grid"] if keep == "*" else []))
+    xs, ys = F.sequence(_slot(x, "x"), _slot(x + w, "x")), F.sequence(_slot(y, "y"), _slot(y + h, "y"))
+    cells = F.flatten(F.transform(xs, lambda i: F.transform(ys, lambda j: i * F.col("gy") + j)))
+    one, calm = F.array(F.lit(0)), F.col("gx").isNull()
+    marked = placed.withColumn("_cell", F.explode(F.when(calm, one).otherwise(cells)))
+    if p == "a":
+        block = F.pmod(F.xxhash64("a_x", "a_y", "a_w", "a_h"), F.col("blocks")).cast("int")
+        return marked.withColumn("_block", F.when(calm, F.lit(0)).otherwise(block))
+    blocks = F.when(calm, one).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return marked.withColumn("_block", F.explode(blocks)).select(*df.columns, "_cell", "_block")
 
 
 def overlapping(a: DataFrame, b: DataFrame, on: Sequence[str] = (), crowd: int = CROWD) -> DataFrame:
@@ -97,11 +114,10 @@ def overlapping(a: DataFrame, b: DataFrame, on: Sequence[str] = (), crowd: int =
     if crowds is None:
         pairs = a.join(b, keys)
     else:
-        pairs = _gridded(a, "a", crowds).join(_gridded(b, "b", crowds), [*keys, "_cell"])
+        pairs = _gridded(a, "a", crowds).join(_gridded(b, "b", crowds), [*keys, "_cell", "_block"])
         px, py = F.greatest(ab[0], bb[0]), F.greatest(ab[1], bb[1])
-        home = _slot(px, "x0", "sx") * F.col("grid") + _slot(py, "y0", "sy")
-        pairs = pairs.filter(F.col("grid").isNull() | (F.col("_cell") == home))
-        pairs = pairs.drop("_cell", "x0", "y0", "sx", "sy", "grid")
+        home = _slot(px, "x") * F.col("gy") + _slot(py, "y")
+        pairs = pairs.filter(F.col("gx").isNull() | (F.col("_cell") == home)).drop("_cell", "_block", *_GRID)
     return pairs.filter(intersection(ab, bb) > 0).withColumn("iou", iou(ab, bb))
 
 
@@ -188,34 +204,71 @@ def _nms_small(rows: DataFrame, threshold: float, compat: bool) -> DataFrame:
 
 
 def _nms_crowded(rows: DataFrame, threshold: float, compat: bool, crowd: int) -> DataFrame:
+    """Exact suppression of crowds: rounds over the best boxes while they settle most of the
+    rest, then rounds over the conflict pairs of what is left."""
+    if threshold >= 1:
+        return rows
     box = ["cx", "cy", "w", "h"]
     best = F.min(F.struct((-F.col("score")).alias("neg"), "det_no")).alias("top")
     flat = (F.col("w") * F.col("h")) <= 0
     # equal boxes conflict with the same boxes, so only the best copy can stay
     solid = rows.filter(~flat).groupBy("image_id", *box).agg(best)
-    if threshold >= 1:
-        return rows
-    solid = cut(solid.select("image_id", *box, F.col("top.neg").alias("neg"), F.col("top.det_no").alias("det_no")))
-    shape = [F.col(c) for c in box] if compat else corner(*[F.col(c) for c in box])
-    a = _corners(solid, "a", shape, {"win": F.col("det_no"), "win_neg": F.col("neg")})
-    b = _corners(solid, "b", shape, {"lose": F.col("det_no"), "lose_neg": F.col("neg")})
-    before = (F.col("win_neg") < F.col("lose_neg")) | ((F.col("win_neg") == F.col("lose_neg")) & (F.col("win") < F.col("lose")))
+    left = cut(solid.select("image_id", *box, F.col("top.neg").alias("neg"), F.col("top.det_no").alias("det_no")))
+    settled, n = [], left.count()
+    while n:
+        chosen, rest = _settle_best(left, threshold, compat, crowd)
+        settled.append(chosen)
+        before, left = n, rest
+        n = left.count()
+        if n > before / 2:
+            settled.append(_settle_pairs(left, threshold, compat, crowd))
+            break
+    if not settled:
+        return rows.filter(flat)
+    kept = settled[0]
+    for part in settled[1:]:
+        kept = kept.unionAll(part)
+    stay = rows.filter(~flat).join(kept, ["image_id", "det_no"], "left_semi")
+    return stay.unionByName(rows.filter(flat)).select(*rows.columns)
+
+
+def _settle_best(left: DataFrame, threshold: float, compat: bool, most: int) -> tuple[DataFrame, DataFrame]:
+    """Folds the ``most`` best boxes of every image; returns the kept ones and the boxes
+    after them that no kept one suppresses."""
+    box = ["cx", "cy", "w", "h"]
+    read = _reader(compat)
+    head = top_k(left, ["image_id"], [F.col("neg"), F.col("det_no")], most).withColumn("score", -F.col("neg"))
+    grouped = head.groupBy("image_id").agg(
+        F.collect_list(F.struct("score", "det_no", *box)).alias("b"), F.max(F.struct("neg", "det_no")).alias("last")
+    )
+    folded = cut(grouped.select("image_id", "last", nms_fold(ranked_boxes(F.col("b")), threshold, read).alias("kept")))
+    small = F.broadcast(folded) if folded.count() * most <= SMALL_TABLE else folded
+    mine = F.struct(*box)
+    hit = F.exists("kept", lambda k: iou(read(k), read(mine)) > threshold)
+    later = F.struct("neg", "det_no") > F.col("last")
+    rest = left.join(small, "image_id").filter(later & ~hit).select(*left.columns)
+    return folded.select("image_id", F.explode("kept.det_no").alias("det_no")), cut(rest)
+
+
+def _settle_pairs(left: DataFrame, threshold: float, compat: bool, crowd: int) -> DataFrame:
+    """Kept boxes by rounds over the conflict pairs: a box that loses to nobody stays, and
+    whatever it beats goes."""
+    shape = [F.col(c) for c in ("cx", "cy", "w", "h")]
+    shape = shape if compat else corner(*shape)
+    a = _corners(left, "a", shape, {"win": F.col("det_no"), "win_neg": F.col("neg")})
+    b = _corners(left, "b", shape, {"lose": F.col("det_no"), "lose_neg": F.col("neg")})
+    first = F.struct(F.col("win_neg"), F.col("win")) < F.struct(F.col("lose_neg").alias("win_neg"), F.col("lose").alias("win"))
     pairs = overlapping(a, b, crowd=crowd)
-    edges = cut(pairs.filter((F.col("iou") > threshold) & before).select("image_id", "win", "lose"))
-    out = None
+    edges = cut(pairs.filter((F.col("iou") > threshold) & first).select("image_id", "win", "lose"))
+    kept = left.select("image_id", "det_no")
     while not edges.isEmpty():
-        # a box that loses to nobody stays, and whatever it beats goes
         losers = edges.select("image_id", F.col("lose").alias("win")).distinct()
         free = edges.join(losers, ["image_id", "win"], "left_anti")
         gone = cut(free.select("image_id", "lose").distinct())
         edges = edges.join(gone, ["image_id", "lose"], "left_anti")
         edges = cut(edges.join(gone.withColumnRenamed("lose", "win"), ["image_id", "win"], "left_anti"))
-        out = gone if out is None else out.unionAll(gone)
-    kept = solid.select("image_id", "det_no")
-    if out is not None:
-        kept = kept.join(out.withColumnRenamed("lose", "det_no"), ["image_id", "det_no"], "left_anti")
-    stay = rows.filter(~flat).join(kept, ["image_id", "det_no"], "left_semi")
-    return stay.unionByName(rows.filter(flat)).select(*rows.columns)
+        kept = cut(kept.join(gone.withColumnRenamed("lose", "det_no"), ["image_id", "det_no"], "left_anti"))
+    return kept
 
 
 # ---- matching and evaluation ----------------------------------------------------------------

@@ -63,7 +63,7 @@ def main():
     import __spark_entry__ as e
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     names = sys.argv[2:] or list(e.queries())
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
