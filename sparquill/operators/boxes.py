@@ -65,7 +65,7 @@ def _crowds(a: DataFrame, b: DataFrame, limit: int) -> DataFrame | None:
             "sy": F.greatest(F.col("y1") - F.col("y0"), F.lit(1e-12)),
         }
     ).withColumns({"gx": cells("sx", "mw"), "gy": cells("sy", "mh")})
-    blocks = F.ceil(F.col("n") / (F.lit(limit) * F.col("gx") * F.col("gy")))
+    blocks = F.ceil(4 * F.col("n") / (F.lit(limit) * F.col("gx") * F.col("gy")))
     found = sized.select(
         "image_id", "x0", "y0", "sx", "sy", "gx", "gy",
         F.greatest(F.lit(1), F.least(blocks, F.lit(BLOCKS))).cast("int").alias("blocks"),
@@ -108,13 +108,20 @@ def overlapping(a: DataFrame, b: DataFrame, on: Sequence[str] = (), crowd: int =
     ``crowd`` boxes is cut into a grid; boxes meet per cell, and a pair counts only in the
     cell of the lowest corner of its intersection.
     """
+    return _pairs(a, b, on, _crowds(a, b, crowd))
+
+
+def _pairs(a: DataFrame, b: DataFrame, on: Sequence[str], crowds: DataFrame | None) -> DataFrame:
     keys = ["image_id", *on]
     ab, bb = [F.col(f"a_{c}") for c in "xywh"], [F.col(f"b_{c}") for c in "xywh"]
-    crowds = _crowds(a, b, crowd)
     if crowds is None:
         pairs = a.join(b, keys)
     else:
-        pairs = _gridded(a, "a", crowds).join(_gridded(b, "b", crowds), [*keys, "_cell", "_block"])
+        met = [*keys, "_cell", "_block"]
+        # few bytes make many pairs here: a fixed number of partitions keeps adaptive
+        # execution from merging them into one task
+        n = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pairs = _gridded(a, "a", crowds).repartition(n, *met).join(_gridded(b, "b", crowds), met)
         px, py = F.greatest(ab[0], bb[0]), F.greatest(ab[1], bb[1])
         home = _slot(px, "x") * F.col("gy") + _slot(py, "y")
         pairs = pairs.filter(F.col("gx").isNull() | (F.col("_cell") == home)).drop("_cell", "_block", *_GRID)
@@ -274,6 +281,21 @@ def _settle_pairs(left: DataFrame, threshold: float, compat: bool, crowd: int) -
 # ---- matching and evaluation ----------------------------------------------------------------
 
 
+def _best_partner(reps: DataFrame, goals: DataFrame, key: list[str], crowds: DataFrame | None) -> DataFrame:
+    """Annotation with the highest IoU per prediction box, the lowest ann_no on ties."""
+    pairs = _pairs(reps, goals, ["class_id"], crowds)
+    if crowds is None:
+        order = F.min(F.struct((-F.col("iou")).alias("neg"), "ann_no")).alias("b")
+        best = pairs.groupBy(*key).agg(order, F.first("top").alias("top"))
+        return best.select(*key, "top", F.col("b.ann_no").alias("ann_no"), (-F.col("b.neg")).alias("best_iou"))
+    # many pairs: a plain maximum is kept in a hash table, a struct would sort all pairs;
+    # the second pass emits only the pairs that reach the maximum
+    peak = cut(pairs.groupBy(*key).agg(F.max("iou").alias("best_iou")))
+    tops = _pairs(reps.join(peak, key), goals, ["class_id"], crowds).filter(F.col("iou") == F.col("best_iou"))
+    low = tops.groupBy(*key, "best_iou").agg(F.min("ann_no").alias("ann_no"))
+    return low.join(reps, key).select(*key, "top", "ann_no", "best_iou")
+
+
 def match(pred: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, crowd: int = CROWD) -> DataFrame:
     """Every prediction with its best same-class annotation and whether it is a true positive.
 
@@ -288,11 +310,7 @@ def match(pred: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, crowd:
     tbox = [c.alias(f"b_{n}") for c, n in zip(corner(*_center()), "xywh")]
     goals = truth.select("image_id", "class_id", "ann_no", *tbox)
     goals = goals.groupBy("image_id", "class_id", "b_x", "b_y", "b_w", "b_h").agg(F.min("ann_no").alias("ann_no"))
-    pairs = overlapping(reps, goals, ["class_id"], crowd)
-    best = pairs.groupBy(*key).agg(
-        F.min(F.struct((-F.col("iou")).alias("neg"), "ann_no")).alias("b"), F.first("top").alias("top")
-    )
-    best = best.select(*key, "top", F.col("b.ann_no").alias("ann_no"), (-F.col("b.neg")).alias("best_iou"))
+    best = _best_partner(reps, goals, key, _crowds(reps, goals, crowd))
     winners = (
         best.filter(F.col("best_iou") >= iou_threshold)
         .groupBy("image_id", "ann_no")
