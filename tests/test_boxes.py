@@ -189,3 +189,12 @@ def test_class_names_have_a_default(spark):
     df = spark.createDataFrame([(0,), (9,)], "class_id int")
     names = spark.createDataFrame([(0, "helmet")], "class_id int, class_name string")
     assert {r.class_name for r in ob.name_classes(df, names).collect()} == {"helmet", "Class 9"}
+
+
+def test_conflict_rounds_equal_the_greedy_rule(spark):
+    pred, _ = make(13, n_pred=40, images=(1,))
+    distinct = list({p[3:7]: p for p in pred}.values())
+    df = spark.createDataFrame(distinct, PRED).withColumn("neg", -F.col("score"))
+    left = df.select("image_id", "cx", "cy", "w", "h", "neg", "det_no")
+    got = {(r.image_id, r.det_no) for r in ob._settle_pairs(left, 0.4, False, 5).collect()}
+    assert got == greedy(distinct, 0.4)
