@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import line_dedup, mixing, quality, shards, urls
+from sparquill.llm import jaccard, line_dedup, mixing, quality, shards, urls
 from sparquill.session import use_utc
 
 
@@ -23,6 +23,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digests(_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op3_mixing, op6_quality, op7_url_filter, op8_sharding)
+    f.__name__: f for f in (op1_line_dedup, op3_mixing, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding)
 }
 
 SQL = {
@@ -73,5 +77,19 @@ rates AS (
     (('0x' || substr(md5('mix-1|' || coalesce(d.doc_id::VARCHAR, 'null') || '|' || md5(coalesce(d.text, ''))), 1, 13))::BIGINT)::DOUBLE / 4503599627370496.0 AS u
   FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) * size AS taken FROM rates
+""",
+    "op5_ngram_jaccard": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared WHERE 100 * common >= 75 * (nx + ny - common)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT s.doc_id, len(s.s) AS n_shingles, r.component_id FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON s.doc_id = r.x
 """,
 }
