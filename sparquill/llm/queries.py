@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import jaccard, line_dedup, mixing, quality, shards, urls
+from sparquill.llm import jaccard, line_dedup, mixing, near_vectors, quality, shards, urls
 from sparquill.session import use_utc
 
 
@@ -39,8 +39,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_groups(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op3_mixing, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding)
+    f.__name__: f for f in (op1_line_dedup, op3_mixing, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding, op9_embedding_dups)
 }
 
 SQL = {
@@ -91,5 +95,16 @@ shared AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(
 links AS (SELECT x, y FROM shared WHERE 100 * common >= 75 * (nx + ny - common)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
 SELECT s.doc_id, len(s.s) AS n_shingles, r.component_id FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON s.doc_id = r.x
+""",
+    "op9_embedding_dups": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm FROM embeddings),
+good AS (SELECT vec_id, list_transform(v, lambda x: x / norm) AS u FROM vectors WHERE norm > 0 AND isfinite(norm) AND NOT list_contains(list_transform(v, lambda x: x IS NULL), true)),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.u) = len(b.u) AND list_dot_product(a.u, b.u) >= 0.9),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON e.vec_id = l.x LEFT JOIN degree d ON e.vec_id = d.x
 """,
 }
