@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import jaccard, line_dedup, mixing, near_vectors, quality, shards, urls
+from sparquill.llm import html_main, jaccard, line_dedup, mixing, near_vectors, pii, quality, shards, urls
 from sparquill.session import use_utc
 
 
@@ -19,10 +19,18 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(_table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digests(_table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digests(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(_table(spark, sf_dir, "documents"))
 
@@ -44,7 +52,8 @@ def op9_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op3_mixing, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding, op9_embedding_dups)
+    f.__name__: f
+    for f in (op1_line_dedup, op2_pii, op3_mixing, op4_html_main, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding, op9_embedding_dups)
 }
 
 SQL = {
