@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import html_main, jaccard, line_dedup, mixing, near_vectors, pii, quality, shards, urls
+from sparquill.llm import html_main, jaccard, line_dedup, mixing, near_vectors, pieces, pii, quality, shards, urls
 from sparquill.session import use_utc
 
 
@@ -51,9 +51,15 @@ def op9_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_groups(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_pii, op3_mixing, op4_html_main, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding, op9_embedding_dups)
+    for f in (
+        op1_line_dedup, op2_pii, op3_mixing, op4_html_main, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding, op9_embedding_dups, op10_sentencepiece,
+    )
 }
 
 SQL = {
