@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import line_dedup, mixing, quality
+from sparquill.llm import jaccard, line_dedup, mixing, pieces, quality
 from sparquill.session import use_utc, work_path
 
 
@@ -18,14 +18,25 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return line_dedup.drop_lines(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with the ids of their texts."""
+    return pieces.encode(docs)
+
+
 STAGES = [
     ("quality rules", drop_bad),
     ("line dedup", drop_repeated_lines),
-    ("mixing sources", mix_sources),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", to_pieces),
 ]
 
 ORACLE_SQL = None
