@@ -58,7 +58,8 @@ def keep_bitmaps(
         "line-firsts",
     )
     documents = firsts.select("h", "doc").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    hits = firsts.join(documents.select("h"), "h")
+    often = stored(documents.select("h"), "repeated-keys")  # stored, so that both sides of the join are plain shuffles, which skewed keys may split
+    hits = firsts.join(often, "h")
     if keep == "first":
         leaders = firsts.groupBy("h").agg(F.min(F.struct("doc", "sig", "pos")).alias("lead"))
         lead = F.col("doc").eqNullSafe(F.col("lead.doc")) & (F.col("sig") == F.col("lead.sig")) & (F.expr("lead.pos div 64") == F.col("word"))
