@@ -25,25 +25,18 @@ RULES = (
     ("net/fr/", "block"),
 )
 
-#: The labelled table: host and path shapes that a curated corpus would take or refuse. 1 is refused.
-LABELLED = (
-    ("http://cheap-pills.shop.example/buy/1", 1), ("https://www.best-pills-online.example/en/viagra", 1), ("http://discount-pharma.example/en/order", 1),
-    ("https://spam-site.example/en/12", 1), ("http://spam-farm.example/fr/99", 1), ("https://link-farm.example/de/5", 1), ("http://seo-spam.example/es/77?x=1", 1),
-    ("http://casino-bonus.example/en/play", 1), ("https://www.free-casino.example/de/slots", 1), ("http://online-poker-win.example/en/13", 1), ("https://bet-now.example/fr/jackpot", 1),
-    ("http://adult-cams.example/en/live", 1), ("https://xxx-videos.example/en/3", 1), ("http://porn-tube.example/es/8", 1), ("https://hot-dating.example/en/meet", 1),
-    ("http://win-prize.example/en/claim", 1), ("https://free-gift-cards.example/en/now", 1), ("http://crypto-doubler.example/en/invest", 1), ("https://fast-loans.example/en/payday", 1),
-    ("http://clickbait-ads.example/track/55", 1), ("https://ads.tracker.example/pixel.gif", 1), ("http://malware-download.example/setup.exe", 1), ("https://warez-crack.example/keygen", 1),
-    ("http://www.royal-casino.example/en/5", 1), ("https://m.casino-spin.example/es/66", 1), ("http://adult-store.example/de/31", 1), ("https://m.adult-chat.example/fr/6?page=2", 1),
-    ("http://ads-network.example/en/90", 1), ("https://click-track.example/es/12", 1), ("http://m.win-big.example/fr/7/", 1), ("https://www.pills-direct.example/de/210", 1),
-    ("http://replica-watches.example/en/sale", 1), ("https://cheap-replica-bags.example/fr/21", 1), ("http://weight-loss-miracle.example/en/2", 1),
-    ("https://www.library.example/en/catalogue/12", 0), ("https://en.encyclopedia.example/wiki/History", 0), ("http://news.daily.example/2024/05/article-8", 0), ("https://blog.garden.example/en/343", 0),
-    ("https://docs.project.example/guide/install.html", 0), ("https://m.weather.example/de/17", 0), ("http://www.university.example/fr/research/55", 0), ("https://museum.example/es/exhibition/4", 0),
-    ("http://forum.science.example/en/thread/91", 0), ("https://recipes.kitchen.example/fr/soup", 0), ("https://www.city-council.example/de/service/33", 0), ("http://blog.travel.example/en/853/", 0),
-    ("https://www.theatre.example/en/programme?page=2", 0), ("https://m.other.example/es/25", 0), ("http://health.institute.example/en/study/7", 0), ("https://books.reading.example/en/148.html", 0),
-    ("http://thering.example/en/328/", 0), ("https://www.tionner.example/de/612", 0), ("http://blog.then.example/fr/65.html", 0), ("https://handes.example/en/777", 0),
-    ("https://www.orchard.example/es/533/", 0), ("http://m.stone.example/en/671?utm_source=feed", 0), ("https://thather.example/fr/414", 0), ("https://bridge.example/en/471", 0), ("http://www.entire.example/de/960", 0),
-    ("https://blog.onener.example/en/453#top", 0),
-)
+#: Words of hosts that a curated corpus would refuse or take; the labelled table is built from them.
+REFUSED = (
+    "casino poker slots jackpot betting lottery win prize giftcard pills pharma viagra meds porn xxx adult sex cams escort dating spam seo linkfarm farm ads adserver "
+    "banner track tracker clickbait popup malware warez crack keygen torrent replica cheap payday loans doubler"
+).split()
+TAKEN = (
+    "library museum archive news daily journal blog garden kitchen recipes travel weather school university research science history music theatre city council "
+    "clinic sports forum wiki docs guide manual books reading river mountain bridge stone village family church market thought tion ering and hand enter"
+).split()
+SHAPES = ("http://{a}-{b}.example/en/{n}", "https://www.{b}-{a}.example/de/{n}/", "http://m.{a}.example/fr/{n}?page=2", "https://blog.{a}{b}.example/es/{n}.html")
+
+
 FEATURES = 1 << 15
 GRAMS = (3, 4, 5)
 #: Labelled rows used at most for training (by URL order of the hash): the bound of what the trainer holds.
@@ -76,7 +69,14 @@ def features(df: DataFrame) -> DataFrame:
 
 
 def labelled_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(u, float(x)) for u, x in LABELLED], "url string, label double")
+    """(url, label): each word in each shape, next to a word of its own class; 1 is refused."""
+    rows = []
+    for label, words in ((1.0, REFUSED), (0.0, TAKEN)):
+        for k, a in enumerate(words):
+            for j, shape in enumerate(SHAPES):
+                b = words[(7 * k + 3 * j + 1) % len(words)]
+                rows.append((shape.format(a=a, b=b, n=(37 * k + 11 * j) % 900 + 1), label))
+    return spark.createDataFrame(rows, "url string, label double")
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel:
