@@ -144,7 +144,7 @@ def augment_boxes(spark, sf):
 def augmentation_effect(spark, sf):
     """Only the annotations move, as if the detector had answered as before."""
     before = _loss(spark, sf).withColumn("loss", F.round("loss", 6))
-    kinds = ["flipped", "rotated"]
+    kinds = ob.AUGMENTATIONS
     tag = F.concat_ws("/", F.col("image_id").cast("string"), "augmentation")
     img = images(spark, sf).withColumn("augmentation", F.explode(F.array(*[F.lit(k) for k in kinds])))
     pred = predictions(spark, sf).withColumn("augmentation", F.explode(F.array(*[F.lit(k) for k in kinds])))
@@ -268,12 +268,12 @@ losses AS (SELECT {key}, coalesce(n_pred, 0) AS n_pred, coalesce(n_truth, 0) AS
 
 
 _MOVED = """,
-kinds AS (SELECT unnest(['flipped', 'rotated']) AS augmentation),
+kinds AS (SELECT unnest(['flipped', 'blurred', 'resized', 'rotated', 'brightness', 'contrast']) AS augmentation),
 moved AS (SELECT image_id, augmentation, box_no, predicted, class_id, score,
-   CASE WHEN predicted THEN cx WHEN augmentation = 'flipped' THEN 1 - cx ELSE 1 - cy END AS cx,
-   CASE WHEN predicted OR augmentation = 'flipped' THEN cy ELSE cx END AS cy,
-   CASE WHEN predicted OR augmentation = 'flipped' THEN w ELSE h END AS w,
-   CASE WHEN predicted OR augmentation = 'flipped' THEN h ELSE w END AS h
+   CASE WHEN predicted THEN cx WHEN augmentation = 'flipped' THEN 1 - cx WHEN augmentation = 'rotated' THEN 1 - cy ELSE cx END AS cx,
+   CASE WHEN predicted OR augmentation <> 'rotated' THEN cy ELSE cx END AS cy,
+   CASE WHEN predicted OR augmentation <> 'rotated' THEN w ELSE h END AS w,
+   CASE WHEN predicted OR augmentation <> 'rotated' THEN h ELSE w END AS h
    FROM b, kinds)
 """
 

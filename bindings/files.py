@@ -160,7 +160,7 @@ def robustness_variants(spark, sf):
 
 
 def image_to_tensor(spark, sf):
-    out = oi.to_tensor(pictures(spark, sf), 16)
+    out = oi.to_tensor(pictures(spark, sf))
     return rounded(out.select("origin", F.size("tensor").alias("n"), F.array_max("tensor").cast("double").alias("top")), 4)
 
 
@@ -182,7 +182,7 @@ def identify_images(spark, sf):
 
 def detect_frames(spark, sf):
     out = oi.detect_frames(pictures(spark, sf), every=2, score_threshold=0.5)
-    return out.select("frame_index", "part", F.size("bboxes").alias("n"), "class_ids")
+    return out.select("frame_index", F.size("bboxes").alias("n"), "class_ids")
 
 
 # ---- history and streams --------------------------------------------------------------------------------
@@ -267,7 +267,7 @@ def stream_metrics(spark, sf):
     out, point = work_path(spark, "stream"), work_path(spark, "point")
     log = _event_stream(spark, sf).select((F.col("value") / 1000).alias("query_time"))
     _finish(streams.running_metrics(log, out, point))
-    return rounded(spark.read.parquet(out).drop("batch"))
+    return rounded(streams.newest_metrics(spark, out))
 
 
 QUERIES = {

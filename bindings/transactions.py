@@ -161,7 +161,7 @@ def describe_features(spark, sf):
 
 
 def density_histogram(spark, sf):
-    return rounded(profile.density_histogram(_labelled(spark, sf), "amt", ["is_fraud"], 50))
+    return rounded(profile.density_histogram(_labelled(spark, sf), "amt", ["is_fraud"], 500))
 
 
 def time_since_prev(spark, sf):
@@ -212,6 +212,21 @@ def time_split(spark, sf):
     return _split(spark, sf).select("o_orderkey", "o_orderdate", "split")
 
 
+def _loose_transactions(spark, sf):
+    """Transactions with their string key, every ninth without a time."""
+    t = transactions(spark, sf)
+    return t.withColumn("trans_date_trans_time", F.when(_event_number() % 9 != 0, F.col("trans_date_trans_time")))
+
+
+def time_split_transactions(spark, sf):
+    out = split.time_split(_loose_transactions(spark, sf), "trans_date_trans_time", "trans_num", 0.1)
+    return out.select("trans_num", "split")
+
+
+def time_folds_transactions(spark, sf):
+    return split.time_folds(_loose_transactions(spark, sf), "trans_date_trans_time", "trans_num", 4).select("trans_num", "segment")
+
+
 def time_split_range(spark, sf):
     out = split.time_split(_orders(spark, sf), "o_orderdate", "o_orderkey", 0.33, "1996-03-01", "1998-06-30")
     return out.select("o_orderkey", "o_orderdate", "split")
@@ -329,7 +344,7 @@ def _train(kind, **params):
 
 def _package(spark, sf):
     train, test = _model_data(spark, sf)
-    return model.train(train, test, "bagging", numTrees=10, maxDepth=5), test
+    return model.train(train, test, "bagging"), test
 
 
 def score_batch(spark, sf):
@@ -359,17 +374,17 @@ QUERIES = {
         validate_input, rate_by_hour, rate_by_category, chi_square, chi_square_hour, chi_square_two_by_two,
         chi_square_expected, ks_two_sample, describe_by_label, describe_features, density_histogram, time_since_prev,
         interval_by_label, interval_ks, profile_table, profile_completeness, profile_columns, profile_outliers, time_split,
-        time_split_range, stratified_split, time_folds, split_profile, sink_roundtrip, sink_split, time_features,
+        time_split_range, time_split_transactions, time_folds_transactions, stratified_split, time_folds, split_profile, sink_roundtrip, sink_split, time_features,
         standard_scale, target_encode, target_encode_test, feature_vector, pr_curve, best_threshold, metric_alert, preview,
         score_batch, model_registry,
     )
 }
 QUERIES["rate_by_weekday"] = _rate(F.weekday, "weekday")
 QUERIES["rate_by_month"] = _rate(F.month, "month")
-QUERIES["train_forest"] = _train("forest", maxDepth=5)
-QUERIES["train_bagging"] = _train("bagging", maxDepth=5)
-QUERIES["train_extra"] = _train("extra", maxDepth=5)
-QUERIES["train_mlp"] = _train("mlp", maxIter=60)
+QUERIES["train_forest"] = _train("forest")
+QUERIES["train_bagging"] = _train("bagging")
+QUERIES["train_extra"] = _train("extra")
+QUERIES["train_mlp"] = _train("mlp")
 
 # ---- the same in SQL ----------------------------------------------------------------------------
 
@@ -507,10 +522,10 @@ SQL = {
           unnest([amt, merch_lat, merch_long, sin(2 * pi() * hour(trans_date_trans_time) / 24)]) AS v FROM txn)
         """ + _describe("v", "l", "column_name"),
     "density_histogram": _T + """, q AS (SELECT is_fraud, quantile_cont(amt, 0.99) AS lim FROM lt GROUP BY 1),
-        b AS (SELECT is_fraud, least(floor(amt / (lim / 50)), 49)::INTEGER AS bin, lim, count(*) AS n FROM lt JOIN q USING (is_fraud)
+        b AS (SELECT is_fraud, least(floor(amt / (lim / 500)), 499)::INTEGER AS bin, lim, count(*) AS n FROM lt JOIN q USING (is_fraud)
           WHERE amt >= 0 AND amt <= lim GROUP BY ALL)
-        SELECT is_fraud, bin, round(bin * (lim / 50), 6) AS bin_start, n,
-          round(n / (sum(n) OVER (PARTITION BY is_fraud) * (lim / 50)), 6) AS density FROM b""",
+        SELECT is_fraud, bin, round(bin * (lim / 500), 6) AS bin_start, n,
+          round(n / (sum(n) OVER (PARTITION BY is_fraud) * (lim / 500)), 6) AS density FROM b""",
     "time_since_prev": _T + _GAP.format(src="txn") + "SELECT trans_num, cc_num, round(m, 6) AS minutes_since_prev FROM gaps",
     "interval_by_label": _T + _GAP.format(src="lt") + """SELECT is_fraud, round(avg(m), 4) AS mean_minutes_since_prev, count(m) AS n
         FROM gaps GROUP BY 1""",
@@ -534,6 +549,10 @@ SQL = {
     "time_split_range": _ORD + """SELECT o_orderkey, o_orderdate, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey) <=
           floor(count(*) OVER () * (1 - 0.33::DOUBLE)) THEN 'train' ELSE 'test' END AS split
         FROM o WHERE o_orderdate BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1998-06-30'""",
+    "time_split_transactions": _T + """SELECT trans_num, CASE WHEN row_number() OVER (ORDER BY CASE WHEN event_id % 9 <> 0 THEN trans_date_trans_time END NULLS LAST, trans_num)
+          <= floor(count(*) OVER () * (1 - 0.1::DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM txn""",
+    "time_folds_transactions": _T + """SELECT trans_num, ((r > c * 1 // 5)::INT + (r > c * 2 // 5)::INT + (r > c * 3 // 5)::INT + (r > c * 4 // 5)::INT) AS segment
+        FROM (SELECT trans_num, row_number() OVER (ORDER BY CASE WHEN event_id % 9 <> 0 THEN trans_date_trans_time END NULLS LAST, trans_num) AS r, count(*) OVER () AS c FROM txn)""",
     "stratified_split": _ORD + """SELECT o_orderkey, CASE WHEN row_number() OVER (PARTITION BY o_orderstatus ORDER BY
           ('0x' || substr(md5('42-' || o_orderkey), 1, 15))::BIGINT, o_orderkey)
           <= floor(count(*) OVER (PARTITION BY o_orderstatus) * (1 - 0.2::DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM o""",

@@ -48,9 +48,9 @@ def knn_meta(spark, sf):
     return rounded(out.select("query_id", "rank", "vec_id", "distance", "meta.name", "meta.filename"), 5)
 
 
-def _hits(spark, sf, metric="euclidean", **params):
+def _hits(spark, sf, metric="euclidean", k=K, **params):
     g, q = gallery(spark, sf), probes(spark, sf)
-    found = ok.with_meta(ok.knn(q, g, K, metric, **params), g)
+    found = ok.with_meta(ok.knn(q, g, k, metric, **params), g)
     truth = q.select("query_id", F.col("name").alias("true_name"))
     return found.join(truth, "query_id").select("query_id", "rank", (F.col("meta.name") == F.col("true_name")).alias("hit"))
 
@@ -61,10 +61,10 @@ def map_at_k(spark, sf):
 
 def map_grid(spark, sf):
     out = None
-    for metric in ("euclidean", "cosine", "dot_product"):
-        part = _hits(spark, sf, metric).withColumn("metric", F.lit(metric))
+    for metric in ("euclidean", "cosine", "dot_product", "minkowski"):
+        part = _hits(spark, sf, metric, k=20).withColumn("metric", F.lit(metric))
         out = part if out is None else out.unionAll(part)
-    return rounded(ok.map_grid(out, [2, 5, 10], ("metric",)))
+    return rounded(ok.map_grid(out, [2, 5, 10, 15, 20], ("metric",)))
 
 
 def knn_recall(spark, sf):
@@ -113,9 +113,9 @@ QUERIES = {
     "knn_meta": knn_meta,
     "knn_ivf": _knn(method="ivf", nlist=16, nprobe=4),
     "knn_ivf_all_cells": _knn(method="ivf", nlist=16, nprobe=16),
-    "knn_pq": _knn(method="pq", m=8, bits=5),
-    "knn_pq_refined": _knn(method="pq", m=8, bits=5, refine=5),
-    "knn_ivfpq": _knn(method="ivfpq", nlist=16, nprobe=4, m=8, bits=5),
+    "knn_pq": _knn(method="pq", m=8),
+    "knn_pq_refined": _knn(method="pq", m=8, refine=5),
+    "knn_ivfpq": _knn(method="ivfpq", nlist=16, nprobe=4, m=8),
     "knn_ivfsq": _knn(method="ivfsq", nlist=16, nprobe=4),
     "knn_lsh": _knn(method="lsh", num_bits=8),
     "knn_binary": _knn(method="binary"),
@@ -193,9 +193,9 @@ SQL = {
       SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank,
         vec_id, distance FROM d QUALIFY rank <= 10""",
     "map_at_k": _ranked("euclidean") + _AP.format(src="r", by="") + "SELECT query_id, round(ap, 6) AS ap FROM ap",
-    "map_grid": _ranked("euclidean") + _ranked("cosine", K, "rc", False) + _ranked("dot_product", K, "rd", False) + """,
-      every AS (SELECT 'euclidean' AS metric, * FROM r UNION ALL SELECT 'cosine', * FROM rc UNION ALL SELECT 'dot_product', * FROM rd),
-      grid AS (SELECT metric, k::INTEGER AS k, every.* EXCLUDE (metric) FROM every, (SELECT unnest([2, 5, 10]) AS k) WHERE rank <= k)"""
+    "map_grid": _ranked("euclidean", 20) + _ranked("cosine", 20, "rc", False) + _ranked("dot_product", 20, "rd", False) + _ranked("minkowski", 20, "rm", False) + """,
+      every AS (SELECT 'euclidean' AS metric, * FROM r UNION ALL SELECT 'cosine', * FROM rc UNION ALL SELECT 'dot_product', * FROM rd UNION ALL SELECT 'minkowski', * FROM rm),
+      grid AS (SELECT metric, k::INTEGER AS k, every.* EXCLUDE (metric) FROM every, (SELECT unnest([2, 5, 10, 15, 20]) AS k) WHERE rank <= k)"""
     + _AP.format(src="grid", by="metric, k, ")
     + "SELECT metric, k, round(avg(ap), 6) AS map, count(*) AS queries FROM ap GROUP BY ALL",
     "identify": _ranked("cosine", 5) + "SELECT query_id AS probe, list(filename ORDER BY rank) AS files FROM r GROUP BY 1",

@@ -87,9 +87,13 @@ def overlap_f1(a: Column | str, b: Column | str) -> Column:
     return once(F.struct(x.alias("x"), y.alias("y")), f1)
 
 
+# Fixed value: the prompt template.
+PROMPT = "Question: %s\n\nContext: %s\n\n"
+
+
 def prompt(question: Column | str, context: Column | str) -> Column:
     """Question and comma-joined contexts in the fixed template."""
-    return F.format_string("Question: %s\n\nContext: %s\n\n", question, F.array_join(context, ", "))
+    return F.format_string(PROMPT, question, F.array_join(context, ", "))
 
 
 def first_number(score: Column | str) -> Column:

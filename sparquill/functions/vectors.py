@@ -41,21 +41,3 @@ def distance(a: Column, b: Column, metric: str = "euclidean", p: float = 3.0) ->
     if metric == "cosine":
         return 1 - F.coalesce(F.try_divide(dot(a, b), norm(a) * norm(b)), F.lit(0.0))
     raise ValueError(f"unknown metric {metric!r}")
-
-
-def sign_bits(v: Column, dim: int) -> Column:
-    """Positive components as packed bits, 62 per number."""
-    words = []
-    for start in range(0, dim, 62):
-        part = F.slice(v, start + 1, 62)
-        words.append(
-            F.aggregate(part, F.lit(0).cast("bigint"), lambda acc, x: acc * 2 + F.when(x > 0, 1).otherwise(0).cast("bigint"))
-        )
-    return F.array(*words)
-
-
-def hamming(a: Column, b: Column) -> Column:
-    """Differing bits of two packed codes."""
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n.cast("int")
-    )

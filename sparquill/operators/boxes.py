@@ -529,25 +529,14 @@ AUGMENTATIONS = ["flipped", "blurred", "resized", "rotated", "brightness", "cont
 # ---- per-frame results ----------------------------------------------------------------------
 
 
-def frame_results(boxes: DataFrame, frames: DataFrame, frame: str = "image_id", most: int = CROWD) -> DataFrame:
-    """Frames with parallel lists of boxes, classes and scores in score order.
-
-    A frame is one row (part 0). Frames with more than ``most`` boxes come in several
-    parts of bounded length, so that no list grows without limit.
-    """
-    counts = boxes.groupBy(frame).agg(F.count("*").alias("_n"))
-    parts = counts.select(frame, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_parts"))
+def frame_results(boxes: DataFrame, frames: DataFrame, frame: str = "image_id") -> DataFrame:
+    """One row per frame, whatever its boxes: parallel lists of boxes, classes and scores in score order."""
     item = F.struct((-F.col("score")).alias("neg"), "det_no", "cx", "cy", "w", "h", "class_id", "score")
-    if counts.filter(F.col("_n") > most).isEmpty():
-        placed = boxes.withColumn("part", F.lit(0))
-    else:
-        placed = boxes.join(parts, frame).withColumn("part", F.pmod(F.xxhash64("det_no"), F.col("_parts")).cast("int"))
-    grouped = placed.groupBy(frame, "part").agg(F.array_sort(F.collect_list(item)).alias("d"))
+    grouped = boxes.groupBy(frame).agg(F.array_sort(F.collect_list(item)).alias("d"))
     joined = frames.select(frame).join(grouped, frame, "left")
     d = F.coalesce("d", F.expr("array()").cast(grouped.schema["d"].dataType))
     return joined.select(
         F.col(frame).alias("frame_index"),
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.transform(d, lambda s: F.array(s["cx"], s["cy"], s["w"], s["h"])).alias("bboxes"),
         F.transform(d, lambda s: s["class_id"]).alias("class_ids"),
         F.transform(d, lambda s: s["score"]).alias("scores"),
@@ -556,12 +545,9 @@ def frame_results(boxes: DataFrame, frames: DataFrame, frame: str = "image_id",
 
 def run_metrics(results: DataFrame, seconds: float) -> DataFrame:
     """Frames, frames per second (0 if no time) and mean confidence over all boxes (0 if none)."""
-    per_part = results.select(
-        "frame_index",
-        F.size("scores").alias("n"),
-        F.aggregate("scores", F.lit(0.0), lambda a, s: a + s.cast("double")).alias("s"),
+    totals = results.select(
+        F.size("scores").cast("bigint").alias("n"), F.aggregate("scores", F.lit(0.0), lambda a, s: a + s.cast("double")).alias("s")
     )
-    totals = per_part.groupBy("frame_index").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     fps = F.count("*") / F.lit(float(seconds)) if seconds > 0 else F.lit(0.0)
     return totals.agg(
         F.count("*").alias("total_frames"),

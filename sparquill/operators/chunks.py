@@ -30,7 +30,7 @@ def _exploded(df: DataFrame, chunks: Column, text: str) -> DataFrame:
 def chunk_fixed(df: DataFrame, length: int, overlap: int = 2, text: str = "text") -> DataFrame:
     """Windows of ``length`` words, each sharing ``overlap`` words with the next."""
     if length < 1 or overlap < 0 or length - overlap < 1:
-        raise ValueError("overlap must be smaller than length")
+        raise ValueError(f"windows of {length} words cannot share {overlap} words")
     return _exploded(df, _windows(words(text), length, length - overlap), text)
 
 
@@ -43,11 +43,10 @@ def chunk_sentences(df: DataFrame, sentences_per_chunk: int, text: str = "text")
 
 def chunk(df: DataFrame, strategy: str, fixed_length: int | None = None, overlap_size: int = 2) -> DataFrame:
     """Chunking by name: ``sentence`` (overlap_size sentences each) or ``fixed-length``."""
-    if strategy == "sentence":
-        return chunk_sentences(df, overlap_size)
-    if strategy == "fixed-length" and fixed_length:
-        return chunk_fixed(df, fixed_length, overlap_size)
-    raise ValueError("Invalid chunking strategy or missing fixed_length parameter")
+    ways = {"sentence": lambda: chunk_sentences(df, overlap_size), "fixed-length": lambda: chunk_fixed(df, fixed_length or 0, overlap_size)}
+    if strategy not in ways:
+        raise ValueError(f"{strategy!r} names no chunking; choose from {', '.join(sorted(ways))}")
+    return ways[strategy]()
 
 
 def embed_text(df: DataFrame, text: str, dim: int = 384, out: str = "embedding") -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -132,7 +131,3 @@ def hashed_fold(id_col: str, folds: int = FOLDS) -> Column:
 def feature_vector(df: DataFrame, columns: list[str], out: str = "features") -> DataFrame:
     """Features side by side on the same row."""
     return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid="error").transform(df)
-
-
-def any_null(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sparquill.operators import boxes as ob
 from sparquill.operators.boxes import AUGMENTATIONS
+from sparquill.session import cut
 from sparquill.sources.readers import frame_sample
 
 # Channel means and deviations (RGB), sizes, kernel and steps.
@@ -56,26 +57,20 @@ def _resize_weights(n_in: int, n_out: int, smooth: bool) -> np.ndarray:
     return w / w.sum(axis=1, keepdims=True)
 
 
-@lru_cache(maxsize=64)
-def _blur_weights(n: int, sigma: float, radius: int) -> np.ndarray:
-    """Gaussian blur along one axis as a matrix, mirrored at the border without repeating the edge."""
-    offsets = np.arange(-radius, radius + 1)
-    kernel = np.exp(-(offsets**2) / (2 * sigma**2))
-    kernel /= kernel.sum()
-    w = np.zeros((n, n))
-    period = max(2 * (n - 1), 1)
-    for d, k in zip(offsets, kernel):
-        j = np.abs(np.arange(n) + d) % period
-        np.add.at(w, (np.arange(n), np.where(j >= n, period - j, j)), k)
-    return w
-
-
 def _both_axes(img: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     return np.einsum("yi,ijc,xj->yxc", rows, img.astype(float), cols, optimize=True)
 
 
 def blur(img: np.ndarray, sigma: float, radius: int) -> np.ndarray:
-    return _clip(_both_axes(img, _blur_weights(img.shape[0], sigma, radius), _blur_weights(img.shape[1], sigma, radius)))
+    """Gaussian blur, one axis after the other, as a sum of shifted slices; the border is mirrored without its edge."""
+    kernel = np.exp(-(np.arange(-radius, radius + 1) ** 2) / (2 * sigma**2))
+    kernel /= kernel.sum()
+    out = img.astype(float)
+    for axis in (0, 1):
+        n = out.shape[axis]
+        wide = np.pad(out, [(radius, radius) if k == axis else (0, 0) for k in range(3)], mode="reflect" if n > 1 else "edge")
+        out = sum(w * wide.take(range(d, d + n), axis) for d, w in enumerate(kernel))
+    return _clip(out)
 
 
 def resize(img: np.ndarray, size: tuple[int, int], smooth: bool = False) -> np.ndarray:
@@ -117,7 +112,7 @@ def distorted(img: np.ndarray, kind: str, factor: float) -> np.ndarray:
         return _clip(mean + factor * (img - mean))
     if kind == "blur":
         return blur(img, factor, int(np.ceil(3 * factor)))
-    raise ValueError("Unknown transformation type")
+    raise ValueError(f"no distortion is called {kind!r}; there are brightness, contrast and blur")
 
 
 def _variants(images: DataFrame, names: Sequence[str], make: Callable[[np.ndarray, str], np.ndarray]) -> DataFrame:
@@ -242,5 +237,6 @@ def detect_frames(
 ) -> DataFrame:
     """Every N-th frame through detector, score filter and suppression to lists per frame."""
     picked = frame_sample(frames, every, "image_id")
-    kept = ob.nms(ob.postprocess(detect(picked, factory), score_threshold).drop("class_scores"), nms_threshold)
+    raw = cut(detect(picked, factory))  # stored: the detector sees each frame once, however often the boxes are read
+    kept = ob.nms(ob.postprocess(raw, score_threshold).drop("class_scores"), nms_threshold)
     return ob.frame_results(kept, picked)

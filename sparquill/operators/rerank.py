@@ -384,7 +384,7 @@ def sequential_rerank(queries, candidates, k: int = 5, subset_size: int = SUBSET
 def rerank(queries: DataFrame, candidates: DataFrame, strategy: str = "tfidf", k: int = 5, **options) -> DataFrame:
     """Ranking by strategy name."""
     if strategy not in STRATEGIES:
-        raise ValueError(f"Unknown re-ranking strategy: {strategy}")
+        raise ValueError(f"{strategy!r} names no reranking; choose from {', '.join(STRATEGIES)}")
     if strategy == "sequential":
         return sequential_rerank(queries, candidates, k, **options)
     if strategy == "tfidf_corpus":

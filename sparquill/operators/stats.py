@@ -116,7 +116,8 @@ def time_since_prev(df: DataFrame, card: str, ts: str, tie: str, out: str = "min
         .select(card, ts, "_first", F.coalesce("_lag", "_carry").alias("_prev"))
     )
     gap = (micros(ts) - micros("_prev")) / F.lit(6e7)
-    joined = df.join(prev, [card, ts], "left")
+    known = F.col(card).isNotNull() & F.col(ts).isNotNull()  # rows without a card or time have no previous one and stay where they are
+    joined = df.filter(known).join(prev, [card, ts], "left").unionByName(df.filter(~known), allowMissingColumns=True)
     return joined.select(
         *df.columns, F.when(F.col(tie) == F.col("_first"), gap).when(F.col("_first").isNotNull(), F.lit(0.0)).alias(out)
     )

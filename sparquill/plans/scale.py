@@ -123,53 +123,109 @@ def exact_quantiles(
     )
 
 
-def kth_row(df: DataFrame, order: Sequence[str], k: int, small: int = 200_000):
-    """The k-th row (from 1) in the order of the given columns, as a Row of these columns.
+def order_keys(df: DataFrame, name: str) -> list[Column]:
+    """Doubles that, compared one after the other, order the rows as ``name`` ascending does, nulls last.
+
+    Strings are cut into six bytes per key, whole numbers and times into two halves, so that no key is rounded.
+    """
+    kind, c = df.schema[name].dataType, F.col(name)
+    null = c.isNull().cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        longest = df.agg(F.max(F.octet_length(name))).first()[0] or 0
+        digits = F.hex(c.cast("binary"))
+        pieces = [F.conv(F.rpad(F.substring(digits, 12 * i + 1, 12), 12, "0"), 16, 10).cast("double") for i in range(-(-longest // 6))]
+        return [null, *[F.coalesce(p, F.lit(0.0)) for p in pieces], F.coalesce(F.octet_length(c).cast("double"), F.lit(0.0))]
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.IntegralType, T.BooleanType, T.DateType)):
+        whole = numeric_long(c, kind)
+        high = F.shiftright(whole, 26)
+        return [null, F.coalesce(high.cast("double"), F.lit(0.0)), F.coalesce((whole - F.shiftleft(high, 26)).cast("double"), F.lit(0.0))]
+    if isinstance(kind, T.DecimalType):
+        high = F.floor(c / F.lit(10**9).cast("decimal(20,0)"))
+        return [null, F.coalesce(high.cast("double"), F.lit(0.0)), F.coalesce((c - high * F.lit(10**9).cast("decimal(20,0)")).cast("double"), F.lit(0.0))]
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return [null, F.isnan(c).cast("double"), F.coalesce(F.when(~F.isnan(c), c.cast("double")), F.lit(0.0))]
+    raise TypeError(f"column {name} has no order: {kind.simpleString()}")
+
+
+def numeric_long(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return micros(c)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    return c.cast("int").cast("bigint") if isinstance(kind, T.BooleanType) else c.cast("bigint")
 
-    Distributed selection: each pass reads only the order columns, narrows the value
-    range around the wanted rank, and the last few rows are sorted. No row is moved.
+
+def kth_rows(df: DataFrame, order: Sequence[str], wanted: Sequence[tuple[Column, int]], small: int = 200_000) -> list:
+    """For every (predicate, k): the k-th row, from 1, of the rows that satisfy the predicate; None beyond the last.
+
+    Rows sort by the given columns ascending, nulls last, at every size. Distributed selection: each pass is one or two aggregates for all
+    selections together and narrows the range of one key around each wanted rank; the last ``small`` rows of a selection are sorted. No
+    other row is moved. Equal rows are interchangeable.
     """
-    frame = df.select(*order)
-    left = k
-    for name in order:
-        value = numeric(frame, name)
-        while True:
-            n = frame.count()
-            if n <= small:
-                break
-            p = (left - 0.5) / n
-            probs = [max(p - 0.002, 0.0), min(p + 0.002, 1.0)]
-            lo, hi = frame.agg(F.percentile_approx(value, probs, 10_000).alias("q")).first()["q"]
-            c = frame.agg(
-                F.count_if(value < lo).alias("below"),
-                F.count_if(value == lo).alias("at_lo"),
-                F.count_if((value >= lo) & (value <= hi)).alias("inside"),
-                F.count_if(value == hi).alias("at_hi"),
-            ).first()
-            single = False
-            if left <= c.below:
-                keep = value < lo
-            elif left > c.below + c.inside:
-                keep, left = value > hi, left - c.below - c.inside
-            elif left <= c.below + c.at_lo:
-                keep, left, single = value == lo, left - c.below, True
-            elif left > c.below + c.inside - c.at_hi:
-                keep, left, single = value == hi, left - (c.below + c.inside - c.at_hi), True
+    keys: list[Column] | None = None
+    state = [{"keep": F.coalesce(p, F.lit(False)), "left": k, "at": 0} for p, k in wanted]
+    if not state:
+        return []
+    sizes = df.agg(*[F.count_if(s["keep"]).alias(f"n{i}") for i, s in enumerate(state)]).first()
+    for i, s in enumerate(state):
+        s["n"] = sizes[i]
+    while True:
+        if keys is None and any(s["n"] > small for s in state):
+            keys = [key for name in order for key in order_keys(df, name)]
+        active = [s for s in state if s["n"] > small and s["at"] < len(keys or []) and 0 < s["left"] <= s["n"]]
+        if not active:
+            break
+        aggs = []
+        for i, s in enumerate(active):
+            p = (s["left"] - 0.5) / s["n"]
+            aggs.append(F.percentile_approx(F.when(s["keep"], keys[s["at"]]), [max(p - 0.002, 0.0), min(p + 0.002, 1.0)], 10_000).alias(f"q{i}"))
+        bounds = df.agg(*aggs).first()
+        aggs = []
+        for i, s in enumerate(active):
+            (lo, hi), value = bounds[i], keys[s["at"]]
+            for name, test in (("below", value < lo), ("lo", value == lo), ("inside", (value >= lo) & (value <= hi)), ("hi", value == hi)):
+                aggs.append(F.count_if(s["keep"] & test).alias(f"{name}{i}"))
+        counts = df.agg(*aggs).first()
+        for i, s in enumerate(active):
+            (lo, hi), value, left = bounds[i], keys[s["at"]], s["left"]
+            below, at_lo, inside, at_hi = (counts[f"{c}{i}"] for c in ("below", "lo", "inside", "hi"))
+            if left <= below:
+                test, n = value < lo, below
+            elif left > below + inside:
+                test, n, left = value > hi, s["n"] - below - inside, left - below - inside
+            elif left <= below + at_lo:
+                test, n, left, s["at"] = value == lo, at_lo, left - below, s["at"] + 1  # one value left: on to the next key
+            elif left > below + inside - at_hi:
+                test, n, left, s["at"] = value == hi, at_hi, left - (below + inside - at_hi), s["at"] + 1
             else:
-                keep, left = (value > lo) & (value < hi), left - c.below - c.at_lo
-            frame = frame.filter(keep)
-            if single:
-                break  # one value left: go on with the next order column
-    rows = frame.orderBy(*order).offset(left - 1).limit(1).collect()
-    return rows[0] if rows else None
+                test, n, left = (value > lo) & (value < hi), inside - at_lo - at_hi, left - below - at_lo
+            s.update(keep=s["keep"] & test, n=n, left=left)
+    sort = [F.col(c).asc_nulls_last() for c in order]
+    out = []
+    for s in state:
+        if not 0 < s["left"] <= s["n"]:
+            out.append(None)
+        elif s["n"] > small:  # equal in all keys: any of them
+            out.append(df.filter(s["keep"]).select(*order).first())
+        else:
+            out.append(df.filter(s["keep"]).select(*order).orderBy(*sort).offset(s["left"] - 1).limit(1).first())
+    return out
+
+
+def kth_row(df: DataFrame, order: Sequence[str], k: int, small: int = 200_000):
+    """The k-th row (from 1) in the order of the given columns, nulls last, as a Row of these columns."""
+    return kth_rows(df, order, [(F.lit(True), k)], small)[0]
 
 
 def up_to(row, order: Sequence[str]) -> Column:
-    """Predicate: the row sorts at or before the given one (lexicographic, literal bound)."""
+    """Predicate: the row sorts at or before the given one (lexicographic, nulls last, literal bounds)."""
     test = F.lit(True)
     for name in reversed(list(order)):
-        bound = F.lit(row[name])
-        test = (F.col(name) < bound) | ((F.col(name) == bound) & test)
+        c, bound = F.col(name), row[name]
+        if bound is None:
+            test = c.isNotNull() | test
+        else:
+            test = F.coalesce((c < F.lit(bound)) | ((c == F.lit(bound)) & test), F.lit(False))
     return test
 
 

@@ -8,19 +8,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(app: str = "sparquill", **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on: UTC time and adaptive execution."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
-
-
 def use_utc(spark: SparkSession) -> None:
     """Naive timestamps are read as UTC everywhere, so the session must be in UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -37,7 +24,7 @@ def shared_root(spark: SparkSession) -> str:
     if not root and sc.getCheckpointDir():
         root = sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="sparquill-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of the given files.
 CUSTOMER_SCHEMA = (
     "cc_num string, first string, last string, sex string, street string, city string, state string, "
     "zip string, lat double, long double, city_pop bigint, job string, dob string"
@@ -30,10 +31,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_label_map(
-    spark: SparkSession, path: str, names: tuple[str, str] = ("trans_num", "is_fraud"), whole: bool = True
+    spark: SparkSession, path: str, names: tuple[str, str] = ("trans_num", "is_fraud"), whole: bool = False
 ) -> DataFrame:
-    """JSON objects {key: 0|1} to rows: one object per file, or per line if not ``whole``.
-    A file read whole must fit in a task; see read_label_lines for large ones."""
+    """JSON objects {key: 0|1} to rows: one object per line, so that files are split, or one per file if ``whole``.
+    A file read whole must fit in a task; see read_label_lines for an object printed over many lines."""
     text = spark.read.text(path, wholetext=whole)
     pairs = text.select(F.explode(F.from_json("value", "map<string,int>")).alias("k", "v"))
     return pairs.toDF(*names)
@@ -49,8 +50,8 @@ def read_label_lines(spark: SparkSession, path: str, names: tuple[str, str] = ("
     ).select(F.col("k").alias(names[0]), value.alias(names[1]))
 
 
-def read_transactions_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """One object or an array of objects, all fields as text; ``lines`` reads one object per line (splittable)."""
+def read_transactions_json(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Objects with all fields as text: one per line, so that files are split; without ``lines``, one object or an array per file."""
     schema = ", ".join(f"{c} string" for c in TRANSACTION_FIELDS)
     return spark.read.schema(schema).option("multiLine", not lines).json(path)
 

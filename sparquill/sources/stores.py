@@ -34,7 +34,7 @@ def load_gallery(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]
 
 def checked_vectors(rows: DataFrame, dim: int) -> DataFrame:
     """Fails the job on a vector of another dimension."""
-    wrong = F.raise_error(F.lit(f"New vector must have {dim} dimensions.")).cast(rows.schema["embedding"].dataType)
+    wrong = F.raise_error(F.lit(f"the gallery holds vectors of length {dim}")).cast(rows.schema["embedding"].dataType)
     return rows.withColumn("embedding", F.when(F.size("embedding") == dim, F.col("embedding")).otherwise(wrong))
 
 
@@ -94,16 +94,16 @@ class Registry:
     def list(self) -> list[str]:
         p, fs = _path(self.spark, self.root)
         if not fs.exists(p):
-            raise FileNotFoundError(f"Model directory not found: {self.root}")
+            raise FileNotFoundError(f"{self.root} does not exist")
         names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
         if not names:
-            raise FileNotFoundError("No models available in the model directory.")
+            raise FileNotFoundError(f"{self.root} holds no version")
         return names
 
     def load(self, version: str) -> dict:
         base = f"{self.root}/{version}"
         if not _exists(self.spark, f"{base}/meta"):
-            raise FileNotFoundError(f"Model not found in {base}")
+            raise FileNotFoundError(f"version {version} has not been saved below {self.root}")
         meta = self.spark.read.parquet(f"{base}/meta").first()
         package = {
             "version": version,
@@ -115,7 +115,7 @@ class Registry:
         }
         missing = [k for k in self.PARTS if package[k] is None]  # a threshold of 0.0 is valid
         if missing:
-            raise ValueError(f"{', '.join(missing)} not found in {base}")
+            raise ValueError(f"version {version} lacks {', '.join(missing)}")
         return package
 
     def stats(self, version: str) -> dict:

@@ -12,7 +12,7 @@ from sparquill.operators import boxes as ob
 from sparquill.operators import model as om
 from sparquill.operators.knn import assign_cells
 from sparquill.sources.readers import frame_sample
-from sparquill.sources.stores import checked_vectors
+from sparquill.sources.stores import _exists, _path, checked_vectors
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -63,13 +63,23 @@ def grow_gallery(vectors: DataFrame, path: str, checkpoint: str, dim: int, centr
 
 
 def running_metrics(log: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Running mean query time and number of searches; the newest state replaces the table."""
+    """Running mean query time and number of searches. Each batch writes its own folder; newest_metrics reads the last complete one."""
     state = log.groupBy().agg(
         F.coalesce(F.avg("query_time"), F.lit(0.0)).alias("average_query_time"), F.count("query_time").alias("total_queries")
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = state.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
+
+
+def newest_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The state of the last batch that was written whole."""
+    root, fs = _path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    for number in sorted((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), reverse=True):
+        if _exists(spark, f"{path}/batch={number}/_SUCCESS"):
+            return spark.read.parquet(f"{path}/batch={number}")
+    raise FileNotFoundError(f"no batch has been written to {path}")

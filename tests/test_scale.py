@@ -39,6 +39,25 @@ def test_kth_row_narrows_through_ties(spark, k):
     assert df.filter(scale.up_to(got, ["ts", "id"])).count() == k
 
 
+@pytest.mark.parametrize("small", [5, 200_000])
+def test_selection_orders_strings_nulls_and_ties_alike_at_every_size(spark, small):
+    t0 = datetime(2024, 1, 1)
+    rows = [(None if i % 9 == 0 else t0 + timedelta(days=i % 7), None if i % 11 == 0 else f"T{i * 37 % 400}" + "é" * (i % 3), i % 2, None if i % 5 == 0 else float("nan") if i % 7 == 0 else -i / 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, trans_num string, half int, x double")
+    key = lambda v: (True,) if v is None else (False, v != v, 0 if v != v else v)
+    for order in (["ts", "trans_num"], ["trans_num"], ["x", "trans_num"]):
+        at = [df.columns.index(c) for c in order]
+        text = lambda r: tuple((r[k] is None, (r[k] or "").encode()) if df.columns[k] == "trans_num" else key(r[k]) for k in at)
+        for half in (0, 1):
+            mine = sorted((r for r in rows if r[2] == half), key=text)
+            ks = [1, 17, 150, 299, 300]
+            got = scale.kth_rows(df, order, [(F.col("half") == half, k) for k in ks], small)
+            assert [str(tuple(g)) for g in got] == [str(tuple(mine[k - 1][j] for j in at)) for k in ks]
+    got = scale.kth_row(df, ["ts", "trans_num"], 480, small)
+    assert df.filter(scale.up_to(got, ["ts", "trans_num"])).count() >= 480
+    assert scale.kth_row(df, ["ts"], 601, small) is None
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_skew_join_equals_plain_join(spark, how):
     left = spark.range(3000).select(

@@ -26,16 +26,16 @@ def png(path, rgb=(10, 20, 30), size=2):
 def test_records_as_array_or_single_object(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([RECORD, {**RECORD, "cc_num": "7"}], indent=4))
     (tmp_path / "b.json").write_text(json.dumps({**RECORD, "amt": 2.25, "unix_time": 3.0}, indent=4))
-    assert [r.cc_num for r in readers.read_transactions_json(spark, str(tmp_path / "a.json")).collect()] == ["0042", "7"]
-    one = readers.read_transactions_json(spark, str(tmp_path / "b.json")).collect()
+    assert [r.cc_num for r in readers.read_transactions_json(spark, str(tmp_path / "a.json"), lines=False).collect()] == ["0042", "7"]
+    one = readers.read_transactions_json(spark, str(tmp_path / "b.json"), lines=False).collect()
     assert len(one) == 1 and one[0].amt == "2.25"
 
 
 def test_label_map_whole_and_by_lines(spark, tmp_path):
     (tmp_path / "l.json").write_text(json.dumps({"a": 1, "b": 0, "c": None}, indent=2))
     want = {("a", 1), ("b", 0), ("c", None)}
-    for read in (readers.read_label_map, readers.read_label_lines):
-        got = read(spark, str(tmp_path / "l.json"))
+    for read, how in ((readers.read_label_map, {"whole": True}), (readers.read_label_lines, {})):
+        got = read(spark, str(tmp_path / "l.json"), **how)
         assert {tuple(r) for r in got.collect()} == want and got.columns == ["trans_num", "is_fraud"]
 
 

@@ -51,5 +51,5 @@ def test_metrics_keep_the_newest_state(spark, tmp_path):
         spark.createDataFrame([(t,)], "query_time double").coalesce(1).write.mode("append").parquet(src)
     log = streams.file_stream(spark, src, spark.read.parquet(src).schema, files_per_batch=1)
     drained(streams.running_metrics(log, out, point))
-    row = spark.read.parquet(out).first()
+    row = streams.newest_metrics(spark, out).first()
     assert (row.average_query_time, row.total_queries) == (2.0, 2)
