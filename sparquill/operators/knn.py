@@ -1,18 +1,18 @@
 """k-nearest-neighbour joins over vector columns.
 
-The gallery stays where its partitions are. The probe side goes to the tasks in blocks of
-bounded size; each task keeps k rows per probe while it reads its partition, so the
-shuffle carries at most probes x partitions x k rows, whatever the gallery holds.
+Probes are packed into blocks and gallery rows into tiles, both of bounded size, inside tasks; Spark joins every tile with every
+block. One block is broadcast, its size having been checked; more blocks and the tiles are shuffled. Each task keeps k rows per
+probe, so what it hands on holds at most probes x tasks x k rows, whatever the gallery holds. The driver sees no vector.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
@@ -24,37 +24,89 @@ from sparquill.plans.scale import top_k
 
 METRICS = ("euclidean", "dot_product", "cosine", "minkowski")
 METHODS = ("flat", "ivf", "pq", "ivfpq", "ivfsq", "lsh", "binary", "binary_ivf")
-BLOCK_BYTES = 32 << 20  # size of one probe block sent to the tasks
+BLOCK_BYTES = 4 << 20  # size of a block of probes or a tile of the gallery
 CELLS = 2_000_000  # numbers in one distance block inside a task
+SPREAD = 4096  # tasks at most among which the tiles of one block are dealt
 
 
-# ---- probe blocks ---------------------------------------------------------------------------
+# ---- blocks and tiles -----------------------------------------------------------------------
 
 
-@dataclass
-class Probes:
-    """One bounded block of the probe side."""
+def packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-    ids: np.ndarray
-    vectors: np.ndarray
 
+def unpacked(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
 
-def probe_blocks(queries: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Probes]:
-    """Yields the probes in blocks whose size is checked by a count before any is fetched."""
-    head = queries.select("query_id", "embedding")
-    stats = head.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d"), F.min(F.size("embedding")).alias("m")).first()
-    if not stats.n:
-        return
-    if stats.d != stats.m:
-        raise ValueError("query vectors differ in dimension")
-    most = max(1, block_bytes // (8 * stats.d))
-    parts = 1 if stats.n <= most else 2 * -(-stats.n // most)
-    for i in range(parts):
-        rows = head if parts == 1 else head.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i)
-        got = rows.toArrow()
-        if got.num_rows:
-            flat = got["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            yield Probes(got["query_id"].to_numpy(), flat.astype(np.float64).reshape(got.num_rows, -1))
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One packed row per block number; the rows come ordered by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        at = batch.column("block").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
+        for lo, hi in zip(edges, edges[1:]):
+            if hi > lo and held and held[0].column("block")[0].as_py() != at[lo]:
+                yield _block(held)
+                held = []
+            if hi > lo:
+                held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield _block(held)
+
+
+def _block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    whole = pa.Table.from_batches(held).combine_chunks()
+    rest = whole.drop_columns(["block"]).to_batches()[0]
+    return pa.RecordBatch.from_arrays([whole["block"].combine_chunks().slice(0, 1).cast(pa.int32()), pa.array([packed(rest)], pa.binary())], names=["block", "probes"])
+
+
+def _tiles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Numbered tiles of at most about ``size`` bytes."""
+    task, n = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        step = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
+        for at in range(0, batch.num_rows, step):
+            yield pa.RecordBatch.from_arrays([pa.array([(task << 32) + n]), pa.array([packed(batch.slice(at, step))], pa.binary())], names=["tile", "rows"])
+            n += 1
+
+
+def probe_blocks(queries: DataFrame, width: int, block_bytes: int | None = None) -> tuple[DataFrame, int]:
+    """(block, probes): the query side in packed blocks of about ``block_bytes``, and how many there are (0 if no row).
+
+    ``width`` is the size of a row in bytes; the rows are counted before they are packed.
+    """
+    n = queries.count()
+    blocks = -(-n * max(1, width) // (block_bytes or BLOCK_BYTES))
+    numbered = queries.select(F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks))).cast("int").alias("block"), "*")
+    rows = numbered.repartition(max(1, blocks), "block").sortWithinPartitions("block")
+    return rows.mapInArrow(_blocks, "block int, probes binary"), blocks
+
+
+def tile_join(blocks: DataFrame, n_blocks: int, gallery: DataFrame, run: Callable, shape: str, tile_bytes: int | None = None) -> DataFrame:
+    """Feeds ``run`` with rows (block, probes, rows): every block next to every tile of the gallery, ordered by block in each task."""
+    size = tile_bytes or BLOCK_BYTES
+    tiles = gallery.mapInArrow(lambda b: _tiles(b, size), "tile bigint, rows binary")
+    if n_blocks <= 1:  # one block, of a size that the count has bounded
+        joined = tiles.withColumn("block", F.lit(0)).join(F.broadcast(blocks), "block")
+        return joined.select("block", "probes", "rows").mapInArrow(run, shape)
+    tasks = int(gallery.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, min(SPREAD, 2 * tasks // n_blocks))
+    left = tiles.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.pmod(F.xxhash64("tile"), F.lit(salts)).cast("int").alias("salt"), "rows")
+    right = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "probes")
+    joined = left.join(right, ["block", "salt"]).sortWithinPartitions("block")
+    return joined.select("block", "probes", "rows").mapInArrow(run, shape)
+
+
+def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Callable, pa.RecordBatch]]:
+    """(block, reader of the block's probes, tile) of every row of a tile join."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.column("block")[i].as_py(), lambda i=i, batch=batch: unpacked(batch.column("probes")[i].as_py()), unpacked(batch.column("rows")[i].as_py())
 
 
 # ---- distance kernels (run inside tasks) ------------------------------------------------------
@@ -124,26 +176,47 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.reshape(len(column), dim)
 
 
-Candidates = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+Prepare = Callable[[np.ndarray], object]
+Find = Callable[[object, pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
 
-def scan(gallery: DataFrame, probes: Probes, candidates: Candidates, k: int, columns: list[str]) -> DataFrame:
-    """Partial top-k per task: ``candidates`` yields (probe index, key, vec_id) arrays per batch."""
-    shared = gallery.sparkSession.sparkContext.broadcast(probes.ids)
+def probe_width(queries: DataFrame) -> int:
+    """Dimension of the query vectors, which must be one; 0 if there are none."""
+    stats = queries.agg(F.max(F.size("embedding")).alias("d"), F.min(F.size("embedding")).alias("m")).first()
+    if stats.d != stats.m:
+        raise ValueError("query vectors differ in dimension")
+    return stats.d or 0
+
+
+def scan(queries: DataFrame, gallery: DataFrame, prepare: Prepare, find: Find, k: int, columns: list[str]) -> DataFrame:
+    """Partial top-k per task: (query_id, vec_id, key).
+
+    ``prepare`` turns the vectors of a probe block into what ``find`` needs; ``find`` yields (probe index, key, vec_id) arrays per tile.
+    """
+    probes = queries.select("query_id", "embedding")
+    blocks, n = probe_blocks(probes, 8 * probe_width(probes))
+    kind = probes.schema["query_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(k)
-        for batch in batches:
-            if batch.num_rows:
-                for probe, key, ids in candidates(batch):
-                    best.add(probe, key, ids)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(shared.value[best.probe]), pa.array(best.id), pa.array(best.key)],
-            ["query_id", "vec_id", "key"],
-        )
+        at, ids, state, best = None, None, None, None
+
+        def out():
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(best.probe)), pa.array(best.id), pa.array(best.key)], ["query_id", "vec_id", "key"])
+
+        for block, read, tile in block_rows(batches):
+            if block != at:
+                if at is not None:
+                    yield out()
+                at, best, got = block, Best(k), read()
+                ids, column = got.column("query_id"), got.column("embedding")
+                flat = column.flatten().to_numpy(zero_copy_only=False)
+                state = prepare(flat.astype(np.float64).reshape(len(column), -1))
+            for probe, key, found in find(state, tile):
+                best.add(probe, key, found)
+        if at is not None:
+            yield out()
 
-    kind = "string" if probes.ids.dtype == object else "bigint"
-    return gallery.select("vec_id", *columns).mapInArrow(run, f"query_id {kind}, vec_id bigint, key double")
+    return tile_join(blocks, n, gallery.select("vec_id", *columns), run, f"query_id {kind.simpleString()}, vec_id bigint, key double")
 
 
 def _slices(n: int, q: int) -> Iterator[slice]:
@@ -152,21 +225,17 @@ def _slices(n: int, q: int) -> Iterator[slice]:
         yield slice(at, at + step)
 
 
-def _merge(parts: list[DataFrame], k: int, sign: float = 1.0) -> DataFrame:
+def _merge(found: DataFrame, k: int, sign: float = 1.0) -> DataFrame:
     """Final top-k over the partial results."""
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    best = top_k(out, ["query_id"], [F.col("key"), F.col("vec_id")], k)
+    best = top_k(found, ["query_id"], [F.col("key"), F.col("vec_id")], k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", (F.col("key") * F.lit(sign)).alias("distance"))
 
 
 # ---- exact search -----------------------------------------------------------------------------
 
 
-def _exact_candidates(share, metric: str, p: float, k: int) -> Candidates:
-    def find(batch):
-        q = share.value
+def _flat(queries, gallery, k, metric, p):
+    def find(q, batch):
         ids = batch.column("vec_id").to_numpy()
         g = matrix(batch.column("embedding"), q.shape[1])
         for part in _slices(len(ids), len(q)):
@@ -174,15 +243,7 @@ def _exact_candidates(share, metric: str, p: float, k: int) -> Candidates:
             probe, col = nearest_in_block(block_keys(q, block, metric, p), k)
             yield probe, exact_keys(q[probe], block[col], metric, p), ids[part][col]
 
-    return find
-
-
-def _flat(queries, gallery, k, metric, p):
-    sc = gallery.sparkSession.sparkContext
-    return [
-        scan(gallery, b, _exact_candidates(sc.broadcast(b.vectors), metric, p, k), k, ["embedding"])
-        for b in probe_blocks(queries)
-    ]
+    return scan(queries, gallery, lambda vectors: vectors, find, k, ["embedding"])
 
 
 # ---- cells ------------------------------------------------------------------------------------
@@ -227,31 +288,36 @@ def _by_cell(cells: np.ndarray, probed: np.ndarray) -> Iterator[tuple[np.ndarray
             yield who, np.nonzero(cells == cell)[0]
 
 
+def _visited(queries: DataFrame, gallery: DataFrame, centroids: np.ndarray, nprobe: int) -> DataFrame:
+    """The gallery without the cells that no probe visits: a literal filter of at most nlist cells, which prunes partitions."""
+    def cells(batches):
+        for batch in batches:
+            q = matrix(batch.column("embedding"), centroids.shape[1]).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_probed(q, centroids, nprobe)).astype(np.int32))], ["cell"])
+
+    wanted = [r["cell"] for r in queries.select("embedding").mapInArrow(cells, "cell int").distinct().collect()]
+    return gallery if len(wanted) == len(centroids) else gallery.filter(F.col("cell").isin(sorted(wanted)))
+
+
 def _ivf(queries, gallery, k, metric, p, nlist=100, nprobe=1, seed=42, centroids=None, train_share=1.0, encode=None):
     """Rows of the probed cells only; a cell column already in the gallery is used (and pruned on)."""
     if centroids is None:
         gallery, centroids = build_cells(gallery, nlist, seed, train_share=train_share)
-    sc = gallery.sparkSession.sparkContext
-    parts = []
-    for b in probe_blocks(queries):
-        probed = _probed(b.vectors, np.asarray(centroids), nprobe)
-        wanted = sorted({int(c) for c in probed.ravel()})
-        rows = gallery if len(wanted) == len(centroids) else gallery.filter(F.col("cell").isin(wanted))
-        share = sc.broadcast((b.vectors, probed))
-
-        def find(batch, share=share):
-            q, probed = share.value
-            ids = batch.column("vec_id").to_numpy()
-            g = matrix(batch.column("embedding"), q.shape[1]).astype(np.float64)
-            g = g if encode is None else encode(g)
-            for who, rows in _by_cell(batch.column("cell").to_numpy(), probed):
-                for part in _slices(len(rows), len(who)):
-                    at = rows[part]
-                    probe, col = nearest_in_block(block_keys(q[who], g[at], metric, p), k)
-                    yield who[probe], exact_keys(q[who[probe]], g[at[col]], metric, p), ids[at[col]]
-
-        parts.append(scan(rows, b, find, k, ["embedding", "cell"]))
-    return parts
+    centroids = np.asarray(centroids)
+
+    def find(state, batch):
+        q, probed = state
+        ids = batch.column("vec_id").to_numpy()
+        g = matrix(batch.column("embedding"), q.shape[1]).astype(np.float64)
+        g = g if encode is None else encode(g)
+        for who, rows in _by_cell(batch.column("cell").to_numpy(), probed):
+            for part in _slices(len(rows), len(who)):
+                at = rows[part]
+                probe, col = nearest_in_block(block_keys(q[who], g[at], metric, p), k)
+                yield who[probe], exact_keys(q[who[probe]], g[at[col]], metric, p), ids[at[col]]
+
+    rows = _visited(queries, gallery, centroids, nprobe)
+    return scan(queries, rows, lambda v: (v, _probed(v, centroids, nprobe)), find, k, ["embedding", "cell"])
 
 
 # ---- codes ------------------------------------------------------------------------------------
@@ -357,33 +423,30 @@ def _pq(queries, gallery, k, m=8, bits=8, seed=42, rounds=6, books=None, centroi
     """Distance of a probe to a code: a sum of m looked-up squared distances."""
     books = train_codebooks(gallery, m, bits, rounds, seed, train_share) if books is None else books
     coded = gallery if "code" in gallery.columns else pq_encode(gallery, books)
-    sc = gallery.sparkSession.sparkContext
-    parts = []
-    for b in probe_blocks(queries):
-        q = b.vectors.reshape(len(b.ids), books.shape[0], books.shape[2])
+
+    def prepare(vectors):
+        q = vectors.reshape(len(vectors), books.shape[0], books.shape[2])
         tables = np.stack([block_keys(q[:, s], books[s], "euclidean", 2.0) for s in range(books.shape[0])])
-        probed = None if centroids is None else _probed(b.vectors, centroids, nprobe)
-        rows = coded if probed is None else coded.filter(F.col("cell").isin(sorted({int(c) for c in probed.ravel()})))
-        share = sc.broadcast((tables, probed))
-
-        def find(batch, share=share):
-            tables, probed = share.value
-            ids = batch.column("vec_id").to_numpy()
-            codes = matrix(batch.column("code"), len(tables))
-            if probed is None:
-                groups = [(np.arange(tables.shape[1]), np.arange(len(ids)))]
-            else:
-                groups = _by_cell(batch.column("cell").to_numpy(), probed)
-            for who, rows in groups:
-                for part in _slices(len(rows), len(who)):
-                    at = rows[part]
-                    keys = sum(tables[s][np.ix_(who, codes[at, s])] for s in range(len(tables)))
-                    keys = np.sqrt(np.maximum(keys, 0.0))
-                    probe, col = nearest_in_block(keys, k, 0.0)
-                    yield who[probe], keys[probe, col], ids[at[col]]
-
-        parts.append(scan(rows, b, find, k, ["code"] + ([] if probed is None else ["cell"])))
-    return parts
+        return tables, None if centroids is None else _probed(vectors, centroids, nprobe)
+
+    def find(state, batch):
+        tables, probed = state
+        ids = batch.column("vec_id").to_numpy()
+        codes = matrix(batch.column("code"), len(tables))
+        if probed is None:
+            groups = [(np.arange(tables.shape[1]), np.arange(len(ids)))]
+        else:
+            groups = _by_cell(batch.column("cell").to_numpy(), probed)
+        for who, rows in groups:
+            for part in _slices(len(rows), len(who)):
+                at = rows[part]
+                keys = sum(tables[s][np.ix_(who, codes[at, s])] for s in range(len(tables)))
+                keys = np.sqrt(np.maximum(keys, 0.0))
+                probe, col = nearest_in_block(keys, k, 0.0)
+                yield who[probe], keys[probe, col], ids[at[col]]
+
+    rows = coded if centroids is None else _visited(queries, coded, centroids, nprobe)
+    return scan(queries, rows, prepare, find, k, ["code"] + ([] if centroids is None else ["cell"]))
 
 
 def _ivfpq(queries, gallery, k, nlist=100, nprobe=1, seed=42, centroids=None, train_share=1.0, **params):
@@ -402,31 +465,26 @@ def hyperplanes(bits: int, dim: int, seed: int = 42) -> np.ndarray:
 
 def _hamming_scan(queries, gallery, k, bits_of, heads=None, nprobe=1):
     """Hamming search over codes that ``bits_of`` derives from vectors, with optional cells."""
-    sc = gallery.sparkSession.sparkContext
     head_codes = None if heads is None else bits_of(heads)
-    parts = []
-    for b in probe_blocks(queries):
-        share = sc.broadcast((b.vectors.shape[1], bits_of(b.vectors), head_codes))
-
-        def find(batch, share=share):
-            dim, q, head_codes = share.value
-            ids = batch.column("vec_id").to_numpy()
-            g = bits_of(matrix(batch.column("embedding"), dim).astype(np.float64))
-            if head_codes is None:
-                groups = [(np.arange(len(q)), np.arange(len(ids)))]
-            else:
-                cells = np.argmin(differing(g, head_codes), axis=1)
-                near = np.argsort(differing(q, head_codes), axis=1, kind="stable")[:, :nprobe]
-                groups = _by_cell(cells, near)
-            for who, rows in groups:
-                for part in _slices(len(rows), len(who)):
-                    at = rows[part]
-                    keys = differing(q[who], g[at])
-                    probe, col = nearest_in_block(keys, k, 0.0)
-                    yield who[probe], keys[probe, col], ids[at[col]]
-
-        parts.append(scan(gallery, b, find, k, ["embedding"]))
-    return parts
+
+    def find(state, batch):
+        dim, q = state
+        ids = batch.column("vec_id").to_numpy()
+        g = bits_of(matrix(batch.column("embedding"), dim).astype(np.float64))
+        if head_codes is None:
+            groups = [(np.arange(len(q)), np.arange(len(ids)))]
+        else:
+            cells = np.argmin(differing(g, head_codes), axis=1)
+            near = np.argsort(differing(q, head_codes), axis=1, kind="stable")[:, :nprobe]
+            groups = _by_cell(cells, near)
+        for who, rows in groups:
+            for part in _slices(len(rows), len(who)):
+                at = rows[part]
+                keys = differing(q[who], g[at])
+                probe, col = nearest_in_block(keys, k, 0.0)
+                yield who[probe], keys[probe, col], ids[at[col]]
+
+    return scan(queries, gallery, lambda v: (v.shape[1], bits_of(v)), find, k, ["embedding"])
 
 
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -478,17 +536,14 @@ def knn(
         raise ValueError(f"{method} ranks by its own code distance; use refine for {metric}")
     wide = k * max(refine, 1)
     if method == "flat":
-        parts = _flat(queries, gallery, wide, metric, p)
+        found = _flat(queries, gallery, wide, metric, p)
     elif method in ("ivf", "ivfsq"):
         run = _ivf if method == "ivf" else _ivfsq
-        parts = run(queries, gallery, wide, metric, p, **params)
+        found = run(queries, gallery, wide, metric, p, **params)
     else:
         run = {"pq": _pq, "ivfpq": _ivfpq, "lsh": _lsh, "binary": _binary, "binary_ivf": _binary_ivf}[method]
-        parts = run(queries, gallery, wide, **params)
-    if not parts:
-        kind = queries.schema["query_id"].dataType.simpleString()
-        return gallery.sparkSession.createDataFrame([], f"query_id {kind}, rank int, vec_id bigint, distance double")
-    out = _merge(parts, wide, -1.0 if metric == "dot_product" and method in ("flat", "ivf", "ivfsq") else 1.0)
+        found = run(queries, gallery, wide, **params)
+    out = _merge(found, wide, -1.0 if metric == "dot_product" and method in ("flat", "ivf", "ivfsq") else 1.0)
     if refine > 1:
         out = rerank_exact(out, queries, gallery, k, metric, p)
     return out.withColumn("distance", F.col("distance") * F.col("distance")) if squared else out

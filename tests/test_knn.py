@@ -39,12 +39,18 @@ def test_exact_search_equals_brute_force_with_many_copies(data, metric):
     assert lists(ok.knn(queries, gallery, 7, metric)) == brute(q, g, 7, metric)
 
 
-def test_probe_blocks_do_not_change_the_result(data, monkeypatch):
+def test_many_blocks_and_tiles_do_not_change_the_result(data, monkeypatch):
     q, g, queries, gallery = data
-    monkeypatch.setattr(ok, "CELLS", 40)
-    small = ok._merge([ok.scan(gallery, b, ok._exact_candidates(gallery.sparkSession.sparkContext.broadcast(b.vectors), "euclidean", 3.0, 4), 4, ["embedding"])
-                       for b in ok.probe_blocks(queries, block_bytes=8 * 8 * 2)], 4)
-    assert lists(small) == brute(q, g, 4, "euclidean")
+    for name, value in (("CELLS", 40), ("BLOCK_BYTES", 150)):
+        monkeypatch.setattr(ok, name, value)
+    blocks, n = ok.probe_blocks(queries, 64)
+    assert n > 3 and blocks.count() > 1
+    found = ok.knn(queries, gallery, 4)
+    assert lists(found) == brute(q, g, 4, "euclidean")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("tile#") and plan.count("explode(") == 2 and "Join Cross" not in plan
+    near = ok.knn(queries, gallery, 4, method="ivf", nlist=5, nprobe=5)
+    assert lists(near) == brute(q, g, 4, "euclidean")
 
 
 def test_short_gallery_wrong_dimension_and_unknown_names(data, spark):
