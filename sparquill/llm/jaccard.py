@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.llm import tokens
-from sparquill.llm.common import partitions, stored
+from sparquill.llm.common import discard, partitions, stored
 from sparquill.llm.graph import components
 
 SHINGLE = 5
@@ -131,11 +131,34 @@ def _entries(batches: Iterator[pa.RecordBatch], counts: np.ndarray, parts: int)
             out.append(got)
         entries = np.concatenate(out) if out else np.empty(0, ENTRY)
         part = (entries["h"] >> np.uint64(32)).astype(np.int64) % parts
-        entries, part = entries[np.argsort(part, kind="stable")], np.sort(part)
+        order = np.lexsort((entries["h"], part))
+        entries, part = entries[order], part[order]
         which, start = np.unique(part, return_index=True)
         bounds = [*start.tolist(), len(entries)]
-        blobs = [pa.compress(entries[a:b].tobytes(), "lz4", asbytes=True) for a, b in zip(bounds, bounds[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array([b - a for a, b in zip(bounds, bounds[1:], strict=False)], pa.int32()), pa.array(blobs, pa.binary())], names=["part", "n", "entries"])
+        pieces = [entries[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(which, pa.int32()), pa.array([len(e) for e in pieces], pa.int32()), pa.array([_packed(e) for e in pieces], pa.binary())], names=["part", "n", "entries"]
+        )
+
+
+def _packed(e: np.ndarray) -> bytes:
+    """Entries in order of the shingle, column by column, as differences where those are small."""
+    columns = (np.diff(e["h"], prepend=np.uint64(0)), e["rid"], e["rid"] ^ e["cls"], e["n"], e["pos"])
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(e), -1).T.tobytes() for c in columns]  # byte by byte: equal high bytes meet
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def _entries_of(blob: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(blob, n * ENTRY.itemsize, "zstd"), np.uint8)
+    out, at = np.empty(n, ENTRY), 0
+    for name in ("h", "rid", "cls", "n", "pos"):
+        kind = ENTRY[name]
+        size = n * kind.itemsize
+        out[name] = np.ascontiguousarray(raw[at : at + size].reshape(kind.itemsize, n).T).view(kind).ravel()
+        at += size
+    out["h"] = np.cumsum(out["h"], dtype=np.uint64)
+    out["cls"] ^= out["rid"]
+    return out
 
 
 def least_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -187,7 +210,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for part, n, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "n", "entries")), strict=True):
-            kept.setdefault(part, []).append(np.frombuffer(pa.decompress(blob, n * ENTRY.itemsize, "lz4"), ENTRY))
+            kept.setdefault(part, []).append(_entries_of(blob, n))
     while kept:
         _, arrays = kept.popitem()
         pairs = [np.stack(p) for p in _listed(np.concatenate(arrays))]
@@ -229,7 +252,10 @@ def _links(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     texts = stored(_texts(docs, sets.select("rid", "rep_doc", "rep_sig").join(ids, "rid", "left_semi")), "pair-texts")
     right = pairs.join(texts.select(F.col("rid").alias("b"), F.col("text").alias("b_text")), "b")
     both = right.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("a_text")), "a")
-    return stored(both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long"), "links")
+    links = stored(both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long"), "links")
+    discard(texts)
+    discard(pairs)
+    return links
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
