@@ -31,6 +31,8 @@ COUNTERS = 1 << 20
 SLICES = 16
 #: Index entries per task.
 ENTRIES = 1_000_000
+#: Candidate pairs that a task holds before it hands them on.
+PAIRS = 500_000
 #: Entries per block of a list.
 BLOCK = 64
 ENTRY = np.dtype([("h", "u8"), ("rid", "i8"), ("cls", "i8"), ("n", "i4"), ("pos", "i4")])
@@ -213,10 +215,20 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.setdefault(part, []).append(_entries_of(blob, n))
     while kept:
         _, arrays = kept.popitem()
-        pairs = [np.stack(p) for p in _listed(np.concatenate(arrays))]
-        if pairs:
-            both = np.unique(np.concatenate(pairs, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+        held, n = [], 0
+        for pair in _listed(np.concatenate(arrays)):
+            held.append(np.stack(pair))
+            n += held[-1].shape[1]
+            if n >= PAIRS:
+                yield _distinct(held)
+                held, n = [], 0
+        if n:
+            yield _distinct(held)
+
+
+def _distinct(held: list[np.ndarray]) -> pa.RecordBatch:
+    both = np.unique(np.concatenate(held, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at a time; a single longer text or word takes what it needs.
-SEGMENT = 4 << 20
+SEGMENT = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 STEP = np.uint64(0xD6E8FEB86659FD93)
