@@ -290,6 +290,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # First round: stars. A group of any size gives as many pairs as members.
     keyed = sets.select("rid", "n", F.posexplode(F.array(*[f"m{i}" for i in range(STARS)])).alias("i", "m"))
     lead = keyed.groupBy("i", "m").agg(F.min(F.struct("rid", "n")).alias("lead"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    lead = stored(lead.select("i", "m", "lead"), "star-leaders")  # stored, so that both sides of the join are plain shuffles, which skewed keys may split
     near = keyed.join(lead, ["i", "m"]).where(f"rid <> lead.rid and 100 * least(n, lead.n) >= {SHARE} * greatest(n, lead.n)")
     stars = near.groupBy(F.col("lead.rid").alias("a"), F.col("rid").alias("b")).agg(F.count(F.lit(1)).alias("agree")).where(F.col("agree") >= AGREE).select("a", "b")
     links = _links(docs, sets, stars)
