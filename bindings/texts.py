@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bindings.common import rounded, table
 from sparquill.functions import text as ft
 from sparquill.operators import chunks as oc
+from sparquill.operators import knn as ok
 from sparquill.operators import rerank as orr
 from sparquill.operators import split
 from sparquill.plans.scale import exact_quantiles
@@ -69,6 +70,22 @@ def _tfidf(metric):
     return run
 
 
+def _own(strategy, k=None, metric="cosine"):
+    def run(spark, sf):
+        asked, said = _talks(spark, sf)
+        return rounded(orr.rerank_pairs(asked, said, strategy, k, metric, 3))
+
+    return run
+
+
+def retrieve_rerank(spark, sf):
+    """Search by vector, then rank the hits of each question by text."""
+    q, c = questions(spark, sf), corpus(spark, sf)
+    near = ok.knn(oc.embed_text(q, "text", 64), oc.embed_text(c.withColumnRenamed("cand_id", "vec_id"), "text", 64).select("vec_id", "embedding"), 20, "cosine")
+    pairs = near.select("query_id", F.col("vec_id").alias("cand_id")).join(c, "cand_id")
+    return rounded(orr.rerank_pairs(q, pairs, "hybrid", 5))
+
+
 def tfidf_corpus(spark, sf):
     return rounded(orr.rerank(questions(spark, sf), corpus(spark, sf), "tfidf_corpus", 5))
 
@@ -154,6 +171,10 @@ QUERIES = {
         qa_filter, stratified_sample, top_n_preview,
     )
 }
+QUERIES["retrieve_rerank"] = retrieve_rerank
+QUERIES["pairs_cross_encoder"] = _own("cross_encoder")
+QUERIES["pairs_hybrid"] = _own("hybrid", 4, "euclidean")
+QUERIES["pairs_sequential"] = _own("sequential", 2)
 QUERIES["tfidf_rank"] = _tfidf("cosine")
 QUERIES["tfidf_euclidean"] = _tfidf("euclidean")
 QUERIES["tfidf_manhattan"] = _tfidf("manhattan")
@@ -245,7 +266,20 @@ def _talk(metric: str) -> str:
       CAST(row_number() OVER (PARTITION BY query_id ORDER BY round({metric}, 12), cand_id) AS INTEGER) AS rank FROM d"""
 
 
+_OWN = _TALK + f""",
+f AS (SELECT query_id, cand_id, coalesce(2.0::DOUBLE * len(list_intersect(a, b)) / nullif(len(a) + len(b), 0), 0) AS f1 FROM (
+  SELECT c.query_id, cand_id, list_distinct({_TERMS.format("c.text")}) AS a, list_distinct({_TERMS.format("q.text")}) AS b FROM c JOIN q USING (query_id)))
+"""
+
+
+def _own_sql(strategy: str, src: str, k: int) -> str:
+    return _OWN + ", b AS (" + _best(src, "score DESC", k) + ") " + _ROW.format(s=f"'{strategy}'", t="b")
+
+
 SQL = {
+    "pairs_cross_encoder": _own_sql("cross_encoder", "(SELECT query_id, cand_id, f1 AS score FROM f)", 1 << 30),
+    "pairs_hybrid": _own_sql("hybrid", "(SELECT query_id, cand_id, round(0.3 * (1 - round(euclidean, 12)) + 0.7 * f1, 12) AS score FROM d JOIN f USING (query_id, cand_id))", 4),
+    "pairs_sequential": _own_sql("sequential", "(SELECT query_id, cand_id, f1 AS score FROM (" + _best("(SELECT query_id, cand_id, round(cosine, 12) AS dist FROM d)", "dist", 3) + ") JOIN f USING (query_id, cand_id))", 2),
     "trim_ws": f"SELECT doc_id, {_TRIM} AS text FROM documents",
     "chunk_fixed": f"WITH {_CHUNKS} SELECT doc_id, chunk_no, chunk FROM chunks",
     "chunk_sentences": rf"""WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace({_TRIM}, '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS ss FROM documents)

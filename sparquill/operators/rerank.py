@@ -1,9 +1,9 @@
 """Ranking of text candidates for questions.
 
 ``tfidf_rank`` works on a table of (question, candidate) pairs, each question with its own
-candidates, as one relational plan. ``rank_corpus`` scores every question against every
-candidate of a shared corpus without building pairs: questions go to the tasks in bounded
-blocks, and each task keeps k candidates per question and strategy.
+candidates, as one relational plan; ``rerank_pairs`` ranks such candidates by any strategy. ``rank_corpus`` scores every question
+against every candidate of a shared corpus without building pairs: questions are packed into blocks of bounded size and joined with tiles
+of the corpus inside Spark, and each task keeps k candidates per question and strategy. No question passes through the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import overlap_f1, prompt, terms
-from sparquill.operators.knn import CELLS, Best, nearest_in_block
+from sparquill.operators.knn import CELLS, Best, block_rows, nearest_in_block, probe_blocks, tile_join
 from sparquill.plans.scale import top_k
 from sparquill.session import cut
 
@@ -27,7 +27,8 @@ METRICS = ("cosine", "euclidean", "manhattan")
 STRATEGIES = ("cross_encoder", "tfidf", "hybrid", "sequential", "tfidf_corpus")
 DIGITS = 12  # scores are rounded so that equal texts tie whatever the order of summation
 VOCABULARY = 1_000_000  # terms that may be sent to every task
-QUESTIONS = 2_000  # questions per block
+DENSE_BYTES = 64 << 20  # size of a dense matrix of a question block (questions x their distinct terms)
+BLOCK_BYTES = 4 << 20  # size of a tile of the corpus
 SLICE = 512  # candidates scored at a time; few enough that most question terms are absent
 TFIDF_WEIGHT = 0.3
 SUBSET = 10
@@ -136,15 +137,20 @@ def vocabulary(candidates: DataFrame, stop_words: list[str] | None = None, limit
     return Vocabulary(table, row["df"] if row else 0, every.count() <= limit)
 
 
-def question_blocks(queries: DataFrame, size: int = QUESTIONS) -> Iterator[pa.Table]:
-    """Questions in blocks of bounded size; the count is checked before any block is fetched."""
-    n = queries.count()
-    parts = 1 if n <= size else 2 * -(-n // size)
-    for i in range(parts):
-        rows = queries if parts == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i)
-        got = rows.toArrow()
-        if got.num_rows:
-            yield got
+def question_table(queries: DataFrame, vocab: Vocabulary | None, stop_words: list[str] | None) -> tuple[DataFrame, int]:
+    """Questions with their terms, the document frequency of those that the corpus knows, and their plain words; and the bytes
+    that a question takes in a block whose dense matrix stays below DENSE_BYTES."""
+    rows = queries.select("query_id", "text", terms("text", stop_words).alias("terms"), terms("text", []).alias("words"))
+    if vocab is None:
+        rows = rows.withColumn("known", F.array().cast("array<string>")).withColumn("df", F.array().cast("array<bigint>"))
+    else:
+        own = rows.select("query_id", F.explode(F.array_distinct("terms")).alias("term")).join(vocab.table, "term")
+        counted = own.groupBy("query_id").agg(F.collect_list(F.struct("term", "df")).alias("d"))
+        rows = rows.join(counted, "query_id", "left").select(*rows.columns, F.coalesce(F.col("d.term"), F.array().cast("array<string>")).alias("known"), F.coalesce(F.col("d.df"), F.array().cast("array<bigint>")).alias("df"))
+    rows = cut(rows)
+    most = rows.agg(F.max(F.size("terms") + F.size("words"))).first()[0] or 1
+    per_block = max(1, int((DENSE_BYTES / (8 * most)) ** 0.5))
+    return rows, -(-BLOCK_BYTES // per_block)
 
 
 def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -295,30 +301,22 @@ def rank_corpus(
     if need_tfidf and vocab.small:
         t = vocab.table.toArrow()  # at most ``vocabulary_limit`` rows
         everything = sc.broadcast((t["term"].combine_chunks(), np.log((2 + vocab.n) / (1 + t["df"].to_numpy())) + 1))
-    parts = []
-    for block in question_blocks(queries.select("query_id", "text", terms("text", stop_words).alias("terms"), terms("text", []).alias("words"))):
-        q_ids = block["query_id"].to_numpy()
-        tfidf = overlap = None
-        if need_tfidf:
-            own = pc.unique(block["terms"].combine_chunks().flatten())
-            known = candidates.sparkSession.createDataFrame(pa.table({"term": own})) if len(own) else None
-            df = {r["term"]: r["df"] for r in vocab.table.join(F.broadcast(known), "term").collect()} if len(own) else {}
-            tfidf = TfidfBlock(block["terms"].combine_chunks(), vocab.n, own, np.array([df.get(t, 0) for t in own.to_pylist()], float))
-        if need_pair and pair_factory is None:
-            overlap = OverlapBlock(block["words"].combine_chunks())
-        share = sc.broadcast((q_ids, tfidf, overlap, block["text"].to_pylist() if pair_factory is not None else None))
-        parts.append(rows.mapInArrow(_corpus_scan(share, everything, wanted, metric, tfidf_weight, k, pair_factory), "strategy string, query_id bigint, cand_id bigint, key double"))
-    if not parts:
-        return candidates.sparkSession.createDataFrame([], "strategy string, query_id bigint, rank int, cand_id bigint, score double")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionAll(part)
+    asked, width = question_table(queries, vocab, stop_words)
+    blocks, n = probe_blocks(asked, width, BLOCK_BYTES)
+    run = _corpus_scan(everything, wanted, metric, tfidf_weight, k, pair_factory, vocab.n if vocab else 0)
+    found = tile_join(blocks, n, rows, run, "strategy string, query_id bigint, cand_id bigint, key double", BLOCK_BYTES)
     best = top_k(found, ["strategy", "query_id"], [F.col("key"), F.col("cand_id")], k)
     score = F.when(F.col("strategy") == "tfidf", F.col("key")).otherwise(-F.col("key"))
     return best.select("strategy", "query_id", F.col("rank").cast("int").alias("rank"), "cand_id", score.alias("score"))
 
 
-def _corpus_scan(share, everything, wanted, metric, weight, k, pair_factory):
+def _tfidf_block(asked: pa.RecordBatch, n: int) -> TfidfBlock:
+    own = pc.unique(asked.column("terms").flatten())
+    df = dict(zip(asked.column("known").flatten().to_pylist(), asked.column("df").flatten().to_pylist()))
+    return TfidfBlock(asked.column("terms"), n, own, np.array([df.get(t, 0) for t in own.to_pylist()], float))
+
+
+def _corpus_scan(everything, wanted, metric, weight, k, pair_factory, n):
     def foreign(batch, terms_col, index):
         if everything is None:
             return batch.column("base").to_numpy(), batch.column("total").to_numpy()
@@ -331,12 +329,19 @@ def _corpus_scan(share, everything, wanted, metric, weight, k, pair_factory):
         return np.bincount(r, w * w, size).astype(float), np.bincount(r, w, size).astype(float)
 
     def run(batches):
-        q_ids, tfidf, overlap, q_texts = share.value
         judge = pair_factory() if pair_factory is not None else None
-        best = {s: Best(k) for s in wanted}
         index = pd.Index(everything.value[0].to_pylist()) if everything is not None else None
-        step = max(1, min(SLICE, CELLS // max(len(q_ids), 1)))
-        for whole in batches:
+        at = best = q_ids = tfidf = overlap = q_texts = None
+        for number, read, whole in block_rows(batches):
+            if number != at:
+                if at is not None:
+                    yield from _ranked(best, q_ids)
+                asked = read()
+                at, best, q_ids = number, {s: Best(k) for s in wanted}, asked.column("query_id").to_numpy()
+                tfidf = _tfidf_block(asked, n) if any(s != "cross_encoder" for s in wanted) else None
+                overlap = OverlapBlock(asked.column("words")) if judge is None and any(s != "tfidf" for s in wanted) else None
+                q_texts = asked.column("text").to_pylist()
+            step = max(1, min(SLICE, CELLS // max(len(q_ids), 1)))
             for start in range(0, whole.num_rows, step):
                 batch = whole.slice(start, step)
                 ids = batch.column("cand_id").to_numpy()
@@ -355,21 +360,54 @@ def _corpus_scan(share, everything, wanted, metric, weight, k, pair_factory):
                     elif s == "cross_encoder":
                         keys = -pair
                     else:
-                        cosine = dist if metric == "cosine" else tfidf.distances(batch.column("terms"), base, total, "cosine")
-                        keys = -np.round(weight * (1 - cosine) + (1 - weight) * pair, DIGITS)
+                        keys = -np.round(weight * (1 - dist) + (1 - weight) * pair, DIGITS)
                     keys = keys.T
                     probe, col = nearest_in_block(keys, k, 0.0)
                     best[s].add(probe, keys[probe, col], ids[col])
-        for s in wanted:
-            b = best[s]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s] * len(b.probe), pa.string()), pa.array(q_ids[b.probe], pa.int64()), pa.array(b.id), pa.array(b.key)],
-                ["strategy", "query_id", "cand_id", "key"],
-            )
+        if at is not None:
+            yield from _ranked(best, q_ids)
 
     return run
 
 
+def _ranked(best: dict[str, Best], q_ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for s, b in best.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s] * len(b.probe), pa.string()), pa.array(q_ids[b.probe], pa.int64()), pa.array(b.id), pa.array(b.key)],
+            ["strategy", "query_id", "cand_id", "key"],
+        )
+
+
+def rerank_pairs(
+    queries: DataFrame, pairs: DataFrame, strategy: str = "tfidf", k: int | None = None, metric: str = "cosine", subset_size: int = SUBSET,
+    tfidf_weight: float = TFIDF_WEIGHT, stop_words: list[str] | None = None, pair_factory: Callable[[], Callable] | None = None,
+) -> DataFrame:
+    """Ranks each question's own candidates: (strategy, query_id, rank, cand_id, score).
+
+    queries (query_id, text); pairs (query_id, cand_id, text), as a search returns them. ``tfidf`` and ``tfidf_corpus`` rank by distance, ``cross_encoder`` by
+    pair score, ``hybrid`` by weight * (1 - distance) + rest * pair score, ``sequential`` by pair score within the subset nearest by distance. Ties go to the lower id.
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"{strategy!r} names no reranking; choose from {', '.join(STRATEGIES)}")
+    rows = pairs.select("query_id", "cand_id", F.col("text").alias("c_text"))
+    if strategy != "cross_encoder":
+        near = tfidf_scores(queries, pairs, metric, stop_words)
+        if strategy == "sequential":
+            near = top_k(near, ["query_id"], [F.col("distance"), F.col("cand_id")], subset_size).drop("rank")
+        rows = rows.join(near, ["query_id", "cand_id"])
+    up = strategy in ("tfidf", "tfidf_corpus")
+    if not up:
+        rows = rows.join(queries.select("query_id", F.col("text").alias("q_text")), "query_id")
+        rows = score_pairs(rows, "q_text", "c_text", pair_factory, "pair")
+    score = {"hybrid": lambda: F.round(tfidf_weight * (1 - F.col("distance")) + (1 - tfidf_weight) * F.col("pair"), DIGITS)}.get(
+        strategy, lambda: F.col("distance") if up else F.col("pair")
+    )()
+    scored = rows.select("query_id", "cand_id", score.alias("score"))
+    order = F.col("score").asc() if up else F.col("score").desc()
+    best = top_k(scored, ["query_id"], [order, F.col("cand_id")], (1 << 31) - 1 if k is None else k)
+    return best.select(F.lit(strategy).alias("strategy"), "query_id", F.col("rank").cast("int").alias("rank"), "cand_id", "score")
+
+
 def sequential_rerank(queries, candidates, k: int = 5, subset_size: int = SUBSET, pair_factory=None, ranked: DataFrame | None = None, **options) -> DataFrame:
     """Best ``subset_size`` candidates by TF-IDF, then ordered by pair score; original ids are kept."""
     first = rank_corpus(queries, candidates, subset_size, ("tfidf",), **options) if ranked is None else ranked

@@ -94,8 +94,22 @@ def test_question_blocks_do_not_change_the_result(qa, monkeypatch):
     q, c = qa
     want = sorted(orr.rank_corpus(q, c, 4, ("tfidf", "cross_encoder", "hybrid")).collect())
     monkeypatch.setattr(orr, "SLICE", 2)
-    monkeypatch.setattr(orr, "question_blocks", lambda d, f=orr.question_blocks: f(d, 1))
-    assert sorted(orr.rank_corpus(q, c, 4, ("tfidf", "cross_encoder", "hybrid")).collect()) == want
+    monkeypatch.setattr(orr, "DENSE_BYTES", 1)
+    monkeypatch.setattr(orr, "BLOCK_BYTES", 64)
+    found = orr.rank_corpus(q, c, 4, ("tfidf", "cross_encoder", "hybrid"))
+    assert "salt" in found._jdf.queryExecution().optimizedPlan().toString() and sorted(found.collect()) == want
+
+
+@pytest.mark.parametrize("metric", orr.METRICS)
+def test_own_candidates_rank_as_a_corpus_of_them_does(qa, metric):
+    q, c = qa
+    pairs = q.select("query_id").crossJoin(c)
+    for strategy in ("tfidf", "cross_encoder", "hybrid"):
+        want = table(orr.rank_corpus(q, c, 5, (strategy,), metric))
+        assert table(orr.rerank_pairs(q, pairs, strategy, 5, metric)) == pytest.approx(want, abs=1e-9)
+    assert table(orr.rerank_pairs(q, pairs, "sequential", 2, metric, 4)) == table(orr.sequential_rerank(q, c, 2, 4, metric=metric))
+    with pytest.raises(ValueError):
+        orr.rerank_pairs(q, pairs, "bm25")
 
 
 def test_strategies_agree_with_their_definition(qa):
