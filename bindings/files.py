@@ -164,9 +164,29 @@ def image_to_tensor(spark, sf):
     return rounded(out.select("origin", F.size("tensor").alias("n"), F.array_max("tensor").cast("double").alias("top")), 4)
 
 
+def _large_pictures(spark, sf):
+    """The same pictures with every pixel as a square of 20 x 20: they need no resizing."""
+    p = pictures(spark, sf)
+    row = lambda y: F.repeat(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda x: F.repeat(F.substring(F.hex("data"), y * 48 + x * 6 + 1, F.lit(6)), F.lit(20))), ""), F.lit(20))
+    data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), row), ""))
+    return p.withColumns({"data": data, "height": F.lit(160), "width": F.lit(160)})
+
+
+def image_to_tensor_exact(spark, sf):
+    out = oi.to_tensor(_large_pictures(spark, sf))
+    return rounded(out.select("origin", F.size("tensor").alias("n"), F.array_max("tensor").cast("double").alias("top")), 4)
+
+
+def robustness_variants_exact(spark, sf):
+    """The four variants whose bytes follow from a whole-number mean."""
+    out = oi.robustness_variants(pictures(spark, sf)).filter("augmentation <> 'blur'")
+    return out.select("origin", "augmentation", _bytes_sum(True).alias("check_sum"))
+
+
 def embed_image(spark, sf):
+    """Colour histograms, exact up to single precision."""
     out = oi.embed_image(pictures(spark, sf))
-    return out.select("origin", F.size("embedding").alias("dim"))
+    return out.select("origin", F.transform("embedding", lambda x: F.round(x.cast("double"), 6) + F.lit(0.0)).alias("embedding"))
 
 
 def identify_images(spark, sf):
@@ -233,7 +253,7 @@ def stream_score(spark, sf):
     )
     out, point = work_path(spark, "stream"), work_path(spark, "point")
     _finish(streams.append(streams.scored(records, package, ("trans_num",)), out, point))
-    return rounded(spark.read.parquet(out).select("trans_num", "model", "prediction", "probability"))
+    return spark.read.parquet(out).select("trans_num", "model", *bt.checks(package))
 
 
 def stream_gallery(spark, sf):
@@ -275,7 +295,7 @@ QUERIES = {
     for f in (
         scan_parquet, scan_csv, scan_label_map, scan_label_lines, scan_txn_json, scan_tsv, scan_corpus, class_names,
         format_boxes, parse_box_labels, pair_by_stem, frame_sample, augment_images, augment_images_exact,
-        robustness_variants, image_to_tensor, embed_image, identify_images, detect_frames, history_log,
+        robustness_variants, robustness_variants_exact, image_to_tensor, image_to_tensor_exact, embed_image, identify_images, detect_frames, history_log,
         stream_frame_sample, stream_score, stream_gallery, stream_nms, stream_metrics,
     )
 }
@@ -319,6 +339,20 @@ SQL = {
         FROM embeddings, (SELECT unnest(['flipped', 'blurred', 'resized', 'rotated', 'brightness', 'contrast']) AS k)""",
     "augment_images_exact": _PIXELS + """SELECT origin, augmentation, 8::INTEGER AS height, 8::INTEGER AS width,
         sum((y2 * 24 + x2 * 3 + ch + 1) * b)::BIGINT AS check_sum FROM a GROUP BY ALL""",
+    "robustness_variants_exact": _PIXELS + """,
+        gray AS (SELECT origin, y, x, sum(b * [0.114, 0.587, 0.299][ch + 1]::DOUBLE) AS g FROM c GROUP BY ALL),
+        mean AS (SELECT origin, floor(avg(g) + 0.5) AS m FROM gray GROUP BY 1),
+        v AS (SELECT origin, k AS augmentation, y * 24 + x * 3 + ch + 1 AS i, least(255, greatest(0, round_even(CASE k WHEN 'low_brightness' THEN b * 0.5::DOUBLE
+          WHEN 'high_brightness' THEN b * 1.5::DOUBLE WHEN 'low_contrast' THEN m + 0.5::DOUBLE * (b - m) ELSE m + 1.5::DOUBLE * (b - m) END, 0)))::BIGINT AS b
+          FROM c JOIN mean USING (origin), (SELECT unnest(['low_brightness', 'high_brightness', 'low_contrast', 'high_contrast']) AS k))
+        SELECT origin, augmentation, sum(i * b)::BIGINT AS check_sum FROM v GROUP BY ALL""",
+    "image_to_tensor_exact": _PIXELS + """SELECT origin, 76800::INTEGER AS n, round(max(((b / 255.0::DOUBLE) - [0.406, 0.456, 0.485][ch + 1]) / [0.225, 0.224, 0.229][ch + 1])::FLOAT::DOUBLE, 4) AS top
+        FROM c GROUP BY 1""",
+    "embed_image": _PIXELS + """, h AS (SELECT origin, ch, b * 8 // 256 AS bin, count(*) AS n FROM c GROUP BY ALL),
+        every AS (SELECT origin, ch::BIGINT AS ch, bin::BIGINT AS bin FROM (SELECT DISTINCT origin FROM c), range(3) a(ch), range(8) d(bin)),
+        f AS (SELECT origin, ch, bin, coalesce(n, 0) AS n, sqrt(sum(coalesce(n, 0) * coalesce(n, 0)) OVER (PARTITION BY origin)) AS norm FROM every LEFT JOIN h USING (origin, ch, bin))
+        SELECT origin, list(round((n / norm)::FLOAT::DOUBLE, 6) + 0.0::DOUBLE ORDER BY ch, bin) AS embedding FROM f GROUP BY 1""",
+    "stream_score": "SELECT 'T' || event_id AS trans_num, 'bagging' AS model, true AS consistent, true AS in_range FROM events",
     "history_log": bv._ranked("euclidean", 3) + """SELECT query_id::VARCHAR AS probe_image, list(filename ORDER BY rank) AS files,
         round(query_id / 1000.0::DOUBLE, 6) AS query_time FROM r GROUP BY query_id""",
     "stream_gallery": """SELECT vec_id, label, 64::INTEGER AS dim, true AS celled FROM embeddings WHERE vec_id % 10 <> 0""",

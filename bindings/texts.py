@@ -277,6 +277,7 @@ def _own_sql(strategy: str, src: str, k: int) -> str:
 
 
 SQL = {
+    "embed_text": f"""SELECT doc_id, 64::INTEGER AS dim, (len(list_filter({_TERMS.format("text")}, lambda t: t NOT IN ({_STOP}))) > 0)::INT::DOUBLE AS norm2 FROM documents""",
     "pairs_cross_encoder": _own_sql("cross_encoder", "(SELECT query_id, cand_id, f1 AS score FROM f)", 1 << 30),
     "pairs_hybrid": _own_sql("hybrid", "(SELECT query_id, cand_id, round(0.3 * (1 - round(euclidean, 12)) + 0.7 * f1, 12) AS score FROM d JOIN f USING (query_id, cand_id))", 4),
     "pairs_sequential": _own_sql("sequential", "(SELECT query_id, cand_id, f1 AS score FROM (" + _best("(SELECT query_id, cand_id, round(cosine, 12) AS dist FROM d)", "dist", 3) + ") JOIN f USING (query_id, cand_id))", 2),

