@@ -20,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ from sparquill.llm.common import stored
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points per chunk; documents of more than two chunks are giant.
 CHUNK = 1 << 14
+#: Bytes of text that a worker turns into ids at a time.
+SLICE = 1 << 20
 SPACE = "▁"
 #: The piece of a character that the vocabulary lacks; it becomes bytes.
 UNKNOWN = -1
@@ -247,11 +250,22 @@ def _read(path: str) -> bytes:
 KEY = ["doc", "sig"]
 
 
+def _slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Runs of rows of at most SLICE bytes of text, or one row: what a worker holds as Python objects at a time."""
+    ends = np.cumsum(np.asarray(pc.binary_length(batch.column(text)).fill_null(0), np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _short(batches: Iterator[pa.RecordBatch], proto: bytes) -> Iterator[pa.RecordBatch]:
     v = vocabulary(proto)
-    for batch in batches:
-        ids = pa.array(v.whole.encode(batch.column("text").to_pylist(), num_threads=1), pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([ids if n == "ids" else batch.column(n) for n in (*batch.schema.names, "ids") if n != "text"], names=[*(n for n in batch.schema.names if n != "text"), "ids"])
+    for whole in batches:
+        for batch in _slices(whole):
+            ids = pa.array(v.whole.encode(batch.column("text").to_pylist(), num_threads=1), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), ids], names=["row", "ids"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], proto: bytes, chunk: int) -> Iterator[pa.RecordBatch]:
@@ -355,7 +369,7 @@ def decode(df: DataFrame, model: str = MODEL, ids_col: str = "ids", out: str = "
 
 
 def _digested(batches: Iterator[pa.RecordBatch], proto: bytes) -> Iterator[pa.RecordBatch]:
-    for batch in _decoded(batches, proto):
+    for batch in _decoded((part for whole in batches for part in _slices(whole)), proto):
         ids, texts, back = (batch.column(c) for c in ("ids", "text", "decoded"))
         hashes = [hashlib.sha256(np.asarray(x.values, "<i4").tobytes()).hexdigest() for x in ids]
         exact = [a == b for a, b in zip(texts.to_pylist(), back.to_pylist(), strict=True)]
