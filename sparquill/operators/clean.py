@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparquill.plans.scale import lookup_join, skew_join
-
 # Output column order and fill literal.
 COLUMN_ORDER = [
     "trans_date_trans_time", "cc_num", "merchant", "category", "amt", "first", "last", "sex",
@@ -22,10 +20,10 @@ REQUIRED = ["trans_date_trans_time", "cc_num", "amt", "merch_lat", "merch_long"]
 def join_sources(txn: DataFrame, labels: DataFrame, customers: DataFrame) -> DataFrame:
     """Transactions with their label and customer (inner, SQL null semantics).
 
-    One card may hold a large part of the transactions, hence the salted customer join.
+    One card may hold a large part of the transactions: adaptive execution splits its partition.
     """
     labelled = txn.join(labels, "trans_num", "inner")
-    return skew_join(labelled, customers, ["cc_num"], ["trans_num"], "inner")
+    return labelled.join(customers, "cc_num", "inner")
 
 
 def lower_strings(df: DataFrame) -> DataFrame:
@@ -63,8 +61,7 @@ def group_mode(df: DataFrame, group: str, target: str) -> DataFrame:
 
 def impute_category(df: DataFrame, group: str = "merchant", target: str = "category") -> DataFrame:
     """Missing target from the mode of its group; what is left becomes the unknown literal."""
-    spread = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
-    filled = lookup_join(df, group_mode(df, group, target), [group], spread)
+    filled = df.join(group_mode(df, group, target), group, "left")
     return filled.select(
         [
             F.coalesce(F.col(target), F.col("_mode"), F.lit(UNKNOWN)).alias(target)

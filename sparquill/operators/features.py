@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.operators.stats import time_since_prev
-from sparquill.plans.scale import lookup_join
 
 # The eleven features.
 NUMERIC = ["amt", "merch_lat", "merch_long", "hour_sin", "hour_cos", "day_sin", "day_cos", "month_sin", "month_cos"]
@@ -78,15 +77,13 @@ def fit_encodings(train: DataFrame, columns: list[str], label: str) -> DataFrame
     return own.unionByName(rest)
 
 
-def apply_encodings(df: DataFrame, encodings: DataFrame, columns: list[str], suffix: str = "_encoded", limit: int = 500_000) -> DataFrame:
-    """Looks up every category, unseen ones get the global mean. The side is broadcast if
-    its count allows, otherwise Spark's adaptive join decides."""
-    small = encodings.count() <= limit
+def apply_encodings(df: DataFrame, encodings: DataFrame, columns: list[str], suffix: str = "_encoded") -> DataFrame:
+    """Looks up every category, unseen ones get the global mean. Spark picks the join by the size of the side."""
     default = {r["feature"]: r["encoding"] for r in encodings.filter(F.col("category").isNull()).collect()}
     for c in columns:
         side = encodings.filter((F.col("feature") == c) & F.col("category").isNotNull())
         side = side.select(F.col("category").alias(f"_{c}"), F.col("encoding").alias("_e"))
-        df = df.join(F.broadcast(side) if small else side, F.col(c).cast("string") == F.col(f"_{c}"), "left")
+        df = df.join(side, F.col(c).cast("string") == F.col(f"_{c}"), "left")
         df = df.withColumn(f"{c}{suffix}", F.coalesce("_e", F.lit(default[c]))).drop("_e", f"_{c}")
     return df
 
@@ -119,7 +116,7 @@ def cross_fit_encode(train: DataFrame, columns: list[str], label: str, fold: Col
     out = folded
     for c in columns:
         side = table.filter(F.col("feature") == c).select(F.col("category").alias("_key"), "_fold", "_e")
-        out = lookup_join(out.withColumn("_key", F.col(c).cast("string")), side, ["_key", "_fold"], [id_col])
+        out = out.withColumn("_key", F.col(c).cast("string")).join(side, ["_key", "_fold"], "left")
         out = out.withColumn(f"{c}{suffix}", F.coalesce("_e", pick[F.col("_fold")])).drop("_e", "_key")
     return out.drop("_fold")
 

@@ -1,8 +1,8 @@
 """Building blocks that keep every step spread over the cluster.
 
 None of them sends a whole table, or one whole key, through a single task:
-ordered work is cut into value ranges whose bounds come from approximate
-quantiles, and frequent join keys are salted.
+ordered work is cut into value ranges, as many as the rows need, whose bounds come
+from approximate quantiles.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparquill.session import cut
 
-BUCKETS = 200
+PER_RANGE = 1_000_000  # rows in a value range, so ranges grow with the table
+MOST_RANGES = 20_000  # bounds that one aggregate finds and every task holds
 
 
 def micros(c: Column | str) -> Column:
@@ -36,8 +36,12 @@ def numeric(df: DataFrame, name: str) -> Column:
     raise TypeError(f"column {name} has no numeric order: {kind.simpleString()}")
 
 
-def range_bounds(df: DataFrame, key: Column, buckets: int = BUCKETS) -> list[float]:
-    """At most ``buckets - 1`` distinct cut points of about equal weight."""
+def range_bounds(df: DataFrame, key: Column, buckets: int | None = None) -> list[float]:
+    """At most ``buckets - 1`` distinct cut points of about equal weight; by default a range for every PER_RANGE rows."""
+    if buckets is None:
+        buckets = min(MOST_RANGES, -(-df.count() // PER_RANGE))
+    if buckets < 2:
+        return []
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(key, probs, buckets * 50).alias("q")).first()
     return sorted(set(row["q"] or []))
@@ -60,7 +64,7 @@ def prefix_sums(
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Running sums ``cum_<s>`` and totals ``total_<s>`` in key order, per group of ``by``.
 
@@ -73,7 +77,7 @@ def prefix_sums(
     group = Window.partitionBy(*(by or [F.lit(0)]))
     before = group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_part_{s}") for s in sums])
-    # one row per range and group: at most buckets * groups rows
+    # one row per range and group
     offsets = totals.select(
         *by,
         "_bucket",
@@ -233,53 +237,3 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, out
     """First k rows per group. Spark cuts each partition to k rows per group before the shuffle."""
     ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     return ranked.filter(F.col(out) <= k)
-
-
-def frequent_keys(df: DataFrame, on: Sequence[str], share: float = 0.02) -> list[int]:
-    """Hashes of the join keys that hold more than ``share`` of the rows, in one narrow pass.
-
-    There can be at most ``1 / share`` of them (a few false ones do no harm).
-    """
-    hashed = df.select(F.xxhash64(*on).alias("h"))
-    return list(hashed.stat.freqItems(["h"], share).first()["h_freqItems"] or [])
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread: Sequence[str],
-    how: str = "inner",
-    share: float = 0.02,
-    salts: int = 64,
-) -> DataFrame:
-    """Equi-join whose left side may hold a large part of its rows under one key.
-
-    Rows of frequent left keys are spread over ``salts`` sub-keys by a hash of the
-    ``spread`` columns; the few matching right rows are repeated once per sub-key.
-    ``how`` is inner or left. Null keys never match and are spread as well.
-    """
-    hot = frequent_keys(left, on, share)
-    if not hot:
-        return left.join(right, list(on), how)
-    key = F.xxhash64(*on)
-    empty = F.lit(False)
-    for name in on:
-        empty = empty | F.col(name).isNull()
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    salted = left.withColumn("_salt", F.when(key.isin(hot) | empty, salt).otherwise(F.lit(0)))
-    copies = F.when(key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_salt", F.explode(copies))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def lookup_join(df: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str], limit: int = 500_000) -> DataFrame:
-    """Left join with a table of unique keys that is usually small.
-
-    The table is stored once and counted: up to ``limit`` rows it is broadcast, beyond
-    that the join shuffles and frequent keys are salted.
-    """
-    stored = cut(table)
-    if stored.count() <= limit:
-        return df.join(F.broadcast(stored), list(on), "left")
-    return skew_join(df, stored, on, spread, "left")

@@ -58,26 +58,13 @@ def test_selection_orders_strings_nulls_and_ties_alike_at_every_size(spark, smal
     assert scale.kth_row(df, ["ts"], 601, small) is None
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join_equals_plain_join(spark, how):
-    left = spark.range(3000).select(
-        F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 50).alias("k")
-    )
-    right = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert scale.frequent_keys(left, ["k"])
-    a = sorted((r.id, r.k, r.v) for r in left.join(right, "k", how).collect() if r.k is not None)
-    got = scale.skew_join(left, right, ["k"], ["id"], how)
-    b = sorted((r.id, r.k, r.v) for r in got.collect() if r.k is not None)
-    assert [tuple(map(str, x)) for x in a] == [tuple(map(str, x)) for x in b]
-    assert got.count() == left.join(right, "k", how).count()
-
-
-def test_lookup_join_beyond_the_broadcast_limit(spark):
-    left = spark.range(500).select("id", (F.col("id") % 5).alias("k"))
-    table = spark.range(4).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    for limit in (0, 100):
-        out = scale.lookup_join(left, table, ["k"], ["id"], limit)
-        assert out.count() == 500 and out.filter("v is null").count() == 100
+def test_ranges_grow_with_the_table(spark, monkeypatch):
+    df = spark.range(1000).select((F.col("id") % 700).cast("double").alias("v"))
+    want = scale.exact_quantiles(df, "v", [0.1, 0.5, 0.9]).first()
+    assert scale.range_bounds(df, F.col("v")) == []
+    monkeypatch.setattr(scale, "PER_RANGE", 20)
+    assert len(scale.range_bounds(df, F.col("v"))) > 40
+    assert scale.exact_quantiles(df, "v", [0.1, 0.5, 0.9]).first() == want
 
 
 def test_top_k_per_group(spark):
