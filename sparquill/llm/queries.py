@@ -121,5 +121,29 @@ least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
 degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, coalesce(d.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
 FROM embeddings e JOIN least l ON e.vec_id = l.x LEFT JOIN degree d ON e.vec_id = d.x
+""",
+    # On the given tables no label is trusted, so all spans are base spans; tests/llm plant labels that are.
+    "op2_pii": """
+WITH kinds AS (SELECT * FROM (VALUES
+  ('email', 1, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+'), ('ip', 2, '[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)'),
+  ('card', 3, '[0-9]([\\x20-]?[0-9])+'), ('phone', 4, '\\+[0-9][\\x20().0-9-]+[0-9]')) k(kind, rank, pattern)),
+parts AS (
+  SELECT doc_id, kind, rank, regexp_extract_all(coalesce(text, ''), pattern) AS ms, string_split_regex(coalesce(text, ''), pattern) AS gs FROM documents, kinds),
+places AS (SELECT doc_id, kind, rank, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g FROM parts WHERE len(ms) > 0),
+found AS (
+  SELECT *, (sum(length(g) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i))::BIGINT AS fin, regexp_replace(m, '[^0-9]', '', 'g') AS digits FROM places),
+luhn AS (
+  SELECT *, list_sum(list_transform(range(1, length(digits) + 1), lambda k: CASE WHEN k % 2 = 1 THEN reverse(digits)[k]::INT
+    WHEN reverse(digits)[k]::INT >= 5 THEN 2 * reverse(digits)[k]::INT - 9 ELSE 2 * reverse(digits)[k]::INT END)) AS total FROM found),
+base AS (
+  SELECT doc_id, kind, rank, fin - length(m) AS start, kind || ':' || (fin - length(m)) || ':' || fin AS said FROM luhn WHERE CASE kind
+    WHEN 'email' THEN true WHEN 'card' THEN length(digits) BETWEEN 14 AND 19 AND total % 10 = 0 WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
+    ELSE len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(x AS HUGEINT), 256) > 255)) = 0 END),
+said AS (
+  SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
+    count(*) FILTER (kind = 'phone') AS n_phone, string_agg(said, ',' ORDER BY start, rank) AS spans FROM base GROUP BY 1)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, 0::BIGINT AS n_found
+FROM documents LEFT JOIN said USING (doc_id)
 """,
 }
