@@ -3,7 +3,8 @@
 Set relations save the work twice. Answers: copies and near copies first meet their star's leader by equal minimum hashes; a member that is linked
 to its leader is in the leader's class, so no member is compared with another. Index: what can still be linked across classes is found by
 an inverted index over the prefixes of the sets, in an order that puts frequent shingles last. Its lists are ordered by set size and cut into
-blocks, and a block is skipped when sizes, positions in the sets or classes rule all of its pairs out. Candidates are verified on whole texts.
+blocks, and a block is skipped when sizes, positions in the sets or classes rule all of its pairs out. A long list is first only chained, so that what a
+chain joins is one class before the list's other pairs are looked at. Candidates are verified on whole texts.
 Any order of the shingles gives exact results; the one used comes from counts of all shingles of all documents, in a fixed number of counters.
 """
 
@@ -175,8 +176,13 @@ def _possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a["cls"] != b["cls"]) & (100 * a["n"].astype(np.int64) >= SHARE * b["n"].astype(np.int64)) & (a["pos"] < index) & (np.minimum(a["n"] - a["pos"], b["n"] - b["pos"]) >= need)
 
 
-def _listed(entries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate pairs (smaller set, larger set) of all lists of some shingles."""
+def _listed(entries: np.ndarray, full: bool = True, unsettled: list | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs (smaller set, larger set) of all lists of some shingles.
+
+    Unless ``full``, a list longer than a block gives a chain through its entries in a random order only, and the entries go to ``unsettled``.
+    """
+    if not len(entries):
+        return
     e = entries[np.lexsort((entries["rid"], entries["n"], entries["h"]))]
     start = np.flatnonzero(np.concatenate(([True], e["h"][1:] != e["h"][:-1])))
     size = np.diff(np.append(start, len(e)))
@@ -191,7 +197,8 @@ def _listed(entries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             break
         i = i[_possible(s[i], s[i + d])]
         yield s["rid"][i], s["rid"][i + d]
-    for k in np.flatnonzero(mixed & ~short):
+    long = np.flatnonzero(mixed & ~short)
+    for k in long if full else ():
         blocks = [e[a : a + BLOCK] for a in range(start[k], start[k] + size[k], BLOCK)]
         blocks[-1] = blocks[-1][: start[k] + size[k] - (start[k] + (len(blocks) - 1) * BLOCK)]
         reach = [int((b["n"] - b["pos"]).max()) for b in blocks]
@@ -206,29 +213,59 @@ def _listed(entries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 i, j = np.triu_indices(len(a), 1) if x == y else (z.ravel() for z in np.indices((len(a), len(b))))
                 ok = _possible(a[i], b[j])
                 yield a["rid"][i[ok]], b["rid"][j[ok]]
+    if not full and len(long):
+        rest = e[np.repeat(mixed & ~short, size)]
+        unsettled.append(rest)
+        order = np.lexsort((tokens.mixed(rest["rid"].view(np.uint64) ^ rest["h"]), rest["h"]))
+        a, b = rest[order[:-1]], rest[order[1:]]
+        swap = (a["n"] > b["n"]) | ((a["n"] == b["n"]) & (a["rid"] > b["rid"]))
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        ok = (a["h"] == b["h"]) & _possible(a, b)
+        yield a["rid"][ok], b["rid"][ok]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of packed entries, and the entries (a = set, h, n, pos) of long lists of several classes."""
     kept: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for part, n, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "n", "entries")), strict=True):
             kept.setdefault(part, []).append(_entries_of(blob, n))
     while kept:
         _, arrays = kept.popitem()
-        held, n = [], 0
-        for pair in _listed(np.concatenate(arrays)):
-            held.append(np.stack(pair))
-            n += held[-1].shape[1]
-            if n >= PAIRS:
-                yield _distinct(held)
-                held, n = [], 0
-        if n:
-            yield _distinct(held)
-
-
-def _distinct(held: list[np.ndarray]) -> pa.RecordBatch:
-    both = np.unique(np.concatenate(held, axis=1), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+        unsettled: list[np.ndarray] = []
+        for both in _distinct(_listed(np.concatenate(arrays), False, unsettled)):
+            none = pa.nulls(both.shape[1], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), none, none, none], names=["a", "b", "h", "n", "pos"])
+        for e in unsettled:
+            columns = [np.ascontiguousarray(e[c]).astype(np.int64) if c != "h" else np.ascontiguousarray(e[c]).view(np.int64) for c in ("rid", "h", "n", "pos")]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.nulls(len(e), pa.int64()), *(pa.array(c) for c in columns[1:])], names=["a", "b", "h", "n", "pos"])
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs (a, b) that the entries (h, rid, cls, n, pos) of whole lists still allow."""
+    held = []
+    for batch in batches:
+        e = np.empty(batch.num_rows, ENTRY)
+        for c in ("rid", "cls", "n", "pos"):
+            e[c] = np.asarray(batch.column(c))
+        e["h"] = np.asarray(batch.column("h")).view(np.uint64)
+        held.append(e)
+    if held:
+        for both in _distinct(_listed(np.concatenate(held))):
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+
+def _distinct(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
+    """The pairs without repeats, some PAIRS at a time."""
+    held, n = [], 0
+    for pair in pairs:
+        held.append(np.stack(pair))
+        n += held[-1].shape[1]
+        if n >= PAIRS:
+            yield np.unique(np.concatenate(held, axis=1), axis=1)
+            held, n = [], 0
+    if n:
+        yield np.unique(np.concatenate(held, axis=1), axis=1)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,9 +344,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     parts = 16 * tasks
     same = docs["doc"].eqNullSafe(known["rep_doc"]) & (docs["sig"] == known["rep_sig"])
     entries = docs.join(known, same).select("rid", "cls", "text").mapInArrow(lambda b: _entries(b, shared.value, parts), "part int, n int, entries binary")
-    pairs = entries.repartition(tasks, "part").mapInArrow(_candidates, "a long, b long")
-    links = links.unionByName(_links(docs, sets, pairs))
+    pairs = stored(entries.repartition(tasks, "part").mapInArrow(_candidates, "a long, b long, h long, n long, pos long"), "candidates")
+    links = links.unionByName(_links(docs, sets, pairs.where("h is null").select("a", "b")))
     found = components(links)
+    # Long lists were only chained so far. What the chains have joined is one class now; the pairs of different classes are still to be seen.
+    rest = pairs.where("h is not null").select("h", F.col("a").alias("rid"), "n", "pos")
+    if not rest.isEmpty():
+        known = found.withColumnRenamed("node", "rid").withColumnRenamed("component", "cls")
+        open_lists = rest.join(known, "rid", "left").select("h", "rid", F.coalesce("cls", "rid").alias("cls"), "n", "pos")
+        links = links.unionByName(_links(docs, sets, open_lists.repartition(tasks, "h").mapInArrow(_settled, "a long, b long")))
+        found = components(links)
     return rows, sets.join(found.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "rid", F.coalesce("component", "rid").alias("cls"), "rep_doc", "rep_sig", "n")
 
 

@@ -87,6 +87,19 @@ def test_groups(docs, seed):
     assert got == collections.Counter(expected_groups(rows))
 
 
+def test_a_large_group_around_the_threshold(docs):
+    """Lists of hundreds of sets: chains first, then what is left."""
+    draw, rows = random.Random(8), []
+    for k in range(220):
+        words = [f"w{j}" for j in range(90)]
+        for _ in range(draw.choice((0, 1, 2, 3))):
+            words[draw.randrange(90)] = f"x{draw.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, " ".join(f"w{j}" for j in range(90 - k))) for k in range(0, 60, 4)]
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.groups(docs(rows)).collect())
+    assert got == collections.Counter(expected_groups(rows))
+
+
 def test_long_lists_are_cut_into_blocks(monkeypatch):
     """Lists longer than a block give the pairs that all pairs would give."""
     draw = np.random.default_rng(3)
@@ -100,6 +113,9 @@ def test_long_lists_are_cut_into_blocks(monkeypatch):
         if a["h"] == b["h"] and (a["n"], a["rid"]) < (b["n"], b["rid"]) and jaccard._possible(np.array([a]), np.array([b]))[0]:
             want.add((min(a["rid"], b["rid"]), max(a["rid"], b["rid"])))
     assert found == want and len(want) > 50
+    unsettled: list = []
+    chained = {(min(a, b), max(a, b)) for x, y in jaccard._listed(entries, False, unsettled) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    assert chained < want and sum(map(len, unsettled)) == 400
     monkeypatch.setattr(jaccard, "BLOCK", 1000)
     assert want == {(min(a, b), max(a, b)) for x, y in jaccard._listed(entries) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
 
