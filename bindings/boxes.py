@@ -133,6 +133,13 @@ def hard_negatives(spark, sf):
     return ob.hard_negatives(losses, 20).select("image_id", "loss")
 
 
+def hard_negatives_complete(spark, sf):
+    """Mining over the images that have both kinds of files."""
+    pred, truth = predictions(spark, sf), annotations(spark, sf)
+    img = ob.complete_images(images(spark, sf), pred.select("image_id"), truth.select("image_id"))
+    return ob.hard_negatives(ob.detection_loss(pred, truth, img).withColumn("loss", F.round("loss", 6)), 20).select("image_id", "loss")
+
+
 def misclassification_counts(spark, sf):
     return ob.misclassified(predictions(spark, sf), annotations(spark, sf), images(spark, sf))
 
@@ -165,7 +172,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         box_iou_pairs, box_to_pixels, detect_postprocess, nms, match_detections, image_pr, mean_image_pr,
-        per_class_pr, threshold_sweep, detection_map, mean_detection_map, detection_loss, hard_negatives,
+        per_class_pr, threshold_sweep, detection_map, mean_detection_map, detection_loss, hard_negatives, hard_negatives_complete,
         misclassification_counts, augment_boxes, augmentation_effect, detection_run_metrics,
     )
 }
@@ -318,6 +325,8 @@ SQL = {
     "detection_loss": _BASE + _PIXEL + _losses() + "SELECT image_id, n_pred, n_truth, round(loss, 6) AS loss FROM losses",
     "hard_negatives": _BASE + _PIXEL + _losses() + """SELECT image_id, round(loss, 6) AS loss FROM losses
         ORDER BY 2 DESC, 1 LIMIT 20""",
+    "hard_negatives_complete": _BASE + _PIXEL + _losses() + """SELECT image_id, round(loss, 6) AS loss FROM losses
+        WHERE n_pred > 0 AND n_truth > 0 ORDER BY 2 DESC, 1 LIMIT 20""",
     "misclassification_counts": _BASE + _PIXEL + """SELECT true_class AS class_id, count(*) AS misclassified FROM pairs
         WHERE iou > 0.5 AND pred_class <> true_class GROUP BY 1""",
     "augment_boxes": _BASE + """, kinds AS (SELECT unnest(['flipped','blurred','resized','rotated','brightness','contrast']) AS augmentation)

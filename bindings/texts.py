@@ -62,6 +62,26 @@ def embed_text(spark, sf):
     return rounded(out.select("doc_id", F.size("embedding").alias("dim"), unit.alias("norm2")), 4)
 
 
+def _measure():
+    """A plugged-in model: a text's length and its blanks as a vector."""
+    return lambda texts: [[float(len(t)), float(t.count(" "))] for t in texts]
+
+
+def _closeness():
+    """A plugged-in model for pairs: texts of like length are close."""
+    return lambda a, b: [1.0 / (1.0 + abs(len(x) - len(y))) for x, y in zip(a, b)]
+
+
+def plugin_embed(spark, sf):
+    out = oc.batch_embed(documents(spark, sf), "text", _measure)
+    return out.select("doc_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(("chars", "blanks"))])
+
+
+def plugin_rerank(spark, sf):
+    asked, said = _talks(spark, sf)
+    return rounded(orr.rerank_pairs(asked, said, "cross_encoder", pair_factory=_closeness))
+
+
 def _tfidf(metric):
     def run(spark, sf):
         asked, said = _talks(spark, sf)
@@ -171,6 +191,8 @@ QUERIES = {
         qa_filter, stratified_sample, top_n_preview,
     )
 }
+QUERIES["plugin_embed"] = plugin_embed
+QUERIES["plugin_rerank"] = plugin_rerank
 QUERIES["retrieve_rerank"] = retrieve_rerank
 QUERIES["pairs_cross_encoder"] = _own("cross_encoder")
 QUERIES["pairs_hybrid"] = _own("hybrid", 4, "euclidean")
@@ -277,6 +299,9 @@ def _own_sql(strategy: str, src: str, k: int) -> str:
 
 
 SQL = {
+    "plugin_embed": "SELECT doc_id, length(text)::DOUBLE AS chars, (length(text) - length(replace(text, ' ', '')))::DOUBLE AS blanks FROM documents",
+    "plugin_rerank": _TALK + ", s AS (SELECT c.query_id, c.cand_id, 1.0::DOUBLE / (1 + abs(length(q.text) - length(c.text))) AS score FROM c JOIN q USING (query_id)), b AS ("
+    + _best("s", "score DESC", 1 << 30) + ") " + _ROW.format(s="'cross_encoder'", t="b"),
     "embed_text": f"""SELECT doc_id, 64::INTEGER AS dim, (len(list_filter({_TERMS.format("text")}, lambda t: t NOT IN ({_STOP}))) > 0)::INT::DOUBLE AS norm2 FROM documents""",
     "pairs_cross_encoder": _own_sql("cross_encoder", "(SELECT query_id, cand_id, f1 AS score FROM f)", 1 << 30),
     "pairs_hybrid": _own_sql("hybrid", "(SELECT query_id, cand_id, round(0.3 * (1 - round(euclidean, 12)) + 0.7 * f1, 12) AS score FROM d JOIN f USING (query_id, cand_id))", 4),
