@@ -4,7 +4,7 @@ Set relations save the work twice. Answers: copies and near copies first meet th
 to its leader is in the leader's class, so no member is compared with another. Index: what can still be linked across classes is found by
 an inverted index over the prefixes of the sets, in an order that puts frequent shingles last. Its lists are ordered by set size and cut into
 blocks, and a block is skipped when sizes, positions in the sets or classes rule all of its pairs out. A long list is first only chained, so that what a
-chain joins is one class before the list's other pairs are looked at. Candidates are verified on whole texts.
+chain joins is one class, then what is left of it meets a few members of its largest class, and only then are all its other pairs looked at. Candidates are verified on whole texts.
 Any order of the shingles gives exact results; the one used comes from counts of all shingles of all documents, in a fixed number of counters.
 """
 
@@ -34,6 +34,8 @@ SLICES = 16
 ENTRIES = 1_000_000
 #: Candidate pairs that a task holds before it hands them on.
 PAIRS = 500_000
+#: Entries of a list's largest class that each entry outside it is held against before all pairs are looked at.
+DRAWS = 2
 #: Entries per block of a list.
 BLOCK = 64
 ENTRY = np.dtype([("h", "u8"), ("rid", "i8"), ("cls", "i8"), ("n", "i4"), ("pos", "i4")])
@@ -241,8 +243,29 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.nulls(len(e), pa.int64()), *(pa.array(c) for c in columns[1:])], names=["a", "b", "h", "n", "pos"])
 
 
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs (a, b) that the entries (h, rid, cls, n, pos) of whole lists still allow."""
+def _drawn(e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each entry outside the largest class of its list, DRAWS pairs with entries of that class, by hash."""
+    if not len(e):
+        return
+    e = e[np.lexsort((e["cls"], e["h"]))]
+    start = np.flatnonzero(np.concatenate(([True], (e["h"][1:] != e["h"][:-1]) | (e["cls"][1:] != e["cls"][:-1]))))
+    size, h = np.diff(np.append(start, len(e))), e["h"][start]
+    order = np.lexsort((-size, h))  # the largest class of each list first
+    first = order[np.concatenate(([True], h[order][1:] != h[order][:-1]))]
+    of = np.searchsorted(h[first], e["h"])
+    big, n = start[first][of], size[first][of]
+    out = np.flatnonzero((np.arange(len(e)) < big) | (np.arange(len(e)) >= big + n))
+    for k in range(DRAWS):
+        pick = tokens.mixed(e["rid"][out].view(np.uint64) ^ e["h"][out] ^ np.uint64(k)) % n[out].astype(np.uint64)
+        a, b = e[out], e[big[out] + pick.astype(np.int64)]
+        swap = (a["n"] > b["n"]) | ((a["n"] == b["n"]) & (a["rid"] > b["rid"]))
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        ok = _possible(a, b)
+        yield a["rid"][ok], b["rid"][ok]
+
+
+def _settled(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) that the entries (h, rid, cls, n, pos) of whole lists still allow: all, or those drawn first."""
     held = []
     for batch in batches:
         e = np.empty(batch.num_rows, ENTRY)
@@ -251,7 +274,8 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e["h"] = np.asarray(batch.column("h")).view(np.uint64)
         held.append(e)
     if held:
-        for both in _distinct(_listed(np.concatenate(held))):
+        entries = np.concatenate(held)
+        for both in _distinct(_listed(entries) if full else _drawn(entries)):
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
 
@@ -349,10 +373,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = components(links)
     # Long lists were only chained so far. What the chains have joined is one class now; the pairs of different classes are still to be seen.
     rest = pairs.where("h is not null").select("h", F.col("a").alias("rid"), "n", "pos")
-    if not rest.isEmpty():
+    for full in (False, True) if not rest.isEmpty() else ():
         known = found.withColumnRenamed("node", "rid").withColumnRenamed("component", "cls")
-        open_lists = rest.join(known, "rid", "left").select("h", "rid", F.coalesce("cls", "rid").alias("cls"), "n", "pos")
-        links = links.unionByName(_links(docs, sets, open_lists.repartition(tasks, "h").mapInArrow(_settled, "a long, b long")))
+        open_lists = stored(rest.join(known, "rid", "left").select("h", "rid", F.coalesce("cls", "rid").alias("cls"), "n", "pos"), "open-lists")
+        several = open_lists.groupBy("h").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("h")
+        if several.isEmpty():
+            break
+        seen = open_lists.repartition(tasks, "h").mapInArrow(lambda b, full=full: _settled(b, full), "a long, b long")
+        links = links.unionByName(_links(docs, sets, seen))
         found = components(links)
     return rows, sets.join(found.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "rid", F.coalesce("component", "rid").alias("cls"), "rep_doc", "rep_sig", "n")
 
