@@ -26,8 +26,8 @@ def prose(n, seed, words=("the", "of", "and", "to", "Éa", "tion", "ing", "house
 def near_copies_and_junk():
     rows = []
     for k in range(60):
-        body = f"start {k} " + prose(80, k, [f"w{j}" for j in range(200)])
-        rows += [(10 * k, body, "en", f"s{k % 4}"), (10 * k + 1, body.upper(), "en", f"s{k % 5}"), (10 * k + 2, body + " one more end", "en", None)]
+        body = f"start {k} " + prose(80, k)
+        rows += [(10 * k, body, "en", f"s{k % 4}"), (10 * k + 1, body.replace(" ", "  "), "en", f"s{k % 5}"), (10 * k + 2, body + " one more end", "en", None)]
         rows[-1 - k % 3] = (*rows[-1 - k % 3][:1], "shared  line\n" + rows[-1 - k % 3][1], *rows[-1 - k % 3][2:])
     return rows + [(9000, None, "en", "s1"), (9001, "short", "en", "s1"), (9002, "again and again " * 30, "en", "s2")]
 
