@@ -34,6 +34,10 @@ MARKED = frozenset(
     "newsletter subscribe subscription signup login search toolbar pagination pager widget complementary contentinfo dialog alertdialog".split()
 )
 WHOLE = frozenset(("html", "body", "article", "main"))
+#: Marks of readers' comments.
+COMMENTS = frozenset("comment comments disqus respond".split())
+#: First or last words of names that tell a state.
+STATES = frozenset("has no with without open closed".split())
 #: Ancestors that get points; further ones would get less than this part of them.
 STEPS = 32
 #: A sibling stays if it has at least this share of the container's points.
@@ -128,17 +132,53 @@ class Page:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
                 at = n if close is None else close.start()
 
-    def boilerplate(self) -> list[bool]:
-        """Whether an element is, or lies in, boilerplate."""
-        out, in_article = [False], [False]
-        for tag, parent, marks in zip(self.tag[1:], self.parent[1:], self.marks[1:], strict=True):
-            words = set(re.split(r"[^a-z0-9]+", marks)) if marks else ()
-            drop = out[parent] or tag in DROPPED or tag == "header" and not in_article[parent]
-            if not drop and words and not MARKED.isdisjoint(words):
-                drop = tag not in WHOLE or tag == "article" and not {"comment", "comments"}.isdisjoint(words)
-            out.append(drop)
+    def _words(self, k: int, in_article: bool) -> set[str]:
+        """The words of an element's marks that mark boilerplate. Names of a state ('has-sidebar', 'comments-open') say what a page has, not what an element is."""
+        names = [re.split(r"[^a-z0-9]+", name) for name in self.marks[k].split()]
+        words = {w for parts in names if not (len(parts) > 1 and (parts[0] in STATES or parts[-1] in STATES)) for w in parts}
+        return words & MARKED - ({"header"} if in_article else set())
+
+    def boilerplate(self, spared: frozenset[int] | set[int] = frozenset()) -> tuple[list[bool], list[bool]]:
+        """Whether an element is, or lies in, boilerplate, and whether it is marked; marks of ``spared`` elements do not count."""
+        out, in_article, marked = [False], [False], [False]
+        for k, (tag, parent) in enumerate(zip(self.tag[1:], self.parent[1:], strict=True), 1):
+            words = self._words(k, in_article[parent]) if self.marks[k] else ()
+            drop = tag in DROPPED or tag == "header" and not in_article[parent] or tag == "article" and not COMMENTS.isdisjoint(words)
+            marked.append(bool(words) and tag not in WHOLE)
+            out.append(out[parent] or drop or marked[k] and k not in spared)
             in_article.append(in_article[parent] or tag in ("article", "main"))
-        return out
+        return out, marked
+
+    def wrappers(self) -> set[int]:
+        """Marked elements that are no boilerplate: they hold all articles (or main elements) of a page that has none elsewhere, or most of the points of
+        the article or page. Comments can outweigh an article and are spared for its sake only."""
+        dropped, marked = self.boilerplate()
+        if not any(marked):
+            return set()
+        every = {k for k, m in enumerate(marked) if m}
+        unmarked = self.boilerplate(every)[0]
+        linked, block = self._blocks()
+        self.lists_of_links(linked, unmarked)
+        points = self._points(block, linked, unmarked)
+        own = {k for k, tag in enumerate(self.tag) if tag in ("article", "main") and not dropped[k]}
+        inner = {k for k, tag in enumerate(self.tag) if tag == "article" and not unmarked[k]}
+        if not inner and not own:
+            inner = {k for k, tag in enumerate(self.tag) if tag == "main" and not unmarked[k]}
+        if any(self.tag[k] == "article" for k in own):
+            inner = set()
+        scope, holds = [not own], [0] * len(self.tag)
+        for k in range(1, len(self.tag)):
+            scope.append(scope[self.parent[k]] or k in own)
+            points[k] *= scope[k]
+        total = sum(points)
+        for k in range(len(self.tag) - 1, 0, -1):
+            holds[k] += k in inner
+            holds[self.parent[k]] += holds[k]
+            points[self.parent[k]] += points[k]
+        return {
+            k for k in every
+            if inner and holds[k] == len(inner) or scope[k] and 2 * points[k] > total and COMMENTS.isdisjoint(self._words(k, False))
+        }
 
     def lists_of_links(self, linked: list[bool], dropped: list[bool]) -> None:
         """Marks lists that hold links and hardly anything else: menus without a name."""
@@ -162,15 +202,17 @@ class Page:
         for k in range(1, len(self.tag)):
             dropped[k] = dropped[k] or dropped[self.parent[k]]
 
-    def main_text(self) -> str:
-        dropped = self.boilerplate()
-        linked = [False] * len(self.tag)
-        block = list(range(len(self.tag)))
+    def _blocks(self) -> tuple[list[bool], list[int]]:
+        """Whether an element lies in a link, and its nearest block."""
+        linked, block = [False] * len(self.tag), list(range(len(self.tag)))
         for k in range(1, len(self.tag)):
             linked[k] = self.tag[k] == "a" or linked[self.parent[k]]
             if self.tag[k] in INLINE:
                 block[k] = block[self.parent[k]]
-        self.lists_of_links(linked, dropped)
+        return linked, block
+
+    def _points(self, block: list[int], linked: list[bool], dropped: list[bool]) -> list[float]:
+        """The points of each block for the text that it holds itself."""
         length, commas, links = ([0] * len(self.tag) for _ in range(3))
         for element, text in self.items:
             if text is not None and not dropped[element]:
@@ -178,13 +220,19 @@ class Page:
                 length[b] += n
                 commas[b] += text.count(",")
                 links[b] += n if linked[element] else 0
+        return [(1 + c + min(n / 100, 3)) * (1 - x / n) if n else 0.0 for n, c, x in zip(length, commas, links, strict=True)]
+
+    def main_text(self) -> str:
+        dropped = self.boilerplate(self.wrappers())[0]
+        linked, block = self._blocks()
+        self.lists_of_links(linked, dropped)
+        own = self._points(block, linked, dropped)
         score = [0.0] * len(self.tag)
         for b in range(len(self.tag)):
-            if length[b]:
-                points = (1 + commas[b] + min(length[b] / 100, 3)) * (1 - links[b] / length[b])
+            if own[b]:
                 up, step = self.parent[b] if b else b, 1
                 while up >= 0 and step <= STEPS:
-                    score[up] += points / step
+                    score[up] += own[b] / step
                     up, step = self.parent[up], step + 1
         best = max(range(len(score)), key=lambda k: (score[k], -k))
         up = best
