@@ -42,6 +42,11 @@ STATES = frozenset("has no with without open closed".split())
 STEPS = 32
 #: A sibling stays if it has at least this share of the container's points.
 SIBLING = 0.2
+#: So does one beside a container that is no article, if at most this share of its text is in links and a block of it has so many points (80 characters
+#: without a comma), or it has no links and ends as a sentence does.
+LINKED, LEAST_POINTS = 0.25, 1.8
+SENTENCE = frozenset(".!?\u2026\u3002\uff01\uff1f\"'\u201d\u2019")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _END = re.compile(r"""(?>(?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+)>""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -222,6 +227,42 @@ class Page:
                 links[b] += n if linked[element] else 0
         return [(1 + c + min(n / 100, 3)) * (1 - x / n) if n else 0.0 for n, c, x in zip(length, commas, links, strict=True)]
 
+    def _beside(self, best: int, score: list[float], block: list[int], linked: list[bool], dropped: list[bool], own: list[float]) -> set[int]:
+        """The siblings of the container that stay: those that score well, and where no article or main element bounds the text, those that read as text
+        by their own points and links, and headings that such a sibling or the container follows."""
+        siblings = [k for k in range(1, len(self.tag)) if self.parent[k] == self.parent[best] and k != best]
+        keep = {k for k in siblings if score[k] > 0 and score[k] >= SIBLING * score[best]}
+        if self.tag[best] in ("article", "main"):
+            return keep
+        top = list(range(len(self.tag)))  # the sibling that an element lies in
+        for k in range(1, len(self.tag)):
+            if self.parent[k] != self.parent[best]:
+                top[k] = top[self.parent[k]]
+        length, links, most, ends, prose = ([0] * len(self.tag) for _ in range(5))
+        for element, text in self.items:
+            if text is not None and not dropped[element] and (said := text.strip()):
+                k = top[element]
+                length[k] += len(said)
+                links[k] += len(said) * linked[element]
+                prose[k] += self.tag[block[element]] not in HEADINGS
+                ends[k] = said[-1] in SENTENCE
+        for b, n in enumerate(own):
+            most[top[b]] = max(most[top[b]], n)
+        follows = False
+        for k in sorted([best, *siblings], reverse=True):
+            if k == best or k in keep:
+                follows = True
+            elif length[k]:
+                if self.tag[k] in INLINE:
+                    most[k] = 1 + min(length[k] / 100, 3)
+                text_like = links[k] <= LINKED * length[k] and (most[k] >= LEAST_POINTS or links[k] == 0 and ends[k])
+                if prose[k] and text_like:
+                    keep.add(k)
+                    follows = True
+                elif not prose[k] and follows and links[k] < length[k]:
+                    keep.add(k)
+        return keep
+
     def main_text(self) -> str:
         dropped = self.boilerplate(self.wrappers())[0]
         linked, block = self._blocks()
@@ -242,10 +283,10 @@ class Page:
                 if self.tag[up] == "article":
                     break
             up = self.parent[up]
+        beside = self._beside(best, score, block, linked, dropped, own)
         keep = [False] * len(self.tag)
         for k in range(len(self.tag)):
-            sibling = self.parent[k] == self.parent[best] and k > 0
-            keep[k] = k == best or (k > 0 and keep[self.parent[k]]) or (sibling and score[k] > 0 and score[k] >= SIBLING * score[best])
+            keep[k] = k == best or (k > 0 and keep[self.parent[k]]) or k in beside
         out, held, of = [], [], -1
         for element, text in self.items:
             if text is None or block[element] != of:
