@@ -1,7 +1,8 @@
 """Quality rules: base counts, and the Jensen-Shannon distance of a document's histograms to references of the languages.
 
 References come from all documents: per language, the shares of character classes and of common words. A document that is
-long enough and far from every reference is rejected.
+long enough and far from every reference is rejected. One of a language without a reference is compared by the shares of letters, digits, spaces and
+marks only, which say nothing of its words or script.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.llm import tokens
+from sparquill.llm.common import stored
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -25,6 +27,8 @@ SHARE = 0.004
 GUARD_WORDS = 50
 #: A language needs this many words for a reference.
 REFERENCE_WORDS = 5_000
+#: The kind of each class where the language has no reference: letters of any script, digits, space, line ends, punctuation, symbols, other ASCII.
+KIND = np.array([0, 0, 1, 2, 3, 4, 5, 6, 0, 0, 0])
 #: A document is rejected if it is farther than this from every reference.
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.32, 0.5
 
@@ -83,50 +87,46 @@ def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return tokens.hashes(folded, s, e).view(np.int64), row
 
 
-def _counted(batches: Iterator[pa.RecordBatch], wanted: dict | None) -> Iterator[pa.RecordBatch]:
-    """Counts (lang, kind, key, n) of a block: without ``wanted``, of the words (kind 0) that are common in it; with ``wanted``, of those
-    words, of all words (kind 1) and of the character classes (kind 2)."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts (lang, kind, key, n) of a block: of its words (kind 0), of all words (kind 1) and of the character classes (kind 2)."""
     for batch, data, offsets in _blocks(batches):
         h, row = _word_hashes(data, offsets)
-        classes = char_histogram(data, offsets) if wanted is not None else None
-        out, langs = [], np.array(batch.column("lang").to_pylist(), object)
+        classes = char_histogram(data, offsets)
+        langs = np.array(batch.column("lang").to_pylist(), object)
         for lang in set(langs):
             mine = langs == lang
             key, n = np.unique(h[mine[row]], return_counts=True)
-            total = int(n.sum())
-            if wanted is None:
-                often = n >= SHARE * total
-                out += [(lang, 0, int(k), int(c)) for k, c in zip(key[often], n[often], strict=True)]
-            else:
-                known = np.isin(key, wanted.get(lang, np.zeros(0, np.int64)))
-                out += [(lang, 0, int(k), int(c)) for k, c in zip(key[known], n[known], strict=True)]
-                out += [(lang, 1, 0, total), *((lang, 2, k, int(c)) for k, c in enumerate(classes[mine].sum(axis=0)))]
-        columns = zip(*out, strict=True) if out else [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["lang", "kind", "key", "n"])
-
-
-def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """The hashes of the common words and, per language, the shares of the classes and of those words (the last share: all other words).
-
-    Exact over all documents in two passes: a word with a share of at least SHARE has it in some block too, so the first pass
-    finds all candidates and the second counts them. A language has few candidates, so what reaches the driver grows with the number
-    of languages only. A null language is one of its own; a language with fewer than REFERENCE_WORDS words gives no reference.
+            kind = np.repeat(np.array([0, 1, 2], np.int32), (len(key), 1, CLASSES))
+            keys = np.concatenate([key, [0], np.arange(CLASSES)])
+            counts = np.concatenate([n, [n.sum()], classes[mine].sum(axis=0)]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(kind), pa.string()), pa.array(kind), pa.array(keys, pa.int64()), pa.array(counts)], names=["lang", "kind", "key", "n"])
+
+
+Reference = tuple[str | None, np.ndarray, np.ndarray]
+
+
+def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[np.ndarray, list[Reference]]:
+    """The hashes of the common words and, per language, its name, the shares of the classes and of those words (the last share: all other words).
+
+    Exact over all documents in one pass: words are summed by language in Spark and only those with a share of at least SHARE there reach the
+    driver, of languages that have a reference. A null language is one of its own; a language with fewer than REFERENCE_WORDS words gives no reference.
     """
-    pairs, shape = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")), "lang string, kind int, key long, n long"
-    wanted: dict = {}
-    for lang, key in pairs.mapInArrow(lambda b: _counted(b, None), shape).groupBy("lang", "key").agg(F.sum("n")).select("lang", "key").collect():
-        wanted.setdefault(lang, []).append(key)
-    wanted = {lang: np.array(keys, np.int64) for lang, keys in wanted.items()}
+    pairs = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    summed = pairs.mapInArrow(_counted, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    summed = stored(summed, "quality-counts")
+    totals = summed.where("kind = 1").where(F.col("n") >= REFERENCE_WORDS).select(F.col("lang").alias("of"), F.col("n").alias("total"))
+    counted = summed.join(totals, F.col("lang").eqNullSafe(F.col("of")))
+    often = counted.where("kind = 0").where(F.col("n") >= SHARE * F.col("total")).select("key").distinct()
+    wanted = counted.where("kind <> 0").unionByName(counted.where("kind = 0").join(F.broadcast(often), "key", "left_semi").select(*counted.columns))
     counts: dict = {}
-    for lang, kind, key, n in pairs.mapInArrow(lambda b: _counted(b, wanted), shape).groupBy("lang", "kind", "key").agg(F.sum("n")).collect():
+    for lang, kind, key, n in wanted.select("lang", "kind", "key", "n").collect():
         counts.setdefault(lang, ({}, {}, {}))[kind][key] = n
-    counts = {lang: c for lang, c in counts.items() if c[1].get(0, 0) >= REFERENCE_WORDS}
     common = np.array(sorted({k for c in counts.values() for k, n in c[0].items() if n >= SHARE * c[1][0]}), np.int64)
     out = []
-    for words, total, classes in counts.values():
+    for lang, (words, total, classes) in counts.items():
         chars = np.array([classes.get(k, 0) for k in range(CLASSES)], float)
         of = np.array([words.get(int(k), 0) for k in common], float)
-        out.append((chars / chars.sum(), np.append(of, total[0] - of.sum()) / total[0]))
+        out.append((lang, chars / chars.sum(), np.append(of, total[0] - of.sum()) / total[0]))
     return common, out
 
 
@@ -140,8 +140,13 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, (from_p + from_r) / 2))
 
 
-def judged(data: np.ndarray, offsets: np.ndarray, common: np.ndarray, refs: list) -> dict[str, np.ndarray]:
-    """Base columns, both distances (to the nearest reference) and the verdict of every text in a block."""
+def by_kind(counts: np.ndarray) -> np.ndarray:
+    """Character classes summed by their kind."""
+    return np.stack([counts[..., KIND == k].sum(axis=-1) for k in range(KIND.max() + 1)], axis=-1)
+
+
+def judged(data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, common: np.ndarray, refs: list[Reference]) -> dict[str, np.ndarray]:
+    """Base columns, both distances (to the nearest reference) and the verdict of every text in a block, given the texts' languages."""
     out = base_counts(data, offsets)
     rows, n = len(offsets) - 1, out["n_words"]
     out["base_failed"] = (n < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEATED * n)
@@ -153,9 +158,12 @@ def judged(data: np.ndarray, offsets: np.ndarray, common: np.ndarray, refs: list
         at = np.where(common[at] == h, at, len(common)) if len(common) else np.zeros(len(h), np.int64)
         words = np.bincount(row * (len(common) + 1) + at, minlength=rows * (len(common) + 1)).reshape(rows, -1)
         classes = char_histogram(data, offsets)
-        out["char_distance"] = np.min([distance(classes, c) for c, _ in refs], axis=0)
-        out["word_distance"] = np.min([distance(words, w) for _, w in refs], axis=0)
-        far = (n >= GUARD_WORDS) & ((out["char_distance"] > MAX_CHAR_DISTANCE) | (out["word_distance"] > MAX_WORD_DISTANCE))
+        out["char_distance"] = np.min([distance(classes, c) for _, c, _ in refs], axis=0)
+        out["word_distance"] = np.min([distance(words, w) for _, _, w in refs], axis=0)
+        known = np.isin(langs, [lang for lang, *_ in refs if lang is not None]) | (np.equal(langs, None) & any(lang is None for lang, *_ in refs))
+        kinds = by_kind(classes)
+        other = np.min([distance(kinds, by_kind(c)) for _, c, _ in refs], axis=0) > MAX_CHAR_DISTANCE
+        far = (n >= GUARD_WORDS) & np.where(known, (out["char_distance"] > MAX_CHAR_DISTANCE) | (out["word_distance"] > MAX_WORD_DISTANCE), other)
     out["kept"] = ~out["base_failed"] & ~far
     return out
 
@@ -167,17 +175,18 @@ def judge(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_
     """doc_id and the columns of ``COLUMNS``, one row per input row.
 
     Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. Documents of fewer than GUARD_WORDS words are not
-    judged by distance, nor is any where no language has a reference (small or empty tables).
+    judged by distance, nor is any where no language has a reference (small or empty tables). Where only its own language has none, the two
+    distances are still given, but the verdict rests on the kinds of its characters.
     """
     common, refs = references(docs, lang_col, text_col)
     names = [c.split()[0] for c in COLUMNS.split(", ")]
 
     def judged_batches(batches):
         for batch, data, offsets in _blocks(batches):
-            got = judged(data, offsets, common, refs)
+            got = judged(data, offsets, np.array(batch.column("lang").to_pylist(), object), common, refs)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(got[c]) for c in names)], names=["doc_id", *names])
 
-    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     return pairs.mapInArrow(judged_batches, f"doc_id {pairs.schema['doc_id'].dataType.simpleString()}, {COLUMNS}")
 
 
@@ -185,8 +194,8 @@ def keep_good(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     """The rows that the rules keep, all columns unchanged."""
     common, refs = references(docs, lang_col, text_col)
 
-    def verdicts(column: pd.Series) -> pd.Series:
-        texts = pa.array(column, pa.large_string())
-        return pd.Series(np.concatenate([judged(d, o, common, refs)["kept"] for _, d, o in tokens.blocks(texts)] or [np.zeros(0, bool)]))
+    def verdicts(column: pd.Series, languages: pd.Series) -> pd.Series:
+        texts, langs = pa.array(column, pa.large_string()), languages.astype(object).where(languages.notna(), None).to_numpy()
+        return pd.Series(np.concatenate([judged(d, o, langs[lo : lo + len(o) - 1], common, refs)["kept"] for lo, d, o in tokens.blocks(texts)] or [np.zeros(0, bool)]))
 
-    return docs.where(F.pandas_udf(verdicts, "boolean")(F.col(text_col)))
+    return docs.where(F.pandas_udf(verdicts, "boolean")(F.col(text_col), F.col(lang_col).cast("string")))
