@@ -32,7 +32,7 @@ REFUSED = (
 ).split()
 TAKEN = (
     "library museum archive news daily journal blog garden kitchen recipes travel weather school university research science history music theatre city council "
-    "clinic sports forum wiki docs guide manual books reading river mountain bridge stone village family church market thought tion ering and hand enter"
+    "clinic sports forum wiki docs guide manual books reading river mountain bridge stone village family church market"
 ).split()
 SHAPES = ("http://{a}-{b}.example/en/{n}", "https://www.{b}-{a}.example/de/{n}/", "http://m.{a}.example/fr/{n}?page=2", "https://blog.{a}{b}.example/es/{n}.html")
 
