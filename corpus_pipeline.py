@@ -29,8 +29,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the ids of their texts."""
-    return pieces.encode(docs)
+    """The documents with the ids of their texts, and whether the ids decode to the text exactly."""
+    done = pieces.decode(pieces.encode(docs), out="_decoded")
+    return done.withColumn("exact", F.col("_decoded") == F.coalesce("text", F.lit(""))).drop("_decoded")
 
 
 STAGES = [

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.llm import tokens
-from sparquill.llm.common import discard, partitions, stored
+from sparquill.llm.common import WORD, discard, partitions, stored
 from sparquill.llm.graph import components
 
 SHINGLE = 5
@@ -400,10 +400,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of linked documents, that of the smallest id; rows without words stay. Columns are unchanged."""
+    """One row of each group of linked documents, that of the smallest id; rows without words stay, all of them. Columns are unchanged."""
     rows, sets = classes(docs, id_col, text_col)
     best = F.min(F.struct(F.col("rep_doc").isNull().alias("none"), F.col("rep_doc").alias("doc"), F.col("rep_sig").alias("sig")))
-    chosen = sets.groupBy("cls").agg(best.alias("best")).select("best.doc", "best.sig").unionByName(rows.where("n = 0").select("doc", "sig").distinct())
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("l_doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("l_sig"))
+    chosen = sets.groupBy("cls").agg(best.alias("best")).select("best.doc", "best.sig")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    packed = docs.where(text.rlike(WORD)).select(F.struct("*").alias("row"), F.col(id_col).alias("l_doc"), F.xxhash64(text).alias("l_sig"))
     one = packed.join(chosen, F.col("l_doc").eqNullSafe(F.col("doc")) & (F.col("l_sig") == F.col("sig")), "left_semi").groupBy("l_doc", "l_sig").agg(F.any_value("row").alias("row"))
-    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns]).unionByName(docs.where(~text.rlike(WORD)))

@@ -346,6 +346,16 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     return both.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "ids"], "ids")
 
 
+def _id_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of at most a quarter of SLICE ids, or one row."""
+    ends = np.cumsum(np.asarray(batch.column("ids").value_lengths().fill_null(0), np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE // 4, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _decoded(batches: Iterator[pa.RecordBatch], proto: bytes) -> Iterator[pa.RecordBatch]:
     """Adds ``decoded`` to batches with a column ``ids``."""
     v = vocabulary(proto)
@@ -364,7 +374,7 @@ def decode(df: DataFrame, model: str = MODEL, ids_col: str = "ids", out: str = "
     shared = df.sparkSession.sparkContext.broadcast(_read(model))
     rows = df.select(F.struct("*").alias("row"), F.col(ids_col).cast("array<int>").alias("ids"))
     shape = f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>, decoded string"
-    done = rows.mapInArrow(lambda b: _decoded(b, shared.value), shape)
+    done = rows.mapInArrow(lambda b: _decoded((part for whole in b for part in _id_slices(whole)), shared.value), shape)
     return done.select(*[F.col("row")[c].alias(c) for c in df.columns if c != out], F.col("decoded").alias(out))
 
 
