@@ -216,7 +216,7 @@ _ROWS = "SELECT query_id, rank, vec_id, round(d, 5) + 0.0::DOUBLE AS distance FR
 
 SQL = {
     "knn_ivf_given": _BASE + _CELLS + _NEAR.format(src="gc") + _ROWS,
-    "knn_saved_gallery": _BASE + _CELLS + _NEAR.format(src="gc") + _ROWS + " WHERE query_id % 50 = 0",
+    "knn_saved_gallery": _BASE + _CELLS + _NEAR.format(src="gc") + _ROWS,
     "knn_ivfsq_given": _BASE + _CELLS + _STEPS + _NEAR.format(src="sq") + _ROWS,
     "knn_recall_given": _BASE + _CELLS + _NEAR.format(src="gc") + _ranked("euclidean", K, "r", False) + """
       SELECT r.query_id, round(count(a.vec_id) / count(*), 6) AS recall FROM r LEFT JOIN a USING (query_id, vec_id) GROUP BY 1""",
