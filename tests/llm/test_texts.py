@@ -226,8 +226,8 @@ def test_labelled_clean_documents_stay(spark, sf):
     """Held-out labels: documents of good quality are not rejected by distance, most bad ones of some length are."""
     sf = "/root/testdata/sf0.01"
     judged = quality.judge(spark.read.parquet(f"{sf}/documents.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed")
-    good, lost = judged.where("quality = 1").agg(F.count(F.lit(1)), F.count_if("not kept")).first()
-    bad, caught = judged.where("quality = 0 and n_words >= 50").agg(F.count(F.lit(1)), F.count_if("not kept")).first()
+    good, lost = judged.where("quality = 1").agg(F.count(F.lit(1)), F.count_if(~F.col("kept"))).first()
+    bad, caught = judged.where("quality = 0 and n_words >= 50").agg(F.count(F.lit(1)), F.count_if(~F.col("kept"))).first()
     assert good > 200 and lost == 0 and caught >= 0.4 * bad
 
 
