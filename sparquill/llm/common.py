@@ -49,3 +49,22 @@ def discard(df: DataFrame) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: A key is hot if it holds at least one row in so many; there are at most as many hot keys.
+HOT = 1000
+
+
+def attach(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int, salt: Column) -> DataFrame:
+    """Left join of ``rows`` with a ``table`` of one row per key, whose column ``n`` says how many of the ``total`` rows have the key.
+
+    The at most HOT entries of hot keys are broadcast. Rows that found theirs are dealt by ``salt`` (any reproducible long) and the others by their
+    key, so no task holds the rows of a hot key. Keys are not null. ``n`` is not returned.
+    """
+    values = [c for c in table.columns if c not in keys and c != n]
+    hot = table.where(F.col(n) * HOT >= total).select(*keys, F.struct(*values).alias("_hot"))
+    cold = table.where(F.col(n) * HOT < total).select(*keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_cold"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    marked = marked.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(salt, F.lit(1 << 30)).cast("int") + 1))
+    found = marked.join(cold, [*keys, "_salt"], "left").withColumn("_found", F.coalesce("_hot", "_cold"))
+    return found.select(*rows.columns, *[F.col("_found")[c].alias(c) for c in values])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import html_main, jaccard, line_dedup, mixing, near_vectors, pieces, pii, quality, shards, urls
+from sparquill.llm import html_main, jaccard, line_dedup, mixing, near_vectors, pieces, pii, prefix_trie, quality, shards, urls
 from sparquill.session import use_utc
 
 
@@ -55,10 +55,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_pii, op3_mixing, op4_html_main, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding, op9_embedding_dups, op10_sentencepiece,
+        op11_prefix_trie,
     )
 }
 
@@ -121,6 +126,28 @@ least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
 degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, coalesce(d.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
 FROM embeddings e JOIN least l ON e.vec_id = l.x LEFT JOIN degree d ON e.vec_id = d.x
+""",
+    # The fold is CRC-32 bit by bit: a code is mixed in, each -1 shifts once.
+    "op11_prefix_trie": """
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY k) AS ts FROM turns GROUP BY 1),
+heads AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT) % 4 AS h FROM own),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(b.ts, [])[1:c.h], c.ts[c.h + 1:]) AS ts FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+members AS (SELECT conv_id, len(ts) AS n, d, ts[1:d] AS node, ts[1:d - 1] AS above FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT d, node, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256 FROM members GROUP BY d, node),
+children AS (SELECT d - 1 AS d, above AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n_convs - 1) * len(regexp_extract_all(node[d].text, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN children c USING (d, node)),
+below AS (SELECT t AS d, node[1:t] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS t FROM full_nodes) GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below b USING (d, node) LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.node = n.above
 """,
     # On the given tables no label is trusted, so all spans are base spans; tests/llm plant labels that are.
     "op2_pii": """
