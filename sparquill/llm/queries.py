@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import html_main, jaccard, line_dedup, mixing, near_vectors, pieces, pii, prefix_trie, quality, shards, urls
+from sparquill.llm import html_main, jaccard, line_dedup, mixing, near_vectors, pieces, pii, prefix_trie, quality, shards, token_counts, urls, whitening
 from sparquill.session import use_utc
 
 
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -59,11 +62,19 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_pii, op3_mixing, op4_html_main, op5_ngram_jaccard, op6_quality, op7_url_filter, op8_sharding, op9_embedding_dups, op10_sentencepiece,
-        op11_prefix_trie,
+        op11_prefix_trie, op12_whitening, op13_token_counts,
     )
 }
 
