@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,8 +193,11 @@ def keep_good(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     """The rows that the rules keep, all columns unchanged."""
     common, refs = references(docs, lang_col, text_col)
 
-    def verdicts(column: pd.Series, languages: pd.Series) -> pd.Series:
-        texts, langs = pa.array(column, pa.large_string()), languages.astype(object).where(languages.notna(), None).to_numpy()
-        return pd.Series(np.concatenate([judged(d, o, langs[lo : lo + len(o) - 1], common, refs)["kept"] for lo, d, o in tokens.blocks(texts)] or [np.zeros(0, bool)]))
+    def kept(batches):
+        for whole in batches:
+            for lo, data, offsets in tokens.blocks(whole.column(text_col)):
+                rows = whole.slice(lo, len(offsets) - 1)
+                langs = np.array(rows.column(lang_col).cast(pa.string()).to_pylist(), object)
+                yield rows.filter(pa.array(judged(data, offsets, langs, common, refs)["kept"]))
 
-    return docs.where(F.pandas_udf(verdicts, "boolean")(F.col(text_col), F.col(lang_col).cast("string")))
+    return docs.mapInArrow(kept, docs.schema)
