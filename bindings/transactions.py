@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bindings.common import rounded, table
-from sparquill.operators import clean, features, model, profile, split, stats
+from sparquill.operators import clean, features, model, profile, split, stats, trees
 from sparquill.session import work_path
 from sparquill.sources import stores, writers
 
@@ -346,6 +346,17 @@ def _train(kind, **params):
     return run
 
 
+#: Features, label and settings of the trees that SQL grows too; small nodes are small enough for all ways of growing to take part.
+TREE = dict(features=["l_quantity", "l_extendedprice", "l_discount", "l_tax"], trees=3, seed=7, max_depth=3)
+
+
+def extra_tree_nodes(spark, sf):
+    """Every node of a few shallow extra trees: they must be the same on any partitioning."""
+    lines = table(spark, sf, "lineitem").select(*TREE["features"], (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    forest = trees.fit(lines, label="y", local_rows=3_000, **TREE)
+    return forest.nodes().select("tree", "path", "feature", F.round("value", 9).alias("value"), "n", "pos")
+
+
 def checks(package):
     """What every decision must satisfy, whatever the model has learned."""
     p = F.col("probability")
@@ -386,7 +397,7 @@ QUERIES = {
         interval_by_label, interval_ks, profile_table, profile_completeness, profile_columns, profile_outliers, time_split,
         time_split_range, time_split_transactions, time_folds_transactions, stratified_split, time_folds, split_profile, sink_roundtrip, sink_split, time_features,
         standard_scale, target_encode, target_encode_test, feature_vector, pr_curve, best_threshold, metric_alert, preview,
-        score_batch, model_registry,
+        score_batch, model_registry, extra_tree_nodes,
     )
 }
 QUERIES["rate_by_weekday"] = _rate(F.weekday, "weekday")
@@ -497,10 +508,56 @@ ce_{c} AS (SELECT k, f, {_ENC} AS e FROM co_{c})
 """
 
 
+_WRAP = "18446744073709551616::UHUGEINT"
+
+
+def _mix(x: str) -> str:
+    """The hash of the trees, modulo 2^64."""
+    a = f"list_transform([{x}], lambda v: ((xor(v, v >> 30)::UHUGEINT * {trees.MIX_1}::UHUGEINT) % {_WRAP})::UBIGINT)"
+    b = f"list_transform({a}, lambda v: ((xor(v, v >> 27)::UHUGEINT * {trees.MIX_2}::UHUGEINT) % {_WRAP})::UBIGINT)"
+    return f"list_transform({b}, lambda v: xor(v, v >> 31))[1]"
+
+
+def _plus(x: str, y: str) -> str:
+    return f"(({x}::UHUGEINT + ({y})::UHUGEINT) % {_WRAP})::UBIGINT"
+
+
+def _tree_sql(features: list[str], trees: int, seed: int, max_depth: int, k: int = 2) -> str:
+    """Level by level: ranges, candidates, counts on the left, the purest split, rows moved to its sides."""
+    gold = "11400714819323198485::UHUGEINT"
+    root = _mix(_plus(f"({seed}::UHUGEINT * {gold}) % {_WRAP}", "tree"))
+    ctes = [f"""r0 AS (SELECT tree, '' AS path, {root} AS state, [{', '.join(f'{c}::DOUBLE' for c in features)}] AS x, (l_returnflag = 'R')::INT AS y
+      FROM lineitem, (SELECT unnest(range({trees})) AS tree))"""]
+    for i in range(max_depth + 1):
+        spread = ", ".join(f"min(x[{f}]) AS lo{f}, max(x[{f}]) AS hi{f}" for f in range(1, len(features) + 1))
+        ctes.append(f"n{i} AS (SELECT tree, path, state, count(*) AS n, sum(y)::BIGINT AS pos, {spread} FROM r{i} GROUP BY ALL)")
+        if i == max_depth:
+            break
+        each = " UNION ALL ".join(
+            f"SELECT tree, path, n, pos, {f - 1} AS f, lo{f} AS lo, hi{f} AS hi, {_mix(_plus('state', f'{2 * f - 1}::UHUGEINT * {gold}'))} AS o, "
+            f"({_mix(_plus('state', f'{2 * f}::UHUGEINT * {gold}'))} >> 11)::DOUBLE / 9007199254740992 AS u FROM n{i}" for f in range(1, len(features) + 1)
+        )
+        ctes += [
+            f"d{i} AS ({each})",
+            f"c{i} AS (SELECT *, CASE WHEN lo + u * (hi - lo) >= hi THEN lo ELSE lo + u * (hi - lo) END AS t FROM d{i} WHERE hi > lo AND pos BETWEEN 1 AND n - 1 "
+            f"QUALIFY row_number() OVER (PARTITION BY tree, path ORDER BY o) <= {k})",
+            f"""l{i} AS (SELECT c.tree, c.path, c.n::DOUBLE AS n, c.pos::DOUBLE AS pos, f, t, o, count(*) FILTER (x[f + 1] <= t)::DOUBLE AS nl, (sum(y) FILTER (x[f + 1] <= t))::DOUBLE AS pl
+              FROM c{i} c JOIN r{i} r USING (tree, path) GROUP BY ALL)""",
+            f"""s{i} AS (SELECT tree, path, f, t FROM l{i} QUALIFY row_number() OVER (PARTITION BY tree, path ORDER BY
+              (pl * pl + (nl - pl) * (nl - pl)) / nl + ((pos - pl) * (pos - pl) + ((n - nl) - (pos - pl)) * ((n - nl) - (pos - pl))) / (n - nl) DESC, o) = 1)""",
+            f"""m{i} AS (SELECT r.tree, r.path, r.state, x, y, x[f + 1] <= t AS goes FROM r{i} r JOIN s{i} USING (tree, path))""",
+            f"""r{i + 1} AS (SELECT tree, path || CASE WHEN goes THEN 'L' ELSE 'R' END AS path, {_mix(_plus('state', 'CASE WHEN goes THEN 1 ELSE 2 END'))} AS state, x, y FROM m{i})""",
+        ]
+    out = [f"SELECT tree, path, coalesce(f, -1)::INT AS feature, round(CASE WHEN f IS NULL THEN pos / n ELSE t END, 9) AS value, n, pos FROM n{i} LEFT JOIN s{i} USING (tree, path)" for i in range(max_depth)]
+    out.append(f"SELECT tree, path, -1, round(pos / n, 9), n, pos FROM n{max_depth}")
+    return "WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(out)
+
+
 _LATE = "FROM events WHERE ts >= TIMESTAMP '2024-01-25'"
 
 SQL = {
     **{f"train_{k}": f"SELECT count(*) AS n, true AS precise, true AS complete, true AS consistent, true AS in_range, '{k}' AS kind {_LATE}" for k in model.KINDS},
+    "extra_tree_nodes": _tree_sql(**TREE),
     "score_batch": f"SELECT user_id::VARCHAR AS cc_num, 'bagging' AS model, true AS consistent, true AS in_range {_LATE}",
     "model_registry": f"SELECT 'bagging_2' AS model, count(*) AS n, 0::BIGINT AS changed {_LATE}",
     "join_sources": _T + """SELECT trans_num, cc_num, trans_date_trans_time, unix_time, merchant, category, round(amt, 6) AS amt,

@@ -2,7 +2,10 @@
 
 Probes are packed into blocks and gallery rows into tiles, both of bounded size, inside tasks; Spark joins every tile with every
 block. One block is broadcast, its size having been checked; more blocks and the tiles are shuffled. Each task keeps k rows per
-probe, so what it hands on holds at most probes x tasks x k rows, whatever the gallery holds. The driver sees no vector.
+probe, so what it hands on holds at most probes x tasks x k rows, whatever the gallery holds. The driver sees no vector of a search.
+
+Methods with cells join on the cell instead: a probe is sent to the cells it visits and meets only the gallery rows there, and every gallery row is
+shuffled once, however many probes there are.
 """
 
 from __future__ import annotations
@@ -13,20 +16,20 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparquill.functions.vectors import distance
+from sparquill.functions.vectors import distance, normalize
 from sparquill.operators.split import seeded_order
 from sparquill.plans.scale import top_k
+from sparquill.session import stored
 
 METRICS = ("euclidean", "dot_product", "cosine", "minkowski")
-METHODS = ("flat", "ivf", "pq", "ivfpq", "ivfsq", "lsh", "binary", "binary_ivf")
+METHODS = ("flat", "pivot", "ivf", "pq", "ivfpq", "ivfsq", "lsh", "binary", "binary_ivf")
 BLOCK_BYTES = 4 << 20  # size of a block of probes or a tile of the gallery
 CELLS = 2_000_000  # numbers in one distance block inside a task
 SPREAD = 4096  # tasks at most among which the tiles of one block are dealt
+TRAIN_ROWS = 256  # rows per cell, at most about, on which cells are trained
 
 
 # ---- blocks and tiles -----------------------------------------------------------------------
@@ -75,12 +78,12 @@ def _tiles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
             n += 1
 
 
-def probe_blocks(queries: DataFrame, width: int, block_bytes: int | None = None) -> tuple[DataFrame, int]:
+def probe_blocks(queries: DataFrame, width: int, block_bytes: int | None = None, n: int | None = None) -> tuple[DataFrame, int]:
     """(block, probes): the query side in packed blocks of about ``block_bytes``, and how many there are (0 if no row).
 
-    ``width`` is the size of a row in bytes; the rows are counted before they are packed.
+    ``width`` is the size of a row in bytes; the rows are counted before they are packed, unless their number ``n`` is given.
     """
-    n = queries.count()
+    n = queries.count() if n is None else n
     blocks = -(-n * max(1, width) // (block_bytes or BLOCK_BYTES))
     numbered = queries.select(F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks))).cast("int").alias("block"), "*")
     rows = numbered.repartition(max(1, blocks), "block").sortWithinPartitions("block")
@@ -180,12 +183,12 @@ Prepare = Callable[[np.ndarray], object]
 Find = Callable[[object, pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
 
-def probe_width(queries: DataFrame) -> int:
-    """Dimension of the query vectors, which must be one; 0 if there are none."""
-    stats = queries.agg(F.max(F.size("embedding")).alias("d"), F.min(F.size("embedding")).alias("m")).first()
+def probe_stats(queries: DataFrame) -> tuple[int, int]:
+    """Number and dimension of the query vectors, which must have one; 0 if there are none."""
+    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d"), F.min(F.size("embedding")).alias("m")).first()
     if stats.d != stats.m:
         raise ValueError("query vectors differ in dimension")
-    return stats.d or 0
+    return stats.n, stats.d or 0
 
 
 def scan(queries: DataFrame, gallery: DataFrame, prepare: Prepare, find: Find, k: int, columns: list[str]) -> DataFrame:
@@ -194,7 +197,8 @@ def scan(queries: DataFrame, gallery: DataFrame, prepare: Prepare, find: Find, k
     ``prepare`` turns the vectors of a probe block into what ``find`` needs; ``find`` yields (probe index, key, vec_id) arrays per tile.
     """
     probes = queries.select("query_id", "embedding")
-    blocks, n = probe_blocks(probes, 8 * probe_width(probes))
+    n, dim = probe_stats(probes)
+    blocks, n = probe_blocks(probes, 8 * dim, n=n)
     kind = probes.schema["query_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +223,89 @@ def scan(queries: DataFrame, gallery: DataFrame, prepare: Prepare, find: Find, k
     return tile_join(blocks, n, gallery.select("vec_id", *columns), run, f"query_id {kind.simpleString()}, vec_id bigint, key double")
 
 
+CellsOf = Callable[[np.ndarray], list[np.ndarray]]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Consecutive rows with equal keys, as one batch each; the rows come ordered by them."""
+    held: list[pa.RecordBatch] = []
+    of: tuple | None = None
+    for batch in batches:
+        at = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in keys], axis=1)
+        edges = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(at)]
+        for lo, hi in zip(edges, edges[1:]):
+            if hi == lo:
+                continue
+            if of is not None and tuple(at[lo].tolist()) != of:
+                yield of, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            of = tuple(at[lo].tolist())
+            held.append(batch.slice(lo, hi - lo))
+    if of is not None:
+        yield of, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def visits(queries: DataFrame, cells_of: CellsOf, dim: int) -> DataFrame:
+    """(cell, query_id, embedding): every probe once per cell that it visits."""
+    kind = queries.schema["query_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            cells = cells_of(matrix(batch.column("embedding"), dim).astype(np.float64)) if batch.num_rows else []
+            each = pa.array(np.repeat(np.arange(len(cells)), [len(c) for c in cells]).astype(np.int64))
+            flat = np.concatenate(cells).astype(np.int32) if len(cells) else np.empty(0, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), batch.column("query_id").take(each), batch.column("embedding").take(each)], names=["cell", "query_id", "embedding"])
+
+    return queries.select("query_id", "embedding").mapInArrow(run, f"cell int, query_id {kind}, embedding {queries.schema['embedding'].dataType.simpleString()}")
+
+
+def scan_cells(queries: DataFrame, gallery: DataFrame, cells_of: CellsOf, prepare: Prepare, find: Find, k: int, columns: list[str]) -> DataFrame:
+    """Partial top-k per probe and part of a cell: (query_id, vec_id, key). The gallery has a ``cell``.
+
+    Rows and probes are counted per cell. A cell of many rows is cut into parts, and each gets the cell's probes, packed in blocks. Parts and blocks meet in
+    one shuffle ordered by part: a task holds one part of a cell and one block at a time.
+    """
+    spark = gallery.sparkSession
+    n, dim = probe_stats(queries)
+    shape = f"query_id {queries.schema['query_id'].dataType.simpleString()}, vec_id bigint, key double"
+    visiting = visits(queries, cells_of, dim)
+    probes = {r["cell"]: r["count"] for r in visiting.groupBy("cell").count().collect()} if n else {}  # one row per cell
+    wanted = gallery.filter(F.col("cell").isin(sorted(probes)))
+    rows = {r["cell"]: r["count"] for r in wanted.groupBy("cell").count().collect()}
+    width = 8 * max(1, dim)
+    table = [(c, -(-rows[c] * width // BLOCK_BYTES), -(-probes[c] * width // BLOCK_BYTES)) for c in sorted(rows)]
+    ways = F.broadcast(spark.createDataFrame(table, "cell int, parts bigint, blocks bigint"))  # one row per cell
+    block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def pack(batches):
+        for (cell, number), batch in _grouped(batches, ["cell", "block"]):
+            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([number], pa.int32()), pa.array([packed(batch.select(["query_id", "embedding"]))], pa.binary())], names=["cell", "block", "probes"])
+
+    blocks = visiting.join(ways, "cell").select("cell", block, "query_id", "embedding").repartition(tasks, "cell", "block").sortWithinPartitions("cell", "block")
+    blocks = blocks.mapInArrow(pack, "cell int, block int, probes binary").join(ways, "cell")
+    blocks = blocks.select("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.col("block"), "probes")
+    parts = wanted.join(ways, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part"), F.lit(-1).alias("block"), "vec_id", *columns)
+    both = parts.unionByName(blocks, allowMissingColumns=True).repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "block")
+
+    def run(batches):
+        tile, of = None, None
+        for (cell, part, number), batch in _grouped(batches, ["cell", "part", "block"]):
+            if number < 0:
+                tile, of = batch, (cell, part)
+                continue
+            if of != (cell, part):
+                continue  # probes of a part that the hash left empty
+            got, best = unpacked(batch.column("probes")[0].as_py()), Best(k)
+            q = got.column("embedding").flatten().to_numpy(zero_copy_only=False)
+            state = prepare(q.astype(np.float64).reshape(got.num_rows, -1))
+            for probe, key, found in find(state, tile):
+                best.add(probe, key, found)
+            yield pa.RecordBatch.from_arrays([got.column("query_id").take(pa.array(best.probe)), pa.array(best.id), pa.array(best.key)], ["query_id", "vec_id", "key"])
+
+    return both.mapInArrow(run, shape)
+
+
 def _slices(n: int, q: int) -> Iterator[slice]:
     step = max(1, CELLS // max(q, 1))
     for at in range(0, n, step):
@@ -235,29 +322,52 @@ def _merge(found: DataFrame, k: int, sign: float = 1.0) -> DataFrame:
 
 
 def _flat(queries, gallery, k, metric, p):
-    def find(q, batch):
-        ids = batch.column("vec_id").to_numpy()
-        g = matrix(batch.column("embedding"), q.shape[1])
-        for part in _slices(len(ids), len(q)):
-            block = g[part].astype(np.float64)
-            probe, col = nearest_in_block(block_keys(q, block, metric, p), k)
-            yield probe, exact_keys(q[probe], block[col], metric, p), ids[part][col]
-
-    return scan(queries, gallery, lambda vectors: vectors, find, k, ["embedding"])
+    return scan(queries, gallery, lambda vectors: vectors, _find_vectors(k, metric, p), k, ["embedding"])
 
 
 # ---- cells ------------------------------------------------------------------------------------
 
 
-def build_cells(gallery: DataFrame, nlist: int = 100, seed: int = 42, max_iter: int = 20, train_share: float = 1.0):
-    """Clusters the gallery: (gallery with its ``cell``, centroid matrix of nlist rows).
-
-    ``train_share`` below 1 fits the centroids on a sample; every row still gets a cell.
+def _centres(x: np.ndarray, nlist: int, seed: int, max_iter: int) -> np.ndarray:
+    """k-means on the training rows: spread-out starts, then means until nothing moves."""
+    draw = np.random.default_rng(seed)
+    x = np.unique(x, axis=0)
+    centres = x[draw.integers(len(x))][None]
+    near = ((x - centres) ** 2).sum(axis=1)
+    while len(centres) < min(nlist, len(x)):
+        new = x[draw.choice(len(x), p=near / near.sum())][None]
+        centres, near = np.concatenate((centres, new)), np.minimum(near, ((x - new) ** 2).sum(axis=1))
+    for _ in range(max_iter):
+        cell = block_keys(x, centres, "euclidean", 2.0).argmin(axis=1)
+        size = np.bincount(cell, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, x)
+        moved = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
+        if np.allclose(moved, centres):
+            break
+        centres = moved
+    return centres
+
+
+def training_rows(gallery: DataFrame, rows: int, seed: int) -> np.ndarray:
+    """About ``rows`` vectors chosen by hash of their id, all if there are fewer: a bounded sample for the driver, in a fixed order."""
+    n = gallery.count()
+    chosen = gallery.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    if n > rows:
+        chosen = chosen.filter(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * rows / n)))
+    return np.array([r["v"] for r in sorted(chosen.collect(), key=lambda r: (r["vec_id"], r["v"]))], float)
+
+
+def build_cells(gallery: DataFrame, nlist: int = 100, seed: int = 42, max_iter: int = 20, train_rows: int | None = None):
+    """Clusters the gallery: (stored gallery with its ``cell``, centroid matrix of at most nlist rows).
+
+    The centroids are fitted on about ``train_rows`` vectors (TRAIN_ROWS per cell unless given); every row gets a cell.
     """
-    vectors = gallery.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
-    train = vectors if train_share >= 1 else vectors.sample(False, train_share, seed)
-    model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="_v", predictionCol="cell").fit(train.select("_v"))
-    return model.transform(vectors).drop("_v"), np.array(model.clusterCenters())
+    rows = training_rows(gallery, train_rows or TRAIN_ROWS * nlist, seed)
+    if not len(rows):
+        raise ValueError("an empty gallery has no cells")
+    centres = _centres(rows, nlist, seed, max_iter)
+    return stored(assign_cells(gallery, centres), "celled-gallery"), centres
 
 
 def assign_cells(rows: DataFrame, centroids: np.ndarray) -> DataFrame:
@@ -280,44 +390,104 @@ def _probed(q: np.ndarray, centroids: np.ndarray, nprobe: int) -> np.ndarray:
     return np.argsort(keys, axis=1, kind="stable")[:, :nprobe]
 
 
-def _by_cell(cells: np.ndarray, probed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(probe indexes, row indexes) of every cell of the batch that some probe visits."""
-    for cell in np.unique(cells):
-        who = np.nonzero((probed == cell).any(axis=1))[0]
-        if len(who):
-            yield who, np.nonzero(cells == cell)[0]
-
-
-def _visited(queries: DataFrame, gallery: DataFrame, centroids: np.ndarray, nprobe: int) -> DataFrame:
-    """The gallery without the cells that no probe visits: a literal filter of at most nlist cells, which prunes partitions."""
-    def cells(batches):
-        for batch in batches:
-            q = matrix(batch.column("embedding"), centroids.shape[1]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_probed(q, centroids, nprobe)).astype(np.int32))], ["cell"])
+def _find_vectors(k: int, metric: str, p: float, encode=None) -> Find:
+    """The k nearest vectors of a tile, which ``encode`` may have rounded."""
+    def find(q, batch):
+        ids = batch.column("vec_id").to_numpy()
+        g = matrix(batch.column("embedding"), q.shape[1])
+        for part in _slices(len(ids), len(q)):
+            block = g[part].astype(np.float64) if encode is None else encode(g[part].astype(np.float64))
+            probe, col = nearest_in_block(block_keys(q, block, metric, p), k)
+            yield probe, exact_keys(q[probe], block[col], metric, p), ids[part][col]
 
-    wanted = [r["cell"] for r in queries.select("embedding").mapInArrow(cells, "cell int").distinct().collect()]
-    return gallery if len(wanted) == len(centroids) else gallery.filter(F.col("cell").isin(sorted(wanted)))
+    return find
 
 
-def _ivf(queries, gallery, k, metric, p, nlist=100, nprobe=1, seed=42, centroids=None, train_share=1.0, encode=None):
+def _ivf(queries, gallery, k, metric, p, nlist=100, nprobe=1, seed=42, centroids=None, train_rows=None, encode=None):
     """Rows of the probed cells only; a cell column already in the gallery is used (and pruned on)."""
     if centroids is None:
-        gallery, centroids = build_cells(gallery, nlist, seed, train_share=train_share)
+        gallery, centroids = build_cells(gallery, nlist, seed, train_rows=train_rows)
     centroids = np.asarray(centroids)
+    return scan_cells(queries, gallery, lambda q: list(_probed(q, centroids, nprobe)), lambda v: v, _find_vectors(k, metric, p, encode), k, ["embedding"])
 
-    def find(state, batch):
-        q, probed = state
-        ids = batch.column("vec_id").to_numpy()
-        g = matrix(batch.column("embedding"), q.shape[1]).astype(np.float64)
-        g = g if encode is None else encode(g)
-        for who, rows in _by_cell(batch.column("cell").to_numpy(), probed):
-            for part in _slices(len(rows), len(who)):
-                at = rows[part]
-                probe, col = nearest_in_block(block_keys(q[who], g[at], metric, p), k)
-                yield who[probe], exact_keys(q[who[probe]], g[at[col]], metric, p), ids[at[col]]
 
-    rows = _visited(queries, gallery, centroids, nprobe)
-    return scan(queries, rows, lambda v: (v, _probed(v, centroids, nprobe)), find, k, ["embedding", "cell"])
+# ---- exact search with pivots -------------------------------------------------------------------
+
+
+def pivot_stats(celled: DataFrame, pivots: np.ndarray, k: int) -> dict[int, tuple[float, np.ndarray]]:
+    """Per cell: the largest and the k smallest distances of its rows to its pivot. Cells x (k + 1) numbers reach the driver."""
+    share = celled.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches):
+        cells, d = [], []
+        for batch in batches:
+            g = matrix(batch.column("embedding"), share.value.shape[1]).astype(np.float64)
+            at = batch.column("cell").to_numpy()
+            key = exact_keys(g, share.value[at], "euclidean", 2.0)
+            order = np.lexsort((key, at))
+            cell, key = at[order], key[order]
+            nth = np.arange(len(cell)) - np.searchsorted(cell, cell)
+            kept = (nth < k) | np.append(cell[1:] != cell[:-1], len(cell) > 0)
+            cells, d = [*cells, cell[kept]], [*d, key[kept]]
+            if sum(map(len, cells)) > CELLS:
+                cells, d = _shortest(cells, d, k)
+        cells, d = _shortest(cells, d, k) if cells else ([np.empty(0, np.int32)], [np.empty(0)])
+        yield pa.RecordBatch.from_arrays([pa.array(cells[0].astype(np.int32)), pa.array(d[0])], names=["cell", "d"])
+
+    rows = celled.select("cell", "embedding").mapInArrow(run, "cell int, d double")
+    least = top_k(rows, ["cell"], [F.col("d")], k).groupBy("cell").agg(F.sort_array(F.collect_list("d")).alias("near"))
+    most = rows.groupBy("cell").agg(F.max("d").alias("far"))
+    return {r["cell"]: (r["far"], np.array(r["near"])) for r in least.join(most, "cell").collect()}
+
+
+def _shortest(cells: list[np.ndarray], d: list[np.ndarray], k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The k smallest entries of every cell and its largest."""
+    cell, key = np.concatenate(cells), np.concatenate(d)
+    order = np.lexsort((key, cell))
+    cell, key = cell[order], key[order]
+    kept = (np.arange(len(cell)) - np.searchsorted(cell, cell) < k) | np.append(cell[1:] != cell[:-1], True)
+    return [cell[kept]], [key[kept]]
+
+
+def needed_cells(q: np.ndarray, pivots: np.ndarray, cells: np.ndarray, far: np.ndarray, near: np.ndarray) -> list[np.ndarray]:
+    """The cells that may hold one of the k nearest rows of each probe.
+
+    By the triangle inequality a row at distance s from its pivot lies at most |q, pivot| + s from the probe: the k-th smallest of these sums bounds the k-th
+    distance. A cell whose rows are all further is not needed: they lie at least |q, pivot| - far away.
+    ``near`` holds the k smallest distances per cell, infinite where it has fewer rows; there are as many finite ones as neighbours to find.
+    """
+    out = []
+    k = near.shape[1]
+    at = np.sqrt(np.maximum(0, block_keys(q, pivots[cells], "euclidean", 2.0)))
+    for d in at:
+        sums = (d[:, None] + near).ravel()
+        bound = np.partition(sums, k - 1)[k - 1] if len(sums) > k else np.inf
+        out.append(cells[d - far <= bound + 1e-6 * (1.0 + np.abs(d))] if np.isfinite(bound) else cells)
+    return out
+
+
+def _pivot(queries, gallery, k, metric, p, pivots=64, seed=42):
+    """Exact search that skips the cells which the triangle inequality rules out. Cosine is searched as the euclidean distance of unit vectors."""
+    if metric not in ("euclidean", "cosine"):
+        raise ValueError("pivot search needs the euclidean or the cosine metric")
+    if metric == "cosine":
+        unit = lambda df: df.withColumn("embedding", normalize(F.col("embedding")))
+        queries, gallery = unit(queries), unit(gallery)
+    rows = training_rows(gallery, TRAIN_ROWS * pivots, seed)
+    if not len(rows):
+        return _flat(queries, gallery, k, metric, p)
+    centres = _centres(rows, pivots, seed, 5)
+    celled = stored(assign_cells(gallery.select("vec_id", "embedding"), centres), "pivot-gallery")
+    stats = pivot_stats(celled, centres, k)
+    cells = np.array(sorted(stats))
+    far = np.array([stats[c][0] for c in cells])
+    near = np.stack([np.append(stats[c][1], np.full(k - len(stats[c][1]), np.inf)) for c in cells])
+    if metric == "cosine":  # zero vectors are at distance 1 of everything, which is no metric: their cells and probes are always compared
+        whole = np.isin(cells, [int(block_keys(np.zeros((1, centres.shape[1])), centres, "euclidean", 2.0).argmin())])
+        bounds = lambda q: [c if v.any() else cells for v, c in zip(q, needed_cells(q, centres, cells, np.where(whole, np.inf, far), np.where(whole[:, None], np.inf, near)), strict=True)]
+    else:
+        bounds = lambda q: needed_cells(q, centres, cells, far, near)
+    return scan_cells(queries, celled, bounds, lambda v: v, _find_vectors(k, metric, p), k, ["embedding"])
 
 
 # ---- codes ------------------------------------------------------------------------------------
@@ -421,37 +591,31 @@ def pq_encode(gallery: DataFrame, books: np.ndarray) -> DataFrame:
 
 def _pq(queries, gallery, k, m=8, bits=8, seed=42, rounds=6, books=None, centroids=None, nprobe=1, train_share=1.0):
     """Distance of a probe to a code: a sum of m looked-up squared distances."""
-    books = train_codebooks(gallery, m, bits, rounds, seed, train_share) if books is None else books
+    books = train_codebooks(gallery, m, bits, rounds, seed, train_share) if books is None else np.asarray(books)
     coded = gallery if "code" in gallery.columns else pq_encode(gallery, books)
 
     def prepare(vectors):
         q = vectors.reshape(len(vectors), books.shape[0], books.shape[2])
-        tables = np.stack([block_keys(q[:, s], books[s], "euclidean", 2.0) for s in range(books.shape[0])])
-        return tables, None if centroids is None else _probed(vectors, centroids, nprobe)
+        return np.stack([block_keys(q[:, s], books[s], "euclidean", 2.0) for s in range(books.shape[0])])
 
-    def find(state, batch):
-        tables, probed = state
+    def find(tables, batch):
         ids = batch.column("vec_id").to_numpy()
         codes = matrix(batch.column("code"), len(tables))
-        if probed is None:
-            groups = [(np.arange(tables.shape[1]), np.arange(len(ids)))]
-        else:
-            groups = _by_cell(batch.column("cell").to_numpy(), probed)
-        for who, rows in groups:
-            for part in _slices(len(rows), len(who)):
-                at = rows[part]
-                keys = sum(tables[s][np.ix_(who, codes[at, s])] for s in range(len(tables)))
-                keys = np.sqrt(np.maximum(keys, 0.0))
-                probe, col = nearest_in_block(keys, k, 0.0)
-                yield who[probe], keys[probe, col], ids[at[col]]
-
-    rows = coded if centroids is None else _visited(queries, coded, centroids, nprobe)
-    return scan(queries, rows, prepare, find, k, ["code"] + ([] if centroids is None else ["cell"]))
-
-
-def _ivfpq(queries, gallery, k, nlist=100, nprobe=1, seed=42, centroids=None, train_share=1.0, **params):
+        for part in _slices(len(ids), tables.shape[1]):
+            keys = sum(tables[s][:, codes[part, s]] for s in range(len(tables)))
+            keys = np.sqrt(np.maximum(keys, 0.0))
+            probe, col = nearest_in_block(keys, k, 0.0)
+            yield probe, keys[probe, col], ids[part][col]
+
+    if centroids is None:
+        return scan(queries, coded, prepare, find, k, ["code"])
+    centroids = np.asarray(centroids)
+    return scan_cells(queries, coded, lambda q: list(_probed(q, centroids, nprobe)), prepare, find, k, ["code"])
+
+
+def _ivfpq(queries, gallery, k, nlist=100, nprobe=1, seed=42, centroids=None, train_share=1.0, train_rows=None, **params):
     if centroids is None:
-        gallery, centroids = build_cells(gallery, nlist, seed, train_share=train_share)
+        gallery, centroids = build_cells(gallery, nlist, seed, train_rows=train_rows)
     return _pq(queries, gallery, k, seed=seed, centroids=centroids, nprobe=nprobe, train_share=train_share, **params)
 
 
@@ -463,28 +627,22 @@ def hyperplanes(bits: int, dim: int, seed: int = 42) -> np.ndarray:
     return np.array([[sign(b, j) for j in range(dim)] for b in range(bits)])
 
 
-def _hamming_scan(queries, gallery, k, bits_of, heads=None, nprobe=1):
-    """Hamming search over codes that ``bits_of`` derives from vectors, with optional cells."""
-    head_codes = None if heads is None else bits_of(heads)
-
+def _find_codes(k: int, bits_of: Callable[[np.ndarray], np.ndarray]) -> Find:
+    """The k codes of a tile that differ in the fewest bits; ``bits_of`` derives codes from vectors."""
     def find(state, batch):
         dim, q = state
         ids = batch.column("vec_id").to_numpy()
         g = bits_of(matrix(batch.column("embedding"), dim).astype(np.float64))
-        if head_codes is None:
-            groups = [(np.arange(len(q)), np.arange(len(ids)))]
-        else:
-            cells = np.argmin(differing(g, head_codes), axis=1)
-            near = np.argsort(differing(q, head_codes), axis=1, kind="stable")[:, :nprobe]
-            groups = _by_cell(cells, near)
-        for who, rows in groups:
-            for part in _slices(len(rows), len(who)):
-                at = rows[part]
-                keys = differing(q[who], g[at])
-                probe, col = nearest_in_block(keys, k, 0.0)
-                yield who[probe], keys[probe, col], ids[at[col]]
-
-    return scan(queries, gallery, lambda v: (v.shape[1], bits_of(v)), find, k, ["embedding"])
+        for part in _slices(len(ids), len(q)):
+            keys = differing(q, g[part])
+            probe, col = nearest_in_block(keys, k, 0.0)
+            yield probe, keys[probe, col], ids[part][col]
+
+    return find
+
+
+def _hamming_scan(queries, gallery, k, bits_of):
+    return scan(queries, gallery, lambda v: (v.shape[1], bits_of(v)), _find_codes(k, bits_of), k, ["embedding"])
 
 
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -510,7 +668,20 @@ def _binary_ivf(queries, gallery, k, nlist=100, nprobe=1, seed=42):
     """Cells around a seeded choice of gallery codes, at most nlist rows on the driver."""
     heads = gallery.select("embedding", "vec_id", seeded_order(seed, "vec_id").alias("o")).orderBy("o", "vec_id").limit(nlist)
     vectors = np.array([r["embedding"] for r in heads.collect()], float)
-    return _hamming_scan(queries, gallery, k, _positive, vectors, nprobe)
+    if not len(vectors):
+        return _binary(queries, gallery, k)
+    codes = _positive(vectors)
+
+    def cell(batches):
+        for batch in batches:
+            g = _positive(matrix(batch.column("embedding"), vectors.shape[1]).astype(np.float64))
+            near = differing(g, codes).argmin(axis=1) if len(g) else np.empty(0)
+            yield batch.append_column("cell", pa.array(near.astype(np.int32)))
+
+    celled = gallery.select("vec_id", "embedding")
+    celled = stored(celled.mapInArrow(cell, f"vec_id {celled.schema['vec_id'].dataType.simpleString()}, embedding {celled.schema['embedding'].dataType.simpleString()}, cell int"), "binary-cells")
+    near = lambda q: list(np.argsort(differing(_positive(q), codes), axis=1, kind="stable")[:, :nprobe])
+    return scan_cells(queries, celled, near, lambda v: (v.shape[1], _positive(v)), _find_codes(k, _positive), k, ["embedding"])
 
 
 # ---- public operators ---------------------------------------------------------------------------
@@ -523,7 +694,7 @@ def knn(
     """k nearest gallery rows per query row: (query_id, rank, vec_id, distance).
 
     queries: (query_id, embedding); gallery: (vec_id, embedding[, cell, code]). Exact for
-    ``flat``; the other methods trade accuracy for pruning or short codes. ``refine`` > 1
+    ``flat`` and ``pivot``; the other methods trade accuracy for pruning or short codes. ``refine`` > 1
     fetches refine * k rows and ranks them by the exact distance. Ties go to the lower id.
     """
     if method not in METHODS:
@@ -537,8 +708,8 @@ def knn(
     wide = k * max(refine, 1)
     if method == "flat":
         found = _flat(queries, gallery, wide, metric, p)
-    elif method in ("ivf", "ivfsq"):
-        run = _ivf if method == "ivf" else _ivfsq
+    elif method in ("pivot", "ivf", "ivfsq"):
+        run = {"pivot": _pivot, "ivf": _ivf, "ivfsq": _ivfsq}[method]
         found = run(queries, gallery, wide, metric, p, **params)
     else:
         run = {"pq": _pq, "ivfpq": _ivfpq, "lsh": _lsh, "binary": _binary, "binary_ivf": _binary_ivf}[method]

@@ -42,3 +42,10 @@ def cut(df):
     """Reliable checkpoint: the result is stored in the shared folder and the lineage ends there."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df, name: str):
+    """Written to the shared folder and read again: the plan starts anew, and lost executors cost no lineage."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparquill.operators.trees import Forest
+
 HISTORY_SCHEMA = (
     "input struct<trans_date_trans_time:string,cc_num:string,unix_time:string,merchant:string,"
     "category:string,amt:string,merch_lat:string,merch_long:string>, "
@@ -83,9 +85,9 @@ class Registry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def save(self, version: str, model: PipelineModel, scaler: dict, encodings: DataFrame, threshold: float, stats: dict) -> None:
+    def save(self, version: str, model: PipelineModel | Forest, scaler: dict, encodings: DataFrame, threshold: float, stats: dict) -> None:
         base = f"{self.root}/{version}"
-        model.write().overwrite().save(f"{base}/model")
+        (model.write().overwrite() if hasattr(model, "write") else model).save(f"{base}/model")
         encodings.write.mode("overwrite").parquet(f"{base}/encodings")
         meta = [(json.dumps(scaler), None if threshold is None else float(threshold), json.dumps(stats))]
         table = self.spark.createDataFrame(meta, "scaler string, threshold double, stats string")
@@ -107,7 +109,7 @@ class Registry:
         meta = self.spark.read.parquet(f"{base}/meta").first()
         package = {
             "version": version,
-            "model": PipelineModel.load(f"{base}/model"),
+            "model": Forest.load(self.spark, f"{base}/model") if _exists(self.spark, f"{base}/model/forest") else PipelineModel.load(f"{base}/model"),
             "scaler": json.loads(meta["scaler"]),
             "encodings": self.spark.read.parquet(f"{base}/encodings"),
             "threshold": meta["threshold"],
