@@ -90,6 +90,20 @@ def _knn_given(method):
     return run
 
 
+#: Sub-spaces of the given code books, whose 16 words each are parts of the 16 vectors of lowest id.
+PARTS = 8
+
+
+def _knn_codes(method):
+    def run(spark, sf):
+        g, heads = _given(spark, sf)
+        books = heads.reshape(len(heads), PARTS, -1).transpose(1, 0, 2)
+        cells = {} if method == "pq" else dict(nprobe=4, centroids=heads)
+        return rounded(ok.knn(probes(spark, sf), g, K, method=method, books=books, **cells), 5)
+
+    return run
+
+
 def knn_recall_given(spark, sf):
     g, heads = _given(spark, sf)
     q = probes(spark, sf)
@@ -152,6 +166,9 @@ QUERIES = {
     "knn_binary": _knn(method="binary"),
     "knn_binary_ivf": _knn(method="binary_ivf", nlist=16, nprobe=4),
     "knn_recall": knn_recall,
+    "knn_pivot": _knn(method="pivot", pivots=32),
+    "knn_pq_given": _knn_codes("pq"),
+    "knn_ivfpq_given": _knn_codes("ivfpq"),
     "knn_ivf_given": _knn_given("ivf"),
     "knn_ivfsq_given": _knn_given("ivfsq"),
     "knn_recall_given": knn_recall_given,
@@ -209,6 +226,13 @@ one AS (SELECT vec_id, cell, generate_subscripts(ge, 1) AS j, unnest(ge)::DOUBLE
 span AS (SELECT j, min(v) AS lo, CASE WHEN max(v) > min(v) THEN max(v) - min(v) ELSE 1 END AS w FROM one GROUP BY 1),
 sq AS (SELECT vec_id, cell, list(lo + round_even((v - lo) / w * 255, 0) / 255 * w ORDER BY j) AS ge FROM one JOIN span USING (j) GROUP BY ALL),
 """
+_WORDS = f"""
+words AS (SELECT s, cell - 1 AS code, he[s * 8 + 1:s * 8 + 8] AS w FROM heads, (SELECT unnest(range({PARTS})) AS s)),
+coded AS (SELECT vec_id, cell, s, w FROM gc, words
+  QUALIFY row_number() OVER (PARTITION BY vec_id, s ORDER BY """ + _SQUARE.format(a="ge[s * 8 + 1:s * 8 + 8]", b="w") + """, code) = 1),
+d AS (SELECT query_id, vec_id, sqrt(sum(""" + _SQUARE.format(a="qe[s * 8 + 1:s * 8 + 8]", b="w") + """)) AS d FROM {probes} GROUP BY ALL),
+a AS (SELECT query_id, vec_id, d, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), vec_id) AS INTEGER) AS rank FROM d QUALIFY rank <= 10)
+"""
 _NEAR = """d AS (SELECT query_id, vec_id, """ + _D["euclidean"] + """ AS d FROM qc JOIN {src} USING (cell)),
 a AS (SELECT query_id, vec_id, d, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS INTEGER) AS rank FROM d QUALIFY rank <= 10)
 """
@@ -221,6 +245,9 @@ SQL = {
     "knn_recall_given": _BASE + _CELLS + _NEAR.format(src="gc") + _ranked("euclidean", K, "r", False) + """
       SELECT r.query_id, round(count(a.vec_id) / count(*), 6) AS recall FROM r LEFT JOIN a USING (query_id, vec_id) GROUP BY 1""",
     "knn_flat": _out("euclidean"),
+    "knn_pivot": _out("euclidean"),
+    "knn_pq_given": _BASE + _CELLS + _WORDS.format(probes="q, coded") + _ROWS,
+    "knn_ivfpq_given": _BASE + _CELLS + _WORDS.format(probes="qc JOIN coded USING (cell)") + _ROWS,
     "knn_ivf_all_cells": _out("euclidean"),
     "knn_dot": _out("dot_product", "-"),
     "knn_cosine": _out("cosine"),

@@ -273,19 +273,24 @@ def scan_cells(queries: DataFrame, gallery: DataFrame, cells_of: CellsOf, prepar
     wanted = gallery.filter(F.col("cell").isin(sorted(probes)))
     rows = {r["cell"]: r["count"] for r in wanted.groupBy("cell").count().collect()}
     width = 8 * max(1, dim)
-    table = [(c, -(-rows[c] * width // BLOCK_BYTES), -(-probes[c] * width // BLOCK_BYTES)) for c in sorted(rows)]
-    ways = F.broadcast(spark.createDataFrame(table, "cell int, parts bigint, blocks bigint"))  # one row per cell
-    block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block")
+    visited = sorted(rows)
+
+    def ways(counts):
+        """Number of pieces per cell, as a literal with one entry per cell."""
+        of = [-(-counts[c] * width // BLOCK_BYTES) if c in rows else 0 for c in range(max(rows, default=-1) + 1)]
+        return F.element_at(F.array(*[F.lit(w).cast("bigint") for w in of]), F.col("cell") + 1) if of else F.lit(1).cast("bigint")
+
+    block = F.pmod(F.xxhash64("query_id"), ways(probes)).cast("int").alias("block")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def pack(batches):
         for (cell, number), batch in _grouped(batches, ["cell", "block"]):
             yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([number], pa.int32()), pa.array([packed(batch.select(["query_id", "embedding"]))], pa.binary())], names=["cell", "block", "probes"])
 
-    blocks = visiting.join(ways, "cell").select("cell", block, "query_id", "embedding").repartition(tasks, "cell", "block").sortWithinPartitions("cell", "block")
-    blocks = blocks.mapInArrow(pack, "cell int, block int, probes binary").join(ways, "cell")
-    blocks = blocks.select("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.col("block"), "probes")
-    parts = wanted.join(ways, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part"), F.lit(-1).alias("block"), "vec_id", *columns)
+    blocks = visiting.filter(F.col("cell").isin(visited)).select("cell", block, "query_id", "embedding").repartition(tasks, "cell", "block").sortWithinPartitions("cell", "block")
+    blocks = blocks.mapInArrow(pack, "cell int, block int, probes binary")
+    blocks = blocks.select("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), ways(rows) - 1)).alias("part"), F.col("block"), "probes")
+    parts = wanted.select("cell", F.pmod(F.xxhash64("vec_id"), ways(rows)).alias("part"), F.lit(-1).alias("block"), "vec_id", *columns)
     both = parts.unionByName(blocks, allowMissingColumns=True).repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "block")
 
     def run(batches):

@@ -39,6 +39,60 @@ def test_exact_search_equals_brute_force_with_many_copies(data, metric):
     assert lists(ok.knn(queries, gallery, 7, metric)) == brute(q, g, 7, metric)
 
 
+def clustered(spark, copies=False):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 6)) * 50
+    g = np.concatenate([c + rng.normal(size=(40, 6)) for c in centres]).astype(np.float32)
+    q = np.concatenate([c + rng.normal(size=(3, 6)) for c in centres[:4]]).astype(np.float32)
+    gallery = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(g)], "vec_id bigint, embedding array<float>")
+    queries = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(q)], "query_id bigint, embedding array<float>")
+    return q.astype(float), g.astype(float), queries, gallery
+
+
+def test_pivots_skip_groups_and_lose_nothing(spark, data, monkeypatch):
+    """Groups of probes meet only the groups of the gallery that can hold a neighbour."""
+    q, g, queries, gallery = clustered(spark)
+    needed, seen = ok.needed_cells, []
+
+    def counted(v, pivots, cells, far, near):
+        out = needed(v, pivots, cells, far, near)
+        seen.append((sum(map(len, out)), len(out) * len(cells)))
+        return out
+
+    assert lists(ok.knn(queries, gallery, 5, method="pivot", pivots=12)) == brute(q, g, 5, "euclidean")
+    rows = ok.training_rows(gallery, 10_000, 42)
+    centres = ok._centres(rows, 12, 42, 5)
+    stats = ok.pivot_stats(ok.assign_cells(gallery, centres), centres, 5)
+    cells = np.array(sorted(stats))
+    near = np.stack([stats[c][1] for c in cells])
+    counted(q, centres, cells, np.array([stats[c][0] for c in cells]), near)
+    assert seen[0][0] <= 0.25 * seen[0][1]
+    for c in cells.tolist():
+        mine = np.sort(np.sqrt(((g[(((g[:, None] - centres) ** 2).sum(-1)).argmin(1) == c] - centres[c]) ** 2).sum(1)))
+        assert stats[c][0] == pytest.approx(mine[-1]) and stats[c][1] == pytest.approx(mine[:5])
+    monkeypatch.setattr(ok, "CELLS", 30)
+    q, g, queries, gallery = data
+    for k in (3, 120, 400):  # also more than a cell, and more than the gallery, holds
+        assert lists(ok.knn(queries, gallery, k, method="pivot", pivots=7)) == brute(q, g, k, "euclidean")
+    assert lists(ok.knn(queries, gallery.filter("vec_id < 100"), 5, "cosine", method="pivot", pivots=7)) == brute(q, g[:100], 5, "cosine")
+    assert ok.knn(queries, gallery.limit(0), 3, method="pivot").count() == 0
+    with pytest.raises(ValueError):
+        ok.knn(queries, gallery, 3, "dot_product", method="pivot")
+
+
+def test_a_large_cell_is_cut_and_every_row_shuffled_once(data, monkeypatch):
+    """A third of the gallery lies in one cell; parts and blocks are small, and no gallery row is copied for its probes."""
+    q, g, queries, gallery = data
+    monkeypatch.setattr(ok, "BLOCK_BYTES", 300)
+    celled, cents = ok.build_cells(gallery, 4)
+    found = ok.knn(queries, celled, 6, method="ivf", nprobe=4, centroids=cents)
+    assert lists(found) == brute(q, g, 6, "euclidean")
+    rows = ok.visits(queries, lambda v: list(ok._probed(v, cents, 4)), 8)
+    assert rows.count() == 40
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.replace("CoGroup", "") and plan.count("explode(") == 1  # of packed probes, not of the gallery
+
+
 def test_many_blocks_and_tiles_do_not_change_the_result(data, monkeypatch):
     q, g, queries, gallery = data
     for name, value in (("CELLS", 40), ("BLOCK_BYTES", 150)):
