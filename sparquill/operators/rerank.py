@@ -1,9 +1,9 @@
 """Ranking of text candidates for questions.
 
 ``tfidf_rank`` works on a table of (question, candidate) pairs, each question with its own
-candidates, as one relational plan; ``rerank_pairs`` ranks such candidates by any strategy. ``rank_corpus`` scores every question
-against every candidate of a shared corpus without building pairs: questions are packed into blocks of bounded size and joined with tiles
-of the corpus inside Spark, and each task keeps k candidates per question and strategy. No question passes through the driver.
+candidates, as one relational plan; ``rerank_pairs`` ranks such candidates by any strategy. ``rank_corpus`` ranks a shared corpus
+without building pairs: by an inverted index where shared words decide the score (``postings``), else by a scan. In both, questions are packed into blocks of
+bounded size and joined with tiles of the corpus inside Spark, and each task keeps k candidates per question and strategy. No question passes through the driver.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import overlap_f1, prompt, terms
+from sparquill.operators import postings
 from sparquill.operators.knn import CELLS, Best, block_rows, nearest_in_block, probe_blocks, tile_join
 from sparquill.plans.scale import top_k
 from sparquill.session import cut
@@ -268,8 +269,12 @@ def rank_corpus(
     stop_words: list[str] | None = None,
     pair_factory: Callable[[], Callable] | None = None,
     vocabulary_limit: int = VOCABULARY,
+    index: postings.Index | None = None,
 ) -> DataFrame:
-    """k best candidates of a shared corpus per question and strategy, in one scan.
+    """k best candidates of a shared corpus per question and strategy.
+
+    Scores that shared words decide (cosine, and pairs without a model of their own) are ranked by an inverted index, which is built here unless a stored one
+    over the same candidates and stop words is given; others in one scan of all pairs.
 
     queries (query_id, text), candidates (cand_id, text), both ids bigint. Strategies:
     ``tfidf`` (distance, ascending), ``cross_encoder`` (pair score, descending) and ``hybrid``
@@ -283,6 +288,8 @@ def rank_corpus(
         raise ValueError(f"unknown metric {metric!r}, choose from {', '.join(METRICS)}")
     need_tfidf = any(s != "cross_encoder" for s in wanted)
     need_pair = any(s != "tfidf" for s in wanted)
+    if metric == "cosine" and pair_factory is None:
+        return _by_index(queries, index or postings.build(candidates, stop_words, 2 * k), k, wanted, tfidf_weight, stop_words)
     vocab = vocabulary(candidates, stop_words, vocabulary_limit) if need_tfidf else None
     sc = candidates.sparkSession.sparkContext
     rows = candidates.select("cand_id", "text")
@@ -305,11 +312,19 @@ def rank_corpus(
     blocks, n = probe_blocks(asked, width, BLOCK_BYTES)
     run = _corpus_scan(everything, wanted, metric, tfidf_weight, k, pair_factory, vocab.n if vocab else 0)
     found = tile_join(blocks, n, rows, run, "strategy string, query_id bigint, cand_id bigint, key double", BLOCK_BYTES)
-    best = top_k(found, ["strategy", "query_id"], [F.col("key"), F.col("cand_id")], k)
+    return _scored(top_k(found, ["strategy", "query_id"], [F.col("key"), F.col("cand_id")], k))
+
+
+def _scored(best: DataFrame) -> DataFrame:
     score = F.when(F.col("strategy") == "tfidf", F.col("key")).otherwise(-F.col("key"))
     return best.select("strategy", "query_id", F.col("rank").cast("int").alias("rank"), "cand_id", score.alias("score"))
 
 
+def _by_index(queries: DataFrame, index: postings.Index, k: int, wanted: list[str], weight: float, stop_words: list[str] | None) -> DataFrame:
+    asked, width = question_table(queries, Vocabulary(index.terms, index.n, True), stop_words)
+    return _scored(postings.search(asked, probe_blocks(asked, width, BLOCK_BYTES), index, k, wanted, weight, BLOCK_BYTES))
+
+
 def _tfidf_block(asked: pa.RecordBatch, n: int) -> TfidfBlock:
     own = pc.unique(asked.column("terms").flatten())
     df = dict(zip(asked.column("known").flatten().to_pylist(), asked.column("df").flatten().to_pylist()))
