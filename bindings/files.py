@@ -283,6 +283,20 @@ def stream_nms(spark, sf):
     return rounded(kept.select("image_id", "det_no", "score"))
 
 
+def stream_time_since_prev(spark, sf):
+    """The transactions land in four steps, in the order of time, and the stream is stopped and taken up again between them."""
+    t = bt.transactions(spark, sf).select("trans_num", "cc_num", "trans_date_trans_time")
+    time = F.col("trans_date_trans_time")
+    lo, hi = t.agg(F.unix_micros(F.min(time).cast("timestamp")), F.unix_micros(F.max(time).cast("timestamp"))).first()
+    step = F.least(F.floor((F.unix_micros(time.cast("timestamp")) - lo) * 4 / max(1, hi - lo)), F.lit(3))
+    landing, out, point = (work_path(spark, n) for n in ("landing", "stream", "point"))
+    for k in range(4):
+        t.filter(step == k).write.mode("append").parquet(landing)
+        timed = streams.time_since_prev(streams.file_stream(spark, landing, t.schema), "cc_num", "trans_date_trans_time", "trans_num")
+        _finish(streams.append(timed, out, point))
+    return rounded(spark.read.parquet(out).select("trans_num", "cc_num", "minutes_since_prev"))
+
+
 def stream_metrics(spark, sf):
     out, point = work_path(spark, "stream"), work_path(spark, "point")
     log = _event_stream(spark, sf).select((F.col("value") / 1000).alias("query_time"))
@@ -296,7 +310,7 @@ QUERIES = {
         scan_parquet, scan_csv, scan_label_map, scan_label_lines, scan_txn_json, scan_tsv, scan_corpus, class_names,
         format_boxes, parse_box_labels, pair_by_stem, frame_sample, augment_images, augment_images_exact,
         robustness_variants, robustness_variants_exact, image_to_tensor, image_to_tensor_exact, embed_image, identify_images, detect_frames, history_log,
-        stream_frame_sample, stream_score, stream_gallery, stream_nms, stream_metrics,
+        stream_frame_sample, stream_score, stream_gallery, stream_nms, stream_metrics, stream_time_since_prev,
     )
 }
 
@@ -357,5 +371,6 @@ SQL = {
         round(query_id / 1000.0::DOUBLE, 6) AS query_time FROM r GROUP BY query_id""",
     "stream_gallery": """SELECT vec_id, label, 64::INTEGER AS dim, true AS celled FROM embeddings WHERE vec_id % 10 <> 0""",
     "stream_nms": bb.SQL["nms"],
+    "stream_time_since_prev": bt.SQL["time_since_prev"],
     "stream_metrics": "SELECT round(avg(value / 1000), 6) AS average_query_time, count(*) AS total_queries FROM events",
 }

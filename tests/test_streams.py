@@ -53,3 +53,35 @@ def test_metrics_keep_the_newest_state(spark, tmp_path):
     drained(streams.running_metrics(log, out, point))
     row = streams.newest_metrics(spark, out).first()
     assert (row.average_query_time, row.total_queries) == (2.0, 2)
+
+
+def _landed(spark, tmp_path, batches, **options):
+    """Rows (card, minute, id) land batch by batch; the stream is started anew for each."""
+    src, out, point = (str(tmp_path / n) for n in ("src", "out", "point"))
+    for rows in batches:
+        df = spark.createDataFrame(rows, "card string, minute bigint, id bigint").select("card", F.timestamp_seconds(F.col("minute") * 60 + 1_700_000_000).alias("ts"), "id")
+        df.repartition(3).write.mode("append").parquet(src)
+        timed = streams.time_since_prev(streams.file_stream(spark, src, df.schema), "card", "ts", "id", **options)
+        drained(streams.append(timed, out, point))
+    return {r.id: (r.minutes_since_prev, r.late, r.late_so_far) for r in spark.read.parquet(out).collect()}
+
+
+def test_state_lasts_from_batch_to_batch_and_late_rows_are_counted(spark, tmp_path):
+    batches = [
+        [("a", 10, 1), ("a", 12, 2), ("b", 5, 3), (None, 7, 4), ("c", None, 5)],
+        [("a", 12, 6), ("a", 30, 7), ("b", 4, 8), ("b", 3, 9), ("b", 9, 10)],
+        [("b", 8, 11), ("a", 31, 13), ("a", 31, 12)],
+    ]
+    got = _landed(spark, tmp_path, batches)
+    assert got == {
+        1: (None, False, 0), 2: (2.0, False, 0), 3: (None, False, 0), 4: (None, False, 0), 5: (None, False, 0),
+        6: (0.0, False, 0), 7: (18.0, False, 0), 8: (None, True, 2), 9: (None, True, 1), 10: (4.0, False, 2),
+        11: (None, True, 3), 12: (1.0, False, 0), 13: (0.0, False, 0),
+    }
+
+
+def test_cards_are_forgotten_behind_the_watermark(spark, tmp_path):
+    batches = [[("a", 0, 1), ("b", 0, 2)], [("b", 600, 3)], [("b", 601, 4)], [("b", 602, 5), ("a", 603, 6)]]
+    got = _landed(spark, tmp_path, batches, expire="60 minutes")
+    assert got[3][0] == 600.0 and got[4][0] == 1.0 and got[5][0] == 1.0 and got[6] == (None, False, 0)
+    assert _landed(spark, tmp_path / "kept", batches)[6][0] == 603.0
