@@ -12,6 +12,7 @@ from sparquill.functions import text as ft
 from sparquill.operators import chunks as oc
 from sparquill.operators import knn as ok
 from sparquill.operators import rerank as orr
+from sparquill.operators import sentences as sn
 from sparquill.operators import split
 from sparquill.plans.scale import exact_quantiles
 from sparquill.session import work_path
@@ -51,6 +52,20 @@ def chunk_sentences(spark, sf):
     return oc.chunk_sentences(documents(spark, sf), 3)
 
 
+def _shortened(spark, sf):
+    """The documents with a full stop after three short words, as abbreviations have."""
+    return documents(spark, sf).withColumn("text", F.regexp_replace("text", " (in|de|of) ", " $1. "))
+
+
+def abbreviation_scores(spark, sf):
+    return rounded(sn.type_scores(_shortened(spark, sf)))
+
+
+def chunk_learned(spark, sf):
+    d = _shortened(spark, sf)
+    return oc.chunk_learned(d, 3, sn.abbreviations(d))
+
+
 def build_corpus(spark, sf):
     stored = oc.build_corpus(documents(spark, sf), work_path(spark, "corpus"), "fixed-length", LENGTH, OVERLAP, 64)
     return stored.select("doc_id", "chunk_no", F.length("chunk").alias("chars"), F.size("embedding").alias("dim"))
@@ -186,7 +201,7 @@ def top_n_preview(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        trim_ws, chunk_fixed, chunk_sentences, build_corpus, embed_text, tfidf_corpus, pair_rerank, hybrid_rerank,
+        trim_ws, chunk_fixed, chunk_sentences, abbreviation_scores, chunk_learned, build_corpus, embed_text, tfidf_corpus, pair_rerank, hybrid_rerank,
         sequential_rerank, rerank_all, rerank_compare, score_quartiles, assemble_context, exact_match, extract_score,
         qa_filter, stratified_sample, top_n_preview,
     )
@@ -214,6 +229,23 @@ w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 chunks AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, array_to_string(ws[i * 47 + 1 : i * 47 + 50], ' ') AS chunk
   FROM w, range(0, 400000 // 47) r(i) WHERE i * 47 < len(ws))
 """
+_EDGES = r"'^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$'"
+_LEARNED = f"""WITH short AS (SELECT doc_id, regexp_replace(text, ' (in|de|of) ', ' \\1. ', 'g') AS text FROM documents),
+ws AS (SELECT doc_id, {_WORDS} AS ws FROM short),
+each AS (SELECT lower(regexp_replace(w, {_EDGES}, '', 'g')) AS type, regexp_matches(w, '\\.["'')\\]]*$')::BIGINT AS stop FROM (SELECT unnest(ws) AS w FROM ws)),
+counts AS (SELECT type, sum(stop)::BIGINT AS n_stop, count(*) - n_stop AS n_plain FROM each WHERE type <> '' GROUP BY 1),
+chance AS (SELECT sum(n_stop)::DOUBLE / sum(n_stop + n_plain)::DOUBLE AS p FROM counts),
+long AS (SELECT *, length(type) - length(replace(type, '.', '')) AS inner_stops, length(replace(type, '.', ''))::DOUBLE AS size FROM counts, chance),
+scores AS (
+  SELECT type, n_stop, n_plain, -2 * ((n_stop * ln(p) + n_plain * ln(1 - p)) - (n_stop * ln(0.99::DOUBLE) + n_plain * ln(1 - 0.99::DOUBLE))) * exp(-size) * (inner_stops + 1)
+    * pow(size, -n_plain::DOUBLE) AS score
+  FROM long WHERE n_stop > 0 AND n_stop + n_plain >= 5 AND regexp_matches(type, '\\p{{L}}')),
+known AS (SELECT coalesce(list(type), []) AS types FROM scores WHERE score >= 0.3),
+split AS (
+  SELECT doc_id, list_filter(string_split(rtrim(array_to_string(list_transform(ws, lambda w: CASE WHEN regexp_matches(w, '[.!?]$')
+    AND NOT (w LIKE '%.' AND list_contains(types, lower(regexp_replace(w, {_EDGES}, '', 'g')))) THEN w || chr(1) ELSE w END), ' '), chr(1)), chr(1) || ' '), lambda s: s <> '') AS s
+  FROM ws, known)
+"""
 _QA = f"""WITH {_CHUNKS},
 c AS (SELECT doc_id * 100000 + chunk_no AS cand_id, chunk AS text FROM chunks),
 q AS (SELECT item_id AS query_id, text FROM benchmark),
@@ -299,6 +331,9 @@ def _own_sql(strategy: str, src: str, k: int) -> str:
 
 
 SQL = {
+    "abbreviation_scores": _LEARNED + "SELECT type, n_stop, n_plain, round(score, 6) + 0.0::DOUBLE AS score FROM scores",
+    "chunk_learned": _LEARNED + """SELECT doc_id, i::INTEGER AS chunk_no, array_to_string(s[i * 3 + 1:i * 3 + 3], ' ') AS chunk
+      FROM split, range(0, 200000) r(i) WHERE i * 3 < len(s)""",
     "plugin_embed": "SELECT doc_id, length(text)::DOUBLE AS chars, (length(text) - length(replace(text, ' ', '')))::DOUBLE AS blanks FROM documents",
     "plugin_rerank": _TALK + ", s AS (SELECT c.query_id, c.cand_id, 1.0::DOUBLE / (1 + abs(length(q.text) - length(c.text))) AS score FROM c JOIN q USING (query_id)), b AS ("
     + _best("s", "score DESC", 1 << 30) + ") " + _ROW.format(s="'cross_encoder'", t="b"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import once, sentences, terms, words
+from sparquill.operators.sentences import learned_sentences
 from sparquill.sources.stores import append_gallery
 
 
@@ -41,6 +42,14 @@ def chunk_sentences(df: DataFrame, sentences_per_chunk: int, text: str = "text")
     return _exploded(df, _windows(sentences(text), sentences_per_chunk, sentences_per_chunk), text)
 
 
+def chunk_learned(df: DataFrame, sentences_per_chunk: int, known: DataFrame, text: str = "text") -> DataFrame:
+    """Groups of consecutive sentences, with abbreviations as ``sentences.abbreviations`` learns them."""
+    if sentences_per_chunk < 1:
+        raise ValueError("sentences_per_chunk must be positive")
+    split = learned_sentences(df, known, text, "_sentences")
+    return _exploded(split, _windows(F.col("_sentences"), sentences_per_chunk, sentences_per_chunk), text).drop("_sentences")
+
+
 def chunk(df: DataFrame, strategy: str, fixed_length: int | None = None, overlap_size: int = 2) -> DataFrame:
     """Chunking by name: ``sentence`` (overlap_size sentences each) or ``fixed-length``."""
     ways = {"sentence": lambda: chunk_sentences(df, overlap_size), "fixed-length": lambda: chunk_fixed(df, fixed_length or 0, overlap_size)}
