@@ -1,5 +1,5 @@
 """Sharding by sampled splitters: size-weighted key samples give quantile bounds, records are range-partitioned, and overfull
-ranges are divided again."""
+ranges are divided again. Large records are dealt first; the others fill the shards up to one level, in the order of their keys."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparquill.llm.common import stored, uniform
 from sparquill.plans.scale import with_bucket
 
-#: Ranges per shard at least: a shard's size is off by about half a range.
+#: Ranges per shard at least. A record larger than such a range is large: there are at most shards * FINE of them.
 FINE = 64
 #: Rows per range at most, on average, so that ranges stay small on any table.
 ROWS = 1_000_000
@@ -37,12 +37,27 @@ def splitters(keys: DataFrame, total: int, ranges: int) -> list[float]:
     return sorted(bounds)
 
 
+def dealt(sizes: list[int], rest: int, shards: int) -> tuple[list[int], list[float]]:
+    """(shard of each large record, bytes of the others that each shard takes): every record to the emptiest shard, the largest first, then one level for all that are below it."""
+    have, to = [0] * shards, [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        to[i] = min(range(shards), key=lambda k: (have[k], k))
+        have[to[i]] += sizes[i]
+    low, level = sorted(have), 0.0
+    for k in range(1, shards + 1):
+        level = (rest + sum(low[:k])) / k
+        if k == shards or level <= low[k]:
+            break
+    return to, [max(0.0, level - h) for h in have]
+
+
 def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
-    Size is the UTF-8 bytes of the text plus 1, so null and empty texts weigh 1. Records are ordered by a hash of the text: equal texts stay
-    together in one range, unless their range is overfull; then it is divided by the id, and, where ids repeat, by the place in the stored table.
-    Shard sizes differ by about a range, 1/64 of a shard, or by one record where that is more. Slots are gapless from 0 in each shard.
+    Size is the UTF-8 bytes of the text plus 1, so null and empty texts weigh 1. Records larger than 1/64 of a mean shard are dealt to the emptiest shards. The others are
+    ordered by a hash of the text, then by id, and cut where the shards are full: a shard is off by at most half a record at either end, unless one record is larger
+    than a shard. Equal texts stay together but for those cuts and for overfull ranges, which are divided by the id, and, where ids repeat, by the place in the stored
+    table; equal rows are interchangeable. Slots are gapless from 0 in each shard, large records first.
     """
     spark, text = docs.sparkSession, F.coalesce(F.col(text_col), F.lit(""))
     keys = stored(
@@ -50,29 +65,42 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
         "shard-keys",
     )
     rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    small = F.col("size") * (shards * FINE) <= total
+    large = sorted((tuple(r) for r in keys.where(~small).select("doc_id", "size", "text_crc32", "h").collect()), key=lambda r: (-r[1], r[3], r[0] is None, r[0] or 0))  # at most shards * FINE
+    to, quota = dealt([r[1] for r in large], total - sum(r[1] for r in large), shards)
+    taken, first = [0] * shards, []
+    for k, (doc, size, crc, _) in zip(to, large, strict=True):
+        first.append((doc, size, crc, k, taken[k]))
+        taken[k] += 1
+    keys, total = keys.where(small), total - sum(r[1] for r in large)
     ranges = max(shards * FINE, -(-rows // ROWS))
     full = max(1.0, total / ranges)
     bounds = splitters(keys, total, ranges)
-    cut = with_bucket(keys.select("*", F.col("_metadata.row_index").alias("at"), F.col("_metadata.file_name").alias("file")), F.col("h").cast("double"), bounds, "range")
+    cut = with_bucket(keys.select("*", F.col("_metadata.row_index").alias("at")), F.col("h").cast("double"), bounds, "range")
     cut = cut.withColumn("part", F.lit(0)).withColumn("piece", F.lit(0))
-    for column, salt in (("part", F.xxhash64(F.lit(1), "doc_id")), ("piece", F.xxhash64(F.lit(2), "file", "at"))):
+    for column, salt in (("part", F.xxhash64(F.lit(1), "doc_id")), ("piece", F.xxhash64("at"))):
         names = ["range", "part", "piece"]
         sums = cut.groupBy(*names).agg(F.sum("size").alias("bytes")).where(F.col("bytes") > 2 * full)
         over = [(*r[:3], int(np.ceil(r["bytes"] / full))) for r in sums.collect()]  # at most half as many as ranges
         if over:
             table = spark.createDataFrame(over, "range int, part int, piece int, ways int")
             cut = cut.join(F.broadcast(table), names, "left").withColumn(column, F.coalesce(F.pmod(salt, F.col("ways")), F.lit(0)).cast("int")).drop("ways")
-    sums = sorted(tuple(r) for r in cut.groupBy("range", "part", "piece").agg(F.sum("size"), F.count(F.lit(1))).collect())
-    before, slots, placed = 0, [0] * shards, []
-    for rng, part, piece, size, n in sums:  # one row per range
-        to = min(shards - 1, int((before + size / 2) * shards / total))
-        placed.append((rng, part, piece, to, slots[to]))
-        slots[to] += n
-        before += size
-    table = spark.createDataFrame(placed, "range int, part int, piece int, shard int, first long")
+    bytes_before, rows_before, starts = 0, 0, []
+    for rng, part, piece, size, n in sorted(tuple(r) for r in cut.groupBy("range", "part", "piece").agg(F.sum("size"), F.count(F.lit(1))).collect()):  # one row per range
+        starts.append((rng, part, piece, bytes_before, rows_before))
+        bytes_before, rows_before = bytes_before + size, rows_before + n
+    table = spark.createDataFrame(starts, "range int, part int, piece int, bytes_before long, rows_before long")
     order = Window.partitionBy("range", "part", "piece").orderBy("h", "doc_id")
-    return (
-        cut.withColumn("nth", F.row_number().over(order) - 1)
-        .join(F.broadcast(table), ["range", "part", "piece"])
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("nth")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    middle = F.col("bytes_before") + F.col("upto") - F.col("size") / 2
+    ends = np.cumsum(quota)[:-1].tolist()
+    placed = cut.withColumn("nth", F.row_number().over(order) - 1).withColumn("upto", upto).join(F.broadcast(table), ["range", "part", "piece"]).select(
+        "doc_id", "size", "text_crc32", sum(((middle >= e).cast("int") for e in ends), F.lit(0)).alias("shard"), (F.col("rows_before") + F.col("nth")).alias("nth")
     )
+    placed = stored(placed, "placed")
+    offset = {r["shard"]: taken[r["shard"]] - r["nth"] for r in placed.groupBy("shard").agg(F.min("nth").alias("nth")).collect()}  # one row per shard
+    at = F.array(*[F.lit(offset.get(k, 0)).cast("long") for k in range(shards)])
+    slot = F.col("nth") + F.element_at(at, F.col("shard") + 1)
+    kind = f"doc_id {keys.schema['doc_id'].dataType.simpleString()}, size long, text_crc32 long, shard int, slot long"
+    every = placed.select("doc_id", "size", "text_crc32", "shard", slot.alias("slot")).unionByName(spark.createDataFrame(first, kind))
+    return every.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -275,5 +275,18 @@ def test_repeated_rows_are_divided_too(docs):
     assert max(collections.Counter(r.shard for r in got).values()) < 2.5 * len(got) / 16
 
 
+def test_shards_of_the_given_tables_are_near_equal(spark, sf):
+    got = shards.shard(spark.read.parquet(f"{sf}/documents.parquet")).groupBy("shard").agg(F.sum("size").alias("n"), F.max("size").alias("most")).collect()
+    mean = sum(r.n for r in got) / 16
+    assert len(got) == 16 and all(abs(r.n - mean) < 0.02 * mean for r in got if r.most < mean)
+
+
+def test_large_records_are_dealt_first():
+    to, quota = shards.dealt([50, 40, 30, 20, 10], 30, 3)
+    have = [sum(s for s, k in zip([50, 40, 30, 20, 10], to, strict=True) if k == i) for i in range(3)]
+    assert [h + q for h, q in zip(have, quota, strict=True)] == [60, 60, 60] and sum(quota) == 30
+    assert shards.dealt([100], 20, 3)[1] == [0, 10, 10] and shards.dealt([], 30, 3) == ([], [10, 10, 10])
+
+
 def test_shards_of_an_empty_table(docs):
     assert shards.shard(docs([])).collect() == []
