@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from bindings.common import rounded, table
 from sparquill.functions.vectors import normalize
 from sparquill.operators import knn as ok
+from sparquill.operators import neighbours
 from sparquill.session import work_path
 from sparquill.sources import stores
 
@@ -119,6 +120,18 @@ def knn_saved_gallery(spark, sf):
     return rounded(ok.knn(probes(spark, sf), saved, K, method="ivf", nprobe=4, centroids=centroids), 5)
 
 
+def knn_graph(spark, sf):
+    g = gallery(spark, sf)
+    graph = neighbours.build_graph(g, 10, 2, nlist=16)
+    return rounded(neighbours.graph_search(probes(spark, sf), g, graph, K), 5)
+
+
+def knn_graph_recall(spark, sf):
+    """Whether the graph finds nine of ten true neighbours on average."""
+    found = ok.recall(knn_graph(spark, sf), ok.knn(probes(spark, sf), gallery(spark, sf), K))
+    return found.agg(F.count("*").alias("queries"), (F.avg("recall") >= 0.9).alias("enough"))
+
+
 def identify(spark, sf):
     out = ok.identify(probes(spark, sf), gallery(spark, sf), 5, metric="cosine")
     return out.select("probe", F.transform("results", lambda r: r["filename"]).alias("files"))
@@ -173,6 +186,8 @@ QUERIES = {
     "knn_ivfsq_given": _knn_given("ivfsq"),
     "knn_recall_given": knn_recall_given,
     "knn_saved_gallery": knn_saved_gallery,
+    "knn_graph": knn_graph,
+    "knn_graph_recall": knn_graph_recall,
     "map_at_k": map_at_k,
     "map_grid": map_grid,
     "identify": identify,
@@ -244,6 +259,7 @@ SQL = {
     "knn_ivfsq_given": _BASE + _CELLS + _STEPS + _NEAR.format(src="sq") + _ROWS,
     "knn_recall_given": _BASE + _CELLS + _NEAR.format(src="gc") + _ranked("euclidean", K, "r", False) + """
       SELECT r.query_id, round(count(a.vec_id) / count(*), 6) AS recall FROM r LEFT JOIN a USING (query_id, vec_id) GROUP BY 1""",
+    "knn_graph_recall": "SELECT count(*) AS queries, true AS enough FROM embeddings WHERE vec_id % 10 = 0",
     "knn_flat": _out("euclidean"),
     "knn_pivot": _out("euclidean"),
     "knn_pq_given": _BASE + _CELLS + _WORDS.format(probes="q, coded") + _ROWS,
