@@ -13,6 +13,7 @@ from sparquill.operators import images as oi
 from sparquill.operators import knn as ok
 from sparquill.operators import model as om
 from sparquill.session import work_path
+from sparquill.sources import label_files as labels
 from sparquill.sources import readers, stores, writers
 from sparquill.streaming import streams
 
@@ -102,6 +103,14 @@ def parse_box_labels(spark, sf):
     return rounded(back.select("image_id", "class_id", "cx", "cy", "w", "h", "score", F.size("class_scores").alias("n_scores"), "bad"))
 
 
+def label_files(spark, sf):
+    """Predictions written as one text file per image, and read back."""
+    path = work_path(spark, "labels").removeprefix("file://")
+    labels.write_label_files(bb.predictions(spark, sf), path, "det_no", True, True)
+    back = labels.read_label_files(spark, path).withColumn("image_id", F.col("image_id").cast("bigint"))
+    return rounded(back.select("image_id", "line_no", "class_id", "cx", "cy", "w", "h", "score", F.size("class_scores").alias("n_scores"), "bad"))
+
+
 def pair_by_stem(spark, sf):
     p = table(spark, sf, "part")
     stem = F.concat_ws("_", F.regexp_replace("p_brand", "#", ""), F.col("p_partkey").cast("string"))
@@ -308,7 +317,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_parquet, scan_csv, scan_label_map, scan_label_lines, scan_txn_json, scan_tsv, scan_corpus, class_names,
-        format_boxes, parse_box_labels, pair_by_stem, frame_sample, augment_images, augment_images_exact,
+        format_boxes, parse_box_labels, label_files, pair_by_stem, frame_sample, augment_images, augment_images_exact,
         robustness_variants, robustness_variants_exact, image_to_tensor, image_to_tensor_exact, embed_image, identify_images, detect_frames, history_log,
         stream_frame_sample, stream_score, stream_gallery, stream_nms, stream_metrics, stream_time_since_prev,
     )
@@ -319,6 +328,8 @@ QUERIES = {
 _LABELS = """SELECT 'T' || event_id AS trans_num, CASE WHEN event_id % 97 <> 0 THEN (event_type = 'error')::INTEGER END AS is_fraud FROM events"""
 _SAMPLE = "SELECT event_id AS frame_index, round(value, 6) AS value FROM events WHERE event_id % 20 = 0"
 _STEM = "replace(p_brand, '#', '') || '_' || p_partkey"
+_LINE = """printf('%d %.6f %.6f %.6f %.6f %.2f', class_id, cx, cy, w, h, score) || ' '
+        || array_to_string(list_transform([0, 1, 2], lambda i: printf('%.6f', CASE WHEN i = class_id THEN score ELSE (1 - score) / 2 END)), ' ')"""
 _PIXELS = """WITH p AS (SELECT vec_id, 'data/person_' || label || '/img_' || vec_id || '.jpg' AS origin, i,
     least(255, greatest(0, floor((embedding[i + 1]::DOUBLE + 0.5) * 255)))::BIGINT AS v FROM embeddings, range(0, 64) r(i)),
 c AS (SELECT origin, i // 8 AS y, i % 8 AS x, unnest([0, 1, 2]) AS ch, unnest([v, 255 - v, (v & 127) * 2]) AS b FROM p),
@@ -340,10 +351,13 @@ SQL = {
         'easy' AS "DifficultyFromQuestioner", CASE WHEN p_size > 20 THEN 'hard' END AS "DifficultyFromAnswerer", p_partkey::VARCHAR AS "ArticleFile" FROM part""",
     "scan_corpus": "SELECT s_suppkey AS key, s_name || chr(10) || s_nationkey AS text FROM supplier",
     "class_names": "SELECT n_nationkey AS class_id, n_name AS class_name FROM nation",
-    "format_boxes": bb._BASE + """SELECT image_id, det_no, printf('%d %.6f %.6f %.6f %.6f %.2f', class_id, cx, cy, w, h, score) || ' '
-        || array_to_string(list_transform([0, 1, 2], lambda i: printf('%.6f', CASE WHEN i = class_id THEN score ELSE (1 - score) / 2 END)), ' ') AS line FROM pred""",
+    "format_boxes": bb._BASE + f"SELECT image_id, det_no, {_LINE} AS line FROM pred",
     "parse_box_labels": bb._BASE + """SELECT image_id, class_id, round(cx, 6) AS cx, round(cy, 6) AS cy, round(w, 6) AS w, round(h, 6) AS h,
         CASE WHEN predicted THEN round(score, 2) END AS score, CASE WHEN predicted THEN 3 END::INTEGER AS n_scores, false AS bad FROM b""",
+    # Boxes of one number follow each other in the order of their lines.
+    "label_files": bb._BASE + f""", lines AS (SELECT *, {_LINE} AS line FROM pred)
+      SELECT image_id, (row_number() OVER (PARTITION BY image_id ORDER BY det_no, line) - 1)::INTEGER AS line_no, class_id,
+        round(cx, 6) AS cx, round(cy, 6) AS cy, round(w, 6) AS w, round(h, 6) AS h, round(score, 2) AS score, 3::INTEGER AS n_scores, false AS bad FROM lines""",
     "pair_by_stem": f"""SELECT {_STEM} AS stem, 'data/images/' || {_STEM} || '.jpg' AS left_path, 'data/labels/' || {_STEM} || '.txt' AS right_path
         FROM part WHERE p_size > 10""",
     "frame_sample": _SAMPLE,
