@@ -148,6 +148,12 @@ def rerank_all(spark, sf):
     return rounded(orr.rerank_all(questions(spark, sf), corpus(spark, sf), 5))
 
 
+def rerank_by_question(spark, sf):
+    """Every question is ranked by a strategy of its own."""
+    names = F.element_at(F.array(*[F.lit(s) for s in orr.STRATEGIES]), (F.col("query_id") % 5 + 1).cast("int"))
+    return rounded(orr.rerank_by_question(questions(spark, sf).withColumn("strategy", names), corpus(spark, sf), 5))
+
+
 def rerank_compare(spark, sf):
     q, c = questions(spark, sf), corpus(spark, sf)
     out = orr.rerank_compare(orr.rerank_all(q, c, 5), q, c)
@@ -202,7 +208,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         trim_ws, chunk_fixed, chunk_sentences, abbreviation_scores, chunk_learned, build_corpus, embed_text, tfidf_corpus, pair_rerank, hybrid_rerank,
-        sequential_rerank, rerank_all, rerank_compare, score_quartiles, assemble_context, exact_match, extract_score,
+        sequential_rerank, rerank_all, rerank_by_question, rerank_compare, score_quartiles, assemble_context, exact_match, extract_score,
         qa_filter, stratified_sample, top_n_preview,
     )
 }
@@ -362,7 +368,11 @@ SQL = {
     "rerank_compare": _EVERY + """, l AS (SELECT query_id, strategy, list(round(score, 5) + 0.0::DOUBLE ORDER BY rank) AS top_scores,
           list(substr(c.text, 1, 100) ORDER BY rank) AS top_texts, first(c.text ORDER BY rank) AS top_context, first(cand_id ORDER BY rank) AS cand_id
           FROM allr JOIN c USING (cand_id) GROUP BY ALL)
-        SELECT query_id, strategy, top_scores, top_texts, top_context, round(f1, 6) AS match_score FROM l JOIN f USING (query_id, cand_id)""",
+        SELECT query_id, strategy, top_scores, top_texts, top_context,
+          round(coalesce(2.0::DOUBLE * len(list_intersect(cd.ts, qd.ts)) / nullif(len(cd.ts) + len(qd.ts), 0), 0), 6) AS match_score
+        FROM l JOIN cd USING (cand_id) JOIN qd USING (query_id)""",
+    "rerank_by_question": _EVERY + """SELECT strategy, query_id, rank, cand_id, round(score, 6) + 0.0::DOUBLE AS score FROM allr
+        WHERE strategy = ['cross_encoder', 'tfidf', 'hybrid', 'sequential', 'tfidf_corpus'][query_id % 5 + 1]""",
     "score_quartiles": _EVERY + """SELECT strategy, difficulty, round(quantile_cont(score, 0.25), 6) AS q25, round(quantile_cont(score, 0.5), 6) AS q50,
           round(quantile_cont(score, 0.75), 6) AS q75 FROM (SELECT strategy, ['easy', 'medium', 'hard'][query_id % 3 + 1] AS difficulty, score
           FROM allr WHERE rank = 1) GROUP BY ALL""",

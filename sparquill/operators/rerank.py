@@ -445,6 +445,23 @@ def rerank(queries: DataFrame, candidates: DataFrame, strategy: str = "tfidf", k
     return rank_corpus(queries, candidates, k, (strategy,), **options)
 
 
+def rerank_by_question(queries: DataFrame, candidates: DataFrame, k: int = 5, strategy: str = "strategy", **options) -> DataFrame:
+    """Each question is ranked by the strategy that its own row names; an unknown or missing name fails. One index serves all questions that can use one."""
+    names = [r[strategy] for r in queries.select(strategy).distinct().limit(len(STRATEGIES) + 1).collect()]
+    unknown = [n for n in names if n not in STRATEGIES]
+    if unknown:
+        raise ValueError(f"{unknown[0]!r} names no reranking; choose from {', '.join(STRATEGIES)}")
+    if names and options.get("metric", "cosine") == "cosine" and options.get("pair_factory") is None and options.get("index") is None:
+        options["index"] = postings.build(candidates, options.get("stop_words"), 2 * max(k, options.get("subset_size", SUBSET)))
+    parts = [rerank(queries.filter(F.col(strategy) == name).drop(strategy), candidates, name, k, **options) for name in sorted(names)]
+    if not parts:
+        return rank_corpus(queries.drop(strategy), candidates, k, ("tfidf",), **options)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def rerank_all(queries: DataFrame, candidates: DataFrame, k: int = 5, subset_size: int = SUBSET, **options) -> DataFrame:
     """All five strategies from one scan of the corpus."""
     wide = max(k, subset_size)

@@ -90,3 +90,16 @@ def test_bounds_spare_the_long_lists():
     assert set(some) == set(np.flatnonzero([("rare" in w) for w in words])) and less < 0.01 * read
     assert np.allclose(again, cosine[some])
     assert postings.evaluate(q, place, s, 1.0, 0.0, 1.5)[0].size == 0
+
+
+def test_every_question_may_name_its_strategy(tables):
+    q, c = tables
+    q = q.filter("query_id < 10")
+    from pyspark.sql import functions as F
+
+    named = q.withColumn("strategy", F.element_at(F.array(*[F.lit(s) for s in rerank.STRATEGIES]), (F.col("query_id") % 5 + 1).cast("int")))
+    want = [r for r in rows_of(rerank.rerank_all(q, c, 3)) if r[0] == rerank.STRATEGIES[r[1] % 5]]
+    assert rows_of(rerank.rerank_by_question(named, c, 3)) == want
+    for bad in ("magic", None):
+        with pytest.raises(ValueError):
+            rerank.rerank_by_question(named.withColumn("strategy", F.lit(bad).cast("string")), c, 3)
