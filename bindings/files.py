@@ -152,6 +152,18 @@ def _bytes_sum(weighted: bool):
     return F.aggregate(at, F.lit(0).cast("bigint"), lambda a, i: a + byte(i) * ((i + 1) if weighted else F.lit(1)))
 
 
+def scan_gallery(spark, sf):
+    """A folder per person with picture files, written by tasks and read as a gallery. A third of the files has another ending and is no picture."""
+    path = work_path(spark, "pictures").removeprefix("file://")
+    part = F.split("origin", "/")
+    ending = F.when(F.col("image_id") % 3 == 0, F.lit(".bin")).otherwise(F.lit(".png"))
+    named = pictures(spark, sf).withColumns({"name": F.element_at(part, -2), "filename": F.concat(F.regexp_replace(F.element_at(part, -1), r"\.jpg$", ""), ending)})
+    writers.write_pictures(named, path)
+    seen = readers.read_gallery_images(spark, path)
+    size = [F.col(f"image.{c}").alias(c) for c in ("height", "width", "nChannels")]
+    return seen.select("meta.name", "meta.filename", *size, F.col("image.data").alias("data")).select("name", "filename", "height", "width", "nChannels", _bytes_sum(True).alias("check_sum"))
+
+
 def augment_images(spark, sf):
     out = oi.augment(pictures(spark, sf))
     return out.select(oi.augmented_name("origin", "augmentation").alias("name"), "height", "width", F.length("data").alias("n"))
@@ -317,7 +329,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_parquet, scan_csv, scan_label_map, scan_label_lines, scan_txn_json, scan_tsv, scan_corpus, class_names,
-        format_boxes, parse_box_labels, label_files, pair_by_stem, frame_sample, augment_images, augment_images_exact,
+        format_boxes, parse_box_labels, label_files, scan_gallery, pair_by_stem, frame_sample, augment_images, augment_images_exact,
         robustness_variants, robustness_variants_exact, image_to_tensor, image_to_tensor_exact, embed_image, identify_images, detect_frames, history_log,
         stream_frame_sample, stream_score, stream_gallery, stream_nms, stream_metrics, stream_time_since_prev,
     )
@@ -360,6 +372,8 @@ SQL = {
         round(cx, 6) AS cx, round(cy, 6) AS cy, round(w, 6) AS w, round(h, 6) AS h, round(score, 2) AS score, 3::INTEGER AS n_scores, false AS bad FROM lines""",
     "pair_by_stem": f"""SELECT {_STEM} AS stem, 'data/images/' || {_STEM} || '.jpg' AS left_path, 'data/labels/' || {_STEM} || '.txt' AS right_path
         FROM part WHERE p_size > 10""",
+    "scan_gallery": _PIXELS + """SELECT split_part(origin, '/', 2) AS name, replace(split_part(origin, '/', 3), '.jpg', '.png') AS filename, 8::INTEGER AS height, 8::INTEGER AS width,
+        3::INTEGER AS nChannels, sum(((y * 8 + x) * 3 + ch + 1) * b)::BIGINT AS check_sum FROM c WHERE regexp_extract(origin, '_([0-9]+)\\.jpg', 1)::BIGINT % 3 <> 0 GROUP BY origin""",
     "frame_sample": _SAMPLE,
     "stream_frame_sample": _SAMPLE,
     "augment_images": """SELECT 'img_' || vec_id || '_' || k AS name, CASE WHEN k = 'resized' THEN 224 ELSE 8 END::INTEGER AS height,

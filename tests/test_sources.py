@@ -135,3 +135,18 @@ def test_a_package_with_threshold_zero_loads_and_scores(spark, tmp_path):
         model.score(df, {**loaded, "threshold": None})
     with pytest.raises(ValueError):
         model.classifier("svm")
+
+
+def test_pictures_are_written_and_read_back(spark, tmp_path):
+    import os
+
+    rows = [(f"p{i % 3}", f"{i}.png", 2, 3, 3 if i % 2 else 1, bytes((i * 7 + j) % 256 for j in range(18 if i % 2 else 6))) for i in range(9)]
+    df = spark.createDataFrame(rows, "name string, filename string, height int, width int, nChannels int, data binary").repartition(3)
+    path = str(tmp_path / "pictures")
+    assert writers.write_pictures(df, path) == 9 and writers.write_pictures(df, path) == 9  # a repeated job changes nothing
+    (tmp_path / "pictures" / "p0" / "notes.txt").write_text("no picture")
+    assert sorted(f for _, _, files in os.walk(path) for f in files) == sorted([*(r[1] for r in rows), "notes.txt"])
+    got = {(r.meta.name, r.meta.filename): (r.image.height, r.image.width, r.image.nChannels, bytes(r.image.data)) for r in readers.read_gallery_images(spark, path).collect()}
+    assert got == {(r[0], r[1]): (r[2], r[3], r[4], r[5]) for r in rows}
+    with pytest.raises(Exception, match="cannot name a picture"):
+        writers.write_pictures(df.withColumn("filename", F.lit("../x.png")), path)
