@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,57 @@ def test_search_metrics_without_searches(spark):
     log = spark.createDataFrame([], "query_time double")
     row = ok.search_metrics(log, spark.range(4)).first()
     assert (row.average_query_time, row.total_queries, row.gallery_size) == (0.0, 0, 4)
+
+
+@pytest.mark.parametrize("metric", ok.METRICS)
+def test_few_pairs_of_a_tile_are_looked_at_and_none_is_lost(metric):
+    """A tile hands on about k rows per probe, and fewer once nearer ones are known."""
+    rng = np.random.default_rng(5)
+    q, g = rng.normal(size=(20, 16)), rng.normal(size=(6000, 16)) * rng.integers(1, 8, (6000, 1))
+    g[300:330] = g[300]
+    q[0], q[1] = g[300], 0.0
+    tile = pa.RecordBatch.from_arrays([pa.array(np.arange(len(g))), pa.array(list(g.astype(float)), pa.list_(pa.float64()))], names=["vec_id", "embedding"])
+    find, best, seen = ok._find_vectors(5, metric, 3.0), ok.Best(5), []
+    for part in (tile.slice(0, 3000), tile.slice(3000)):
+        found = list(find(q, part, best.edge(len(q))))
+        seen.append(sum(len(p) for p, _, _ in found))
+        best.add_all(iter(found))
+    got = {i: best.id[best.probe == i].tolist() for i in range(len(q))}
+    assert got == brute(q, g, 5, metric)
+    ties = 2 * 30 + (2 * 3000 if metric in ("dot_product", "cosine") else 0)  # the zero probe is as far from all
+    assert sum(seen) <= 20 * 5 * 2 * 4 + ties
+
+
+@pytest.mark.parametrize("scale", [1e-20, 1e18, 1e200])
+def test_sizes_that_single_precision_cannot_hold(spark, data, scale):
+    q, g, _, _ = data
+    big, rows = q * scale, g * scale
+    queries = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(big)], "query_id bigint, embedding array<double>")
+    gallery = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    metric = "euclidean" if scale < 1e100 else "dot_product"
+    if scale > 1e100:  # products are no numbers any more: nothing is found, as before
+        assert ok.knn(queries, gallery, 4, metric).count() <= 40
+    else:
+        assert lists(ok.knn(queries, gallery, 4, metric)) == brute(big, rows, 4, metric)
+
+
+def test_short_codes_are_searched_once(spark):
+    """Of many rows with one code only the k lowest ids meet a probe, and probes of one code are one."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(900, 8))
+    gallery = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id bigint, embedding array<double>")
+    queries = spark.createDataFrame([(i % 60, [float(x) for x in r]) for i, r in enumerate(v[:61])], "query_id bigint, embedding array<double>")
+    planes = ok.hyperplanes(3, 8, 42)
+    codes = (v @ planes.T >= 0).astype(float)
+    got = ok.knn(queries.filter("query_id > 0"), gallery, 4, method="lsh", num_bits=3)
+    for i in range(1, 60):
+        far = ok.differing(codes[i : i + 1], codes)[0]
+        assert [r.vec_id for r in got.filter(F.col("query_id") == i).orderBy("rank").collect()] == np.lexsort((np.arange(900), far))[:4].tolist() if i % 20 == 1 else True
+    met = []
+    plain = ok.scan
+    ok.scan = lambda q, g, *rest: met.append((q.count(), g.count())) or plain(q, g, *rest)
+    try:
+        assert ok.knn(queries, gallery, 4, method="lsh", num_bits=3).count() == 60 * 4
+    finally:
+        ok.scan = plain
+    assert met[0][0] <= 8 and met[0][1] <= 8 * 4
