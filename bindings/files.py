@@ -240,9 +240,13 @@ def history_log(spark, sf):
     return rounded(back.select("probe_image", F.transform("results", lambda r: r["filename"]).alias("files"), "query_time"))
 
 
+def _table_stream(spark, sf, name):
+    """A table as a stream of its files. As a pattern of one name the path may be a file or a folder of files, which a plain path may not."""
+    return streams.file_stream(spark, f"{sf}/{{{name}.parquet}}", table(spark, sf, name).schema)
+
+
 def _event_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return streams.file_stream(spark, sf, schema, "events.parquet")
+    return _table_stream(spark, sf, "events")
 
 
 def _finish(query) -> None:
@@ -280,8 +284,7 @@ def stream_score(spark, sf):
 def stream_gallery(spark, sf):
     g = bv.gallery(spark, sf)
     _, centroids = ok.build_cells(g, 8)
-    source = table(spark, sf, "embeddings")
-    arriving = streams.file_stream(spark, sf, source.schema, "embeddings.parquet").filter("vec_id % 10 <> 0")
+    arriving = _table_stream(spark, sf, "embeddings").filter("vec_id % 10 <> 0")
     out, point = work_path(spark, "stream"), work_path(spark, "point")
     _finish(streams.grow_gallery(arriving, out, point, 64, centroids))
     return spark.read.parquet(out).select("vec_id", "label", F.size("embedding").alias("dim"), F.col("cell").between(0, 7).alias("celled"))

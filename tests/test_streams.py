@@ -85,3 +85,16 @@ def test_cards_are_forgotten_behind_the_watermark(spark, tmp_path):
     got = _landed(spark, tmp_path, batches, expire="60 minutes")
     assert got[3][0] == 600.0 and got[4][0] == 1.0 and got[5][0] == 1.0 and got[6] == (None, False, 0)
     assert _landed(spark, tmp_path / "kept", batches)[6][0] == 603.0
+
+
+def test_a_table_is_streamed_from_a_file_or_a_folder_of_files(spark, tmp_path):
+    from bindings import files
+
+    rows = spark.range(40).select(F.col("id").alias("vec_id"), F.array([F.lit(0.5).cast("float") + F.col("id").cast("float") / (i + 1) for i in range(64)]).alias("embedding"), F.lit(1).alias("label"))
+    rows.repartition(3).write.parquet(str(tmp_path / "folder" / "embeddings.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "written"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "written").glob("*.parquet")).rename(tmp_path / "file" / "embeddings.parquet")
+    for kind in ("folder", "file"):
+        got = files.stream_gallery(spark, str(tmp_path / kind))
+        assert sorted(r.vec_id for r in got.collect()) == [i for i in range(40) if i % 10]
