@@ -158,3 +158,26 @@ def test_range_filter_is_pushed_to_the_scan(spark):
     df = clean.date_range(e, "ts", "2024-01-05", "2024-01-06").select("event_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "value" not in plan.split("ReadSchema")[1]
+
+
+def test_training_rows_of_a_small_file_are_dealt_among_all_cores(spark, tmp_path, monkeypatch):
+    from bindings import transactions as bt
+    from sparquill.operators import model
+
+    i = F.col("id")
+    ts = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id * 3 as int))")
+    events = spark.range(0, 12_000, 1, 1).select(
+        i.alias("event_id"), ts.alias("ts"), (i % 50).alias("user_id"), F.lit("view").alias("event_type"), (i % 120).cast("double").alias("value"), F.format_string('{"k": %d}', i % 9).alias("props")
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+
+    def fitted(ready, *rest, **params):
+        seen.append([n for n in ready.rdd.glom().map(len).collect() if n])
+        raise InterruptedError
+
+    monkeypatch.setattr(model, "fitted", fitted)
+    train, test = bt._model_data(spark, str(tmp_path))
+    with pytest.raises(InterruptedError):
+        model.train(train, test, "mlp")
+    assert len(seen[0]) >= spark.sparkContext.defaultParallelism and max(seen[0]) < 2 * sum(seen[0]) / len(seen[0])
