@@ -4,7 +4,8 @@ Set relations save the work twice. Answers: copies and near copies first meet th
 to its leader is in the leader's class, so no member is compared with another. Index: what can still be linked across classes is found by
 an inverted index over the prefixes of the sets, in an order that puts frequent shingles last. Its lists are ordered by set size and cut into
 blocks, and a block is skipped when sizes, positions in the sets or classes rule all of its pairs out. A long list is first only chained, so that what a
-chain joins is one class, then what is left of it meets a few members of its largest class, and only then are all its other pairs looked at. Candidates are verified on whole texts.
+chain joins is one class, then what is left of it meets a few members of its largest class. Sets that are still in several classes of a long list are dealt to
+blocks, and blocks with a possible pair are compared as a whole, so no pair of them is ever a row. Candidates are verified on whole texts.
 Any order of the shingles gives exact results; the one used comes from counts of all shingles of all documents, in a fixed number of counters.
 """
 
@@ -38,6 +39,10 @@ PAIRS = 500_000
 DRAWS = 2
 #: Entries per block of a list.
 BLOCK = 64
+#: Shingles per block of sets that are compared with those of another block at once, about.
+BLOCK_SHINGLES = 500_000
+#: Index entries at least, on average, that a task hands on as one packed row.
+PACK = 256
 ENTRY = np.dtype([("h", "u8"), ("rid", "i8"), ("cls", "i8"), ("n", "i4"), ("pos", "i4")])
 
 
@@ -264,19 +269,92 @@ def _drawn(e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield a["rid"][ok], b["rid"][ok]
 
 
-def _settled(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) that the entries (h, rid, cls, n, pos) of whole lists still allow: all, or those drawn first."""
-    held = []
+def _of_lists(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """The entries (h, rid, cls, n, pos) of whole lists, and the block of each if it has one."""
+    held, blocks = [np.empty(0, ENTRY)], [np.empty(0, np.int64)]
     for batch in batches:
         e = np.empty(batch.num_rows, ENTRY)
         for c in ("rid", "cls", "n", "pos"):
             e[c] = np.asarray(batch.column(c))
         e["h"] = np.asarray(batch.column("h")).view(np.uint64)
         held.append(e)
+        if "block" in batch.schema.names:
+            blocks.append(np.asarray(batch.column("block")))
+    return np.concatenate(held), np.concatenate(blocks)
+
+
+def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) drawn from whole lists."""
+    entries, _ = _of_lists(batches)
+    for both in _distinct(_drawn(entries)):
+        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (x <= y) of blocks that hold a pair of sets which whole lists still allow."""
+    entries, block = _of_lists(batches)
+    rid, first = np.unique(entries["rid"], return_index=True)
+    of = block[first]
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for a, b in _listed(entries):
+            x, y = of[np.searchsorted(rid, a)], of[np.searchsorted(rid, b)]
+            met = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+            yield met[0], met[1]
+
+    seen = np.empty((2, 0), np.int64)
+    for both in _distinct(pairs()):
+        seen = np.unique(np.concatenate((seen, both), axis=1), axis=1)
+    yield pa.RecordBatch.from_arrays([pa.array(seen[0]), pa.array(seen[1])], names=["x", "y"])
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) between classes, for rows (x, y, side, rid, cls, text) ordered by the pair (x, y) of blocks; a pair is held at a time."""
+    held: list[pa.RecordBatch] = []
+    of: tuple | None = None
+    for batch in batches:
+        at = np.stack([np.asarray(batch.column(c)) for c in ("x", "y")], axis=1)
+        edges = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(at)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if hi == lo:
+                continue
+            if held and tuple(at[lo].tolist()) != of:
+                yield _joined(held)
+                held = []
+            of = tuple(at[lo].tolist())
+            held.append(batch.slice(lo, hi - lo))
     if held:
-        entries = np.concatenate(held)
-        for both in _distinct(_listed(entries) if full else _drawn(entries)):
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+        yield _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """The links of one block, or of two with each other, that join classes which no link before has joined: fewer than there are sets.
+
+    All sets of other classes are compared with a set at once, by counting its shingles in their lists.
+    """
+    rid, cls, side = (np.concatenate([np.asarray(b.column(c)) for b in held]) for c in ("rid", "cls", "side"))
+    made = [shingle_sets(data, offsets) for b in held for _, data, offsets in tokens.blocks(b.column("text"))]
+    n = np.concatenate([np.diff(at) for _, at in made])
+    start = np.concatenate(([0], np.cumsum(n)))
+    _, code = np.unique(np.concatenate([s for s, _ in made]), return_inverse=True)
+    has = np.repeat(np.arange(len(n)), n)[np.argsort(code, kind="stable")]  # the sets of each shingle, one list after the other
+    size = np.bincount(code)
+    first = np.cumsum(size) - size
+    two, links = side.max() > side.min(), []
+    for a in np.flatnonzero(side == side.min()):
+        if (cls == cls[0]).all():
+            break
+        mine = code[start[a] : start[a + 1]]
+        many = size[mine]
+        at = np.arange(many.sum()) + np.repeat(first[mine] - np.cumsum(many) + many, many)
+        common = np.bincount(has[at], minlength=len(n))
+        ok = (cls != cls[a]) & (common > 0) & ((100 + SHARE) * common >= SHARE * (n[a] + n)) & ((side != side[a]) | (not two))
+        for b in np.flatnonzero(ok):
+            if cls[b] != cls[a]:
+                links.append((rid[a], rid[b]))
+                cls[cls == cls[b]] = cls[a]
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _distinct(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
@@ -331,6 +409,39 @@ def _links(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return links
 
 
+def _dealt(total: int, rows: int, partitions: int) -> tuple[int, int]:
+    """Tasks of the index of sets of ``total`` shingles, and the parts that its entries are dealt to.
+
+    A batch hands on a packed row per part, so the entries of a small index are dealt to few parts, however many partitions there are.
+    """
+    entries = total * (100 - SHARE) // 100
+    needed = max(1, -(-entries // ENTRIES))
+    tasks = max(partitions, needed)
+    return tasks, min(16 * tasks, max(4 * needed, entries // (PACK * max(partitions, rows // 10_000))))
+
+
+def _across(docs: DataFrame, sets: DataFrame, open_lists: DataFrame, tasks: int) -> DataFrame:
+    """Links (a, b) that join all linked classes of the lists (h, rid, cls, n, pos).
+
+    A set is dealt to the block of its list of the smallest hash, which similar sets often share; a list of many shingles has several blocks. The rows of this step are
+    entries, sets once per block that theirs meets, and links: none stands for a pair of sets.
+    """
+    home = open_lists.groupBy("rid").agg(F.min("h").alias("home"), F.any_value("n").alias("size"))
+    ways = home.groupBy("home").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("ways"))
+    dealt = stored(home.join(ways, "home").select("rid", F.xxhash64("home", F.pmod(F.xxhash64("rid"), "ways")).alias("block")), "set-blocks")
+    lists = open_lists.join(dealt, "rid").select("h", "rid", "cls", "n", "pos", "block")
+    meet = stored(lists.repartition(tasks, "h").mapInArrow(_meetings, "x long, y long").distinct(), "block-pairs")
+    known = open_lists.select("rid", "cls").distinct().join(dealt, "rid")
+    texts = _texts(docs, sets.select("rid", "rep_doc", "rep_sig").join(known, "rid", "left_semi")).join(known, "rid")
+    texts = stored(texts.select("block", "rid", "cls", "text"), "block-texts")
+    sides = meet.select("x", "y", F.col("x").alias("block"), F.lit(0).alias("side")).unionByName(meet.where("x <> y").select("x", "y", F.col("y").alias("block"), F.lit(1).alias("side")))
+    rows = sides.join(texts, "block").select("x", "y", "side", "rid", "cls", "text").repartition(tasks, "x", "y").sortWithinPartitions("x", "y", "side")
+    links = stored(rows.mapInArrow(_compared, "a long, b long"), "links")
+    for table in (texts, meet, dealt):
+        discard(table)
+    return links
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, sets): rows (doc, sig, digest, n) of every input row, and one row (digest, rid, cls, rep_doc, rep_sig, n) per distinct word sequence.
 
@@ -358,14 +469,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = components(links)
     known = stored(sets.select("rid", "rep_doc", "rep_sig").join(found.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "rep_doc", "rep_sig", F.coalesce("component", "rid").alias("cls")), "shingle-classes")
     # Second round: what the index still finds across classes.
-    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tasks = max(partitions(spark), -(-total * (100 - SHARE) // 100 // ENTRIES))
+    total, n_rows = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    tasks, parts = _dealt(total, n_rows, partitions(spark))
     slices = profile.where("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(_summed, "slice int, counts binary").collect()  # SLICES rows, COUNTERS counters
     counts = np.zeros((SLICES, COUNTERS // SLICES), np.uint32)
     for k, blob in slices:
         counts[k] = _unpacked(bytes(blob))
     shared = spark.sparkContext.broadcast(counts.reshape(-1))
-    parts = 16 * tasks
     same = docs["doc"].eqNullSafe(known["rep_doc"]) & (docs["sig"] == known["rep_sig"])
     entries = docs.join(known, same).select("rid", "cls", "text").mapInArrow(lambda b: _entries(b, shared.value, parts), "part int, n int, entries binary")
     pairs = stored(entries.repartition(tasks, "part").mapInArrow(_candidates, "a long, b long, h long, n long, pos long"), "candidates")
@@ -373,14 +483,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = components(links)
     # Long lists were only chained so far. What the chains have joined is one class now; the pairs of different classes are still to be seen.
     rest = pairs.where("h is not null").select("h", F.col("a").alias("rid"), "n", "pos")
-    for full in (False, True) if not rest.isEmpty() else ():
+    for last in (False, True) if not rest.isEmpty() else ():
         known = found.withColumnRenamed("node", "rid").withColumnRenamed("component", "cls")
-        open_lists = stored(rest.join(known, "rid", "left").select("h", "rid", F.coalesce("cls", "rid").alias("cls"), "n", "pos"), "open-lists")
-        several = open_lists.groupBy("h").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("h")
-        if several.isEmpty():
+        classed = stored(rest.join(known, "rid", "left").select("h", "rid", F.coalesce("cls", "rid").alias("cls"), "n", "pos"), "classed-lists")
+        several = classed.groupBy("h").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("h")
+        open_lists = stored(classed.join(several, "h", "left_semi"), "open-lists")
+        if open_lists.isEmpty():
             break
-        seen = open_lists.repartition(tasks, "h").mapInArrow(lambda b, full=full: _settled(b, full), "a long, b long")
-        links = links.unionByName(_links(docs, sets, seen))
+        if last:
+            links = links.unionByName(_across(docs, sets, open_lists, tasks))
+        else:
+            links = links.unionByName(_links(docs, sets, open_lists.repartition(tasks, "h").mapInArrow(_first_seen, "a long, b long")))
         found = components(links)
     return rows, sets.join(found.withColumnRenamed("node", "rid"), "rid", "left").select("digest", "rid", F.coalesce("component", "rid").alias("cls"), "rep_doc", "rep_sig", "n")
 

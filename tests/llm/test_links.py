@@ -120,6 +120,55 @@ def test_long_lists_are_cut_into_blocks(monkeypatch):
     assert want == {(min(a, b), max(a, b)) for x, y in jaccard._listed(entries) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
 
 
+def test_sets_of_many_classes_are_never_pairs(docs, monkeypatch):
+    """A group whose sets share most shingles but are not linked, with some that are: blocks of sets meet, and the rows of a step grow with the sets."""
+    draw, rows = random.Random(12), []
+    for k in range(300):
+        words = [f"w{j}" for j in range(80)]
+        for at in draw.sample(range(80), 3) if k < 280 else (k % 3, 40, 60 + k % 4):
+            words[at] = f"x{k}y{at}" if k < 290 or at > 9 else f"x{at}"
+        rows.append((k, " ".join(words)))
+    made = []
+    across = jaccard._across
+
+    def counted(*given):
+        made.append(across(*given))
+        return made[-1]
+
+    monkeypatch.setattr(jaccard, "_across", counted)
+    for shingles_ in (jaccard.BLOCK_SHINGLES, 2000):
+        monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", shingles_)
+        got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.groups(docs(rows)).collect())
+        assert got == collections.Counter(expected_groups(rows)) and 200 < len({c for _, _, c in got}) < 300
+    assert len(made) == 2 and all(df.count() < 300 for df in made)
+
+
+def test_links_of_two_blocks_join_classes_once():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(5)
+    words = [[f"w{j}" if draw.random() > 0.01 * (k % 8) else f"x{k}-{j}" for j in range(60)] for k in range(60)]
+    sets = [shingles(" ".join(w)) for w in words]
+    linked = [(a, b) for a, b in itertools.combinations(range(60), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    for side in (np.zeros(60, int), np.arange(60) % 2):
+        columns = [np.zeros(60, int), np.full(60, side.max()), side, np.arange(60), np.arange(60)]
+        batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([" ".join(w) for w in words])], names=["x", "y", "side", "rid", "cls", "text"])
+        found = [p for b in jaccard._compared(iter([batch.slice(0, 25), batch.slice(25)])) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        want = [(a, b) for a, b in linked if side[a] != side[b] or side.max() == 0]
+        assert {(min(p), max(p)) for p in found} <= set(want) and len(found) < 60
+        assert roots(60, found) == roots(60, want) and 5 < len(set(roots(60, want))) < 60
+
+
+def test_few_entries_are_packed_into_few_rows():
+    """The number of packed rows grows with the entries, not with the square of the partitions."""
+    for total in (0, 1000, 5_000_000, 10**10):
+        for partitions in (1, 8, 211, 2000):
+            tasks, parts = jaccard._dealt(total, 50_000, partitions)
+            needed = max(1, -(-total // 4 // jaccard.ENTRIES))
+            assert tasks == max(partitions, needed) and 4 * needed <= parts <= 16 * tasks
+            assert parts * partitions <= max(4 * needed * partitions, total // 4 // jaccard.PACK)
+
+
 def test_one_of_each_group_stays(docs):
     rows = near_copies(7, 8) + [(1, None), (2, ""), (5, "one two"), (5, "one two"), (6, "One two"), (None, "no id here"), (None, "no  id here")]
     table = docs(rows)
