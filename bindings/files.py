@@ -77,7 +77,8 @@ def scan_tsv(spark, sf):
 def scan_corpus(spark, sf):
     path = work_path(spark, "texts")
     s = table(spark, sf, "supplier").select(F.concat_ws("\n", "s_name", "s_nationkey").alias("value"), "s_suppkey")
-    s.repartition(4).write.partitionBy("s_suppkey").text(path)
+    tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))  # writing a file takes its time, whatever it holds; tasks move their files themselves
+    s.repartition(tasks).write.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("s_suppkey").text(path)
     back = readers.read_corpus(spark, path)
     return back.select(F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("bigint").alias("key"), F.trim(F.regexp_replace("text", r"\n$", "")).alias("text"))
 

@@ -150,3 +150,12 @@ def test_pictures_are_written_and_read_back(spark, tmp_path):
     assert got == {(r[0], r[1]): (r[2], r[3], r[4], r[5]) for r in rows}
     with pytest.raises(Exception, match="cannot name a picture"):
         writers.write_pictures(df.withColumn("filename", F.lit("../x.png")), path)
+
+
+def test_corpus_files_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    from bindings import files
+
+    spark.createDataFrame([(k, f"name {k}", k % 3) for k in range(40)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(files, "work_path", lambda spark, name: f"{tmp_path}/{name}")
+    assert sorted(files.scan_corpus(spark, str(tmp_path)).collect()) == [(k, f"name {k}\n{k % 3}") for k in range(40)]
+    assert len({f.name.split("-")[1] for f in tmp_path.glob("texts/*/part-*.txt")}) > 4
