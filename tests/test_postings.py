@@ -103,3 +103,28 @@ def test_every_question_may_name_its_strategy(tables):
     for bad in ("magic", None):
         with pytest.raises(ValueError):
             rerank.rerank_by_question(named.withColumn("strategy", F.lit(bad).cast("string")), c, 3)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_other_metrics_are_ranked_by_the_index_too(tables, metric):
+    """No pair of question and candidate is scanned, and the rows are those of a scan."""
+    q, c = tables
+    c = c.filter("text is not null")
+    index = postings.build(c, None, 14, 300)
+    found = rerank.rank_corpus(q, c, 7, ("tfidf",), metric, index=index)
+    assert "tf#" in found._jdf.queryExecution().optimizedPlan().toString()
+    scanned = rerank.rank_corpus(q, c, 7, ("tfidf",), metric, pair_factory=lambda: lambda a, b: [0.0] * len(a))
+    scores = lambda df: sorted((r.query_id, r["rank"], round(r.score, 6)) for r in df.collect())
+    assert scores(found) == scores(scanned)
+
+
+def test_segments_are_cut_by_words_not_by_batches():
+    import unittest.mock as mock
+
+    batches = [pa.RecordBatch.from_arrays([pa.array([i, i + 1]), pa.array([["a", "b"], None])], names=["cand_id", "words"]) for i in range(0, 12, 2)]
+    with mock.patch.object(postings.TaskContext, "get", lambda: mock.Mock(partitionId=lambda: 0)):
+        made = list(postings._segments(iter(batches), 3, 9))
+    ids = [np.frombuffer(m.column("ids")[0].as_py(), np.int64).tolist() for m in made]
+    assert ids == [[0, 1, 2, 3, 4, 5], [6, 7, 8, 9, 10, 11]] and [m.column("tile")[0].as_py() for m in made] == [0, 1]
+    with mock.patch.object(postings.TaskContext, "get", lambda: mock.Mock(partitionId=lambda: 0)):
+        assert [m.column("texts")[0].as_py() for m in postings._segments(iter(batches), 3, 1)] == [1, 0] * 6
