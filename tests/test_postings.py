@@ -128,3 +128,10 @@ def test_segments_are_cut_by_words_not_by_batches():
     assert ids == [[0, 1, 2, 3, 4, 5], [6, 7, 8, 9, 10, 11]] and [m.column("tile")[0].as_py() for m in made] == [0, 1]
     with mock.patch.object(postings.TaskContext, "get", lambda: mock.Mock(partitionId=lambda: 0)):
         assert [m.column("texts")[0].as_py() for m in postings._segments(iter(batches), 3, 1)] == [1, 0] * 6
+
+
+def test_all_strategies_are_ranked_once(tables):
+    """The result of all strategies is stored: reading it again ranks nothing and reads no corpus."""
+    q, c = tables
+    plan = rerank.rerank_all(q, c, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "MapInArrow" not in plan
