@@ -7,7 +7,7 @@ Boxes are normalized centre boxes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,6 +125,12 @@ def _pairs(a: DataFrame, b: DataFrame, on: Sequence[str], crowds: DataFrame | No
         px, py = F.greatest(ab[0], bb[0]), F.greatest(ab[1], bb[1])
         home = _slot(px, "x") * F.col("gy") + _slot(py, "y")
         pairs = pairs.filter(F.col("gx").isNull() | (F.col("_cell") == home)).drop("_cell", "_block", *_GRID)
+    return _met(pairs)
+
+
+def _met(pairs: DataFrame) -> DataFrame:
+    """The pairs that overlap, with ``iou``."""
+    ab, bb = [F.col(f"a_{c}") for c in "xywh"], [F.col(f"b_{c}") for c in "xywh"]
     return pairs.filter(intersection(ab, bb) > 0).withColumn("iou", iou(ab, bb))
 
 
@@ -422,15 +428,46 @@ def mean_ap(ap: DataFrame) -> DataFrame:
 # ---- losses and mining ----------------------------------------------------------------------
 
 
-def _pixel_sides(pred: DataFrame, truth: DataFrame, images: DataFrame, values: list[str], crowd: int):
-    """Both sides in pixels with their values; equal rows of crowds are merged with a weight."""
+def _many(pred: DataFrame, truth: DataFrame, crowd: int) -> DataFrame | None:
+    """Images with more than ``crowd`` rows on both sides together; None when there are none. Only ids are shuffled."""
+    ids = pred.select("image_id").unionAll(truth.select("image_id"))
+    big = ids.groupBy("image_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > crowd).select("image_id")
+    n = big.limit(SMALL_TABLE + 1).count()
+    if n == 0:
+        return None
+    return F.broadcast(big) if n <= SMALL_TABLE else big
+
+
+def _merged(rows: DataFrame, big: DataFrame) -> DataFrame:
+    """Equal rows of the ``big`` images as one with their number ``n``; rows of ordinary images, which need no aggregate, as they are."""
+    few = rows.join(big, "image_id", "left_anti").withColumn("n", F.lit(1).cast("bigint"))
+    return few.unionByName(rows.join(big, "image_id", "left_semi").groupBy(*rows.columns).agg(F.count("*").alias("n")))
+
+
+def _pixel_sides(pred: DataFrame, truth: DataFrame, images: DataFrame, values: list[str], crowd: int, move: Callable[[DataFrame], DataFrame] | None = None):
+    """Overlapping pairs of both sides in pixels with their values; equal rows of crowds are merged with a weight.
+
+    ``move`` makes copies of annotations, with an ``augmentation``. They are made of the pairs, after the shuffles, but in crowds before the grid is laid.
+    """
     p = pred.select("image_id", "class_id", "cx", "cy", "w", "h", *values)
     t = truth.select("image_id", "class_id", "cx", "cy", "w", "h")
-    p, t = p.groupBy(*p.columns).agg(F.count("*").alias("n")), t.groupBy(*t.columns).agg(F.count("*").alias("n"))
+    big = _many(pred, truth, crowd)
+    if big is None:
+        p, t = (rows.withColumn("n", F.lit(1).cast("bigint")) for rows in (p, t))
+    else:
+        p, t = _merged(p, big), _merged(t if move is None else move(t), big)
     box = ["class_id", "cx", "cy", "w", "h", "n"]
     a = _corners(*_boxed(p, "a", images), {**{f"p_{c}": F.col(c) for c in box}, **{v: F.col(v) for v in values}})
-    b = _corners(*_boxed(t, "b", images), {f"t_{c}": F.col(c) for c in box})
-    return overlapping(a, b, crowd=crowd)
+    if big is None and move is not None:
+        sized = t.join(images.select("image_id", "width", "height"), "image_id").withColumnsRenamed({"class_id": "t_class_id", "n": "t_n"})
+        both = move(a.join(sized, "image_id"))
+        corners = pixel_corner(*_center(), F.col("width"), F.col("height"))
+        # inline keeps the corners apart from what reads them: merged, the optimizer would compute each moved box dozens of times
+        both = both.select("*", F.inline(F.array(F.struct(*[v.alias(f"b_{c}") for v, c in zip(corners, "xywh")]))))
+        return _met(both.withColumnsRenamed({c: f"t_{c}" for c in ("cx", "cy", "w", "h")}))
+    extra = {f"t_{c}": F.col(c) for c in box} | ({"augmentation": F.col("augmentation")} if "augmentation" in t.columns else {})
+    b = _corners(*_boxed(t, "b", images), extra)
+    return _pairs(a, b, (), None) if big is None else overlapping(a, b, crowd=crowd)
 
 
 def detection_loss(
@@ -443,14 +480,19 @@ def detection_loss(
     lambda_cls: float = 1.0,
     lambda_no_obj: float = 0.5,
     crowd: int = CROWD,
+    variants: Sequence[str] | None = None,
+    move: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Mean loss per image over all prediction x annotation pairs.
 
+    With ``variants`` there is a row per image and variant, named by ``augmentation``: ``move`` makes one copy of every annotation per variant, as ``augment_boxes``
+    does, and the predictions are those of the image. The copies are not shuffled.
+
     Pairs without enough overlap all cost ``lambda_no_obj * score^2``, so their sum is
     n_truth * sum(score^2) and only overlapping pairs are built. Images with annotations
     only cost ``lambda_no_obj`` each; images without annotations cost 0.
     """
-    pairs = _pixel_sides(pred, truth, images, ["score", "class_scores"], crowd).filter(F.col("iou") > iou_threshold)
+    pairs = _pixel_sides(pred, truth, images, ["score", "class_scores"], crowd, move if variants else None).filter(F.col("iou") > iou_threshold)
     d = [F.col(f"p_{c}") - F.col(f"t_{c}") for c in ("cx", "cy", "w", "h")]
     box = d[0] * d[0] + d[1] * d[1] + d[2] * d[2] + d[3] * d[3]
     inside = (F.col("t_class_id") >= 0) & (F.col("t_class_id") < F.size("class_scores"))
@@ -460,14 +502,18 @@ def detection_loss(
     score = F.col("score")
     cost = lambda_bb * box - lambda_cls * F.ln(chance + F.lit(1e-9)) + lambda_obj * (1 - score) * (1 - score)
     change = F.col("p_n") * F.col("t_n") * (cost - lambda_no_obj * score * score)
-    hits = pairs.groupBy("image_id").agg(F.sum(change).alias("change"))
+    per_variant = [F.sum(F.when(F.col("augmentation") == v, change)) for v in variants or ()]
+    hits = pairs.groupBy("image_id").agg(F.array(*per_variant).alias("changes") if variants else F.sum(change).alias("change"))
     p = pred.groupBy("image_id").agg(F.count("*").alias("n_pred"), F.sum(score * score).alias("s2"))
     t = truth.groupBy("image_id").agg(F.count("*").alias("n_truth"))
     one = images.select("image_id").join(p, "image_id", "left").join(t, "image_id", "left").join(hits, "image_id", "left")
+    if variants:
+        one = one.select("image_id", "n_pred", "n_truth", "s2", F.inline(F.array(*[F.struct(F.lit(v).alias("augmentation"), F.col("changes")[i].alias("change")) for i, v in enumerate(variants)])))
     one = one.fillna(0, ["n_pred", "n_truth", "s2", "change"])
     both = (lambda_no_obj * F.col("n_truth") * F.col("s2") + F.col("change")) / (F.col("n_pred") * F.col("n_truth"))
     return one.select(
         "image_id",
+        *(["augmentation"] if variants else []),
         "n_pred",
         "n_truth",
         F.when((F.col("n_pred") > 0) & (F.col("n_truth") > 0), both)
