@@ -31,3 +31,14 @@ def test_no_rows_and_zero_vectors():
         best = ok.Best(2)
         best.add_all((p, key, c) for p, c, key in ok.near_vectors(q, np.eye(4)[:3], 2, metric, 3.0, np.full(2, np.inf)))
         assert best.id.tolist() == [0, 1, 0, 1]
+
+
+@pytest.mark.parametrize("p", [0.5, 1.0, 60.0])
+def test_any_power_finds_the_nearest(p):
+    draw = np.random.default_rng(5)
+    q, g = draw.normal(size=(9, 6)) + 2e6, draw.normal(size=(900, 6)) + 2e6
+    best = ok.Best(4)
+    for part in (slice(0, 500), slice(500, 900)):
+        best.add_all((probe, key, column + part.start) for probe, column, key in ok.near_vectors(q, g[part], 4, "minkowski", p, best.edge(len(q))))
+    every = ok.exact_keys(np.repeat(q, len(g), axis=0), np.tile(g, (len(q), 1)), "minkowski", p).reshape(len(q), -1)
+    assert best.id.reshape(len(q), 4).tolist() == np.argsort(every, axis=1, kind="stable")[:, :4].tolist()
